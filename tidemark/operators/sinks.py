@@ -34,9 +34,21 @@ def _spread(df: DataFrame, partition_cols: Sequence[str], files_per_partition: i
     return df.repartition(*[F.col(c) for c in partition_cols], salt)
 
 
+def _norm(path: str) -> str:
+    """Comparable form of a path: ``file:///a/b``, ``file:/a/b`` and ``/a/b`` agree."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return path.rstrip("/")
+
+
 def _reads_path(df: DataFrame, path: str) -> bool:
-    root = path.rstrip("/").removeprefix("file:")
-    return any(f.removeprefix("file:").startswith(root + "/") for f in df.inputFiles())
+    """Does ``df`` read files below ``path``?
+
+    Uses the file index the driver already holds for the scans of ``df``
+    (``inputFiles``); no job runs.
+    """
+    root = _norm(path) + "/"
+    return any(_norm(f).startswith(root) for f in df.inputFiles())
 
 
 def _write(
