@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.audit import is_fresh, record_write, table_history
+from tidemark.operators.sinks import replace_partitions
+from tidemark.plans.tables import (
+    DAILY_ACTIVITY,
+    ensure_table,
+    partition_columns,
+    quoted,
+    recover_partitions,
+    table_definition,
+    table_exists,
+    table_partitions,
+    weekly_view,
+)
+
+
+def test_registry():
+    d = table_definition("idempotent", "daily_activity")
+    assert d.schema == DAILY_ACTIVITY and d.partition_cols == ("year_woy",)
+    assert "NOT NULL" in table_definition("idempotent", "user_activity").ddl()
+    with pytest.raises(ValueError, match="No table definition"):
+        table_definition("idempotent", "nope")
+    assert quoted("a", "b`c") == "`a`.`b``c`"
+
+
+def test_ensure_table_view_and_partitions(spark, scratch):
+    loc = scratch("ua")
+    schema = "tm_test_tables"
+    created = ensure_table(spark, schema, "user_activity", loc, table_definition("idempotent", "user_activity"),
+                           schema_location=scratch("db"))
+    assert created
+    assert not ensure_table(spark, schema, "user_activity", loc, table_definition("idempotent", "user_activity"))
+    name = quoted(schema, "user_activity")
+    assert partition_columns(spark, f"{schema}.user_activity") == ["__year_week_of_year__"]
+    rows = spark.createDataFrame(
+        [(1, "2024-01-02", "click", "2024_01"), (2, "2024-01-09", "view", "2024_02")],
+        "user_id BIGINT, d STRING, activity_type STRING, __year_week_of_year__ STRING",
+    ).select("user_id", F.to_date("d").alias("activity_date"), "activity_type", "__year_week_of_year__")
+    replace_partitions(rows, loc, ["__year_week_of_year__"])
+    recover_partitions(spark, name)
+    weekly_view(spark, quoted(schema, "w1"), name, "2024_02")
+    assert [r.user_id for r in spark.table(f"{schema}.w1").collect()] == [2]
+    assert spark.table(f"{schema}.w1").columns == ["user_id", "activity_date", "activity_type"]
+    assert table_partitions(spark, loc, ["__year_week_of_year__"]) == {("2024_01",), ("2024_02",)}
+    assert table_exists(spark, name=f"{schema}.user_activity")
+    assert table_exists(spark, path=loc)
+    assert not table_exists(spark, path=scratch("missing"))
+    with pytest.raises(ValueError, match="YYYY_WW"):
+        weekly_view(spark, "v", name, "2024-01'; DROP")
+
+
+def test_audit_versions_and_freshness(spark, scratch):
+    audit = scratch("audit")
+    assert is_fresh(spark, audit, "t")
+    assert record_write(spark, audit, "t", "CREATE", {}) == 0
+    assert is_fresh(spark, audit, "t")
+    assert record_write(spark, audit, "t", "REPLACE", {"rows": 5, "partitions_after": 5}) == 1
+    assert not is_fresh(spark, audit, "t")
+    assert is_fresh(spark, audit, "other")
+    hist = table_history(spark, audit, "t").collect()
+    assert [r.version for r in hist] == [1, 0] and hist[0].rows == 5
