@@ -37,9 +37,23 @@ def keep_requested(df: DataFrame, requests: DataFrame, keys: Sequence[str]) -> D
             wanted = req.select(*live).dropna().distinct()
             rows = rows.join(wanted, on=live, how="left_semi")
         else:
-            # All keys NULL: passes when any request exists. The probe side
-            # is at most one row, so broadcasting it is bounded by proof.
-            one = F.broadcast(req.limit(1).select(F.lit(1).alias("__any__")))
-            rows = rows.withColumn("__any__", F.lit(1)).join(one, "__any__", "left_semi").drop("__any__")
+            # All keys NULL: passes when any request exists; an uncorrelated
+            # scalar subquery over at most one request row, not a join.
+            any_request = req.limit(1).select(F.max(F.lit(True))).scalar()
+            rows = rows.where(F.coalesce(any_request, F.lit(False)))
         parts.append(rows)
     return reduce(DataFrame.unionByName, parts)
+
+
+def requests_frame(spark, requests, schema=None) -> DataFrame:
+    """The key tuples of a driver-side request as a DataFrame.
+
+    Accepts the same shapes as ``cherry_pick`` (``{"year_woy": [...]}`` or a
+    list of key dicts); ``schema`` (DDL or ``StructType``) types the columns.
+    """
+    from tidemark.functions.predicates import _request_rows
+
+    names, tuples = _request_rows(requests)
+    if schema is None:
+        schema = ", ".join(f"`{n}` STRING" for n in names)
+    return spark.createDataFrame(tuples, schema)
