@@ -66,3 +66,18 @@ def test_rollover_days(spark):
     ).select(F.to_date("d").alias("activity_date"))
     got = sorted(str(r[0]) for r in rollover_days(df).collect())
     assert got == ["2021-01-01", "2024-01-01", "2024-01-08"]
+
+
+def test_replace_load_mode_keeps_other_weeks(spark, scratch, landing):
+    from tidemark.plans.jobs import load_scenario
+
+    target = scratch("ua")
+    load_scenario(spark, landing, target, 0)
+    early = scratch("early")
+    spark.read.parquet(landing).where("__year_week_of_year__ = '2024_01'").write.parquet(early)
+    load_scenario(spark, early, target, 1, mode="replace", files_per_partition=2)
+    got = spark.read.parquet(target)
+    assert got.where("__year_week_of_year__ = '2024_01'").select("scenario").distinct().collect()[0][0] == 1
+    assert {r[0] for r in got.where("__year_week_of_year__ <> '2024_01'").select("scenario").distinct().collect()} == {0}
+    with pytest.raises(ValueError, match="load mode"):
+        load_scenario(spark, landing, target, 0, mode="merge")
