@@ -15,7 +15,9 @@ from tidemark.plans.tables import (
     ensure_table,
     ensure_tables,
     partition_columns,
+    partitions_of,
     quoted,
+    read_table,
     recover_partitions,
     table_definition,
     table_exists,
@@ -35,7 +37,9 @@ __all__ = [
     "load_scenario",
     "parse_partitions",
     "partition_columns",
+    "partitions_of",
     "quoted",
+    "read_table",
     "read_preview_append",
     "recover_partitions",
     "rollover_days",

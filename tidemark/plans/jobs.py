@@ -20,11 +20,12 @@ from tidemark.plans.tables import (
     USER_ACTIVITY,
     ensure_schema,
     ensure_table,
+    partitions_of,
     quoted,
+    read_table,
     recover_partitions,
-    table_exists,
-    table_location,
     table_definition,
+    table_location,
     table_partitions,
     weekly_view,
 )
@@ -113,15 +114,14 @@ def run_overwrite(
             after = len(table_partitions(spark, ua, [STORED_WEEK]))
             record_write(spark, audit, "user_activity", load_mode.upper(), {**loaded, "partitions_after": after})
 
-    target = (
-        spark.read.parquet(da) if table_exists(spark, path=da) else spark.createDataFrame([], DAILY_ACTIVITY)
-    )
+    current = read_table(spark, da)
+    target = current if current is not None else spark.createDataFrame([], DAILY_ACTIVITY)
     mode, predicate = choose_predicate(
         target, [WEEK], backfill=backfill, partitions=partitions, schema={WEEK: DAILY_ACTIVITY[WEEK].dataType}
     )
     weekly = weekly_distinct_users(spark.read.parquet(ua), predicate)
 
-    before = len(table_partitions(spark, da, [WEEK]))
+    before = len(partitions_of(current, [WEEK]))
     written = replace_partitions(weekly, da, [WEEK])
     after = len(table_partitions(spark, da, [WEEK]))
     metrics.update(

@@ -173,18 +173,24 @@ def weekly_view(
     )
 
 
-def table_partitions(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> set[tuple]:
-    """Partition key tuples present at ``path``, from the file listing only.
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None when there is no data there yet."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException:
+        return None
+
+
+def partitions_of(df: DataFrame | None, keys: Sequence[str]) -> set[tuple]:
+    """Partition key tuples of the files ``df`` scans, from the file listing only.
 
     No data is read: the file index Spark builds for the path (listed in
     parallel for large tables) already names every ``key=value`` directory.
     """
-    try:
-        files = spark.read.format(fmt).load(path).inputFiles()
-    except AnalysisException:
+    if df is None:
         return set()
     found = set()
-    for f in files:
+    for f in df.inputFiles():
         seg = {}
         for part in f.split("/"):
             k, eq, v = part.partition("=")
@@ -192,3 +198,8 @@ def table_partitions(spark: SparkSession, path: str, keys: Sequence[str], fmt: s
                 seg[k] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
         found.add(tuple(seg.get(k) for k in keys))
     return found
+
+
+def table_partitions(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> set[tuple]:
+    """Partition key tuples present at ``path`` (empty when there is no table)."""
+    return partitions_of(read_table(spark, path, fmt), keys)
