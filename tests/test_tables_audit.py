@@ -61,3 +61,20 @@ def test_audit_versions_and_freshness(spark, scratch):
     assert is_fresh(spark, audit, "other")
     hist = table_history(spark, audit, "t").collect()
     assert [r.version for r in hist] == [1, 0] and hist[0].rows == 5
+
+
+def test_partitions_frame_typed_and_latest_from_listing(spark, scratch):
+    from tidemark.functions.predicates import latest
+    from tidemark.plans.tables import partitions_frame, read_table
+
+    path = scratch("typed")
+    df = spark.createDataFrame([(9, "x", 1), (10, "y", 2), (None, "z", 3)], "k INT, s STRING, v INT")
+    replace_partitions(df, path, ["k", "s"])
+    parts = partitions_frame(spark, read_table(spark, path), ["k", "s"])
+    assert dict(parts.dtypes) == {"k": "int", "s": "string"}
+    # Integer order, not string order: 10 is newer than 9.
+    src = spark.createDataFrame([(11, "z"), (10, "y"), (None, "zz")], "k INT, s STRING")
+    got = sorted((tuple(r) for r in src.where(latest(parts, ["k", "s"])).collect()), key=repr)
+    assert got == [(11, "z"), (None, "zz")]
+    empty = partitions_frame(spark, read_table(spark, scratch("none")), ["k"])
+    assert empty.count() == 0

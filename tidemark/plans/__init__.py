@@ -15,6 +15,7 @@ from tidemark.plans.tables import (
     ensure_table,
     ensure_tables,
     partition_columns,
+    partitions_frame,
     partitions_of,
     quoted,
     read_table,
@@ -37,6 +38,7 @@ __all__ = [
     "load_scenario",
     "parse_partitions",
     "partition_columns",
+    "partitions_frame",
     "partitions_of",
     "quoted",
     "read_table",

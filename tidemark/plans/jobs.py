@@ -20,6 +20,7 @@ from tidemark.plans.tables import (
     USER_ACTIVITY,
     ensure_schema,
     ensure_table,
+    partitions_frame,
     partitions_of,
     quoted,
     read_table,
@@ -114,8 +115,10 @@ def run_overwrite(
             after = len(table_partitions(spark, ua, [STORED_WEEK]))
             record_write(spark, audit, "user_activity", load_mode.upper(), {**loaded, "partitions_after": after})
 
+    # The newest week comes from the directory listing of the weekly table
+    # (one row per partition), not from a scan of its files.
     current = read_table(spark, da)
-    target = current if current is not None else spark.createDataFrame([], DAILY_ACTIVITY)
+    target = partitions_frame(spark, current, [WEEK])
     mode, predicate = choose_predicate(
         target, [WEEK], backfill=backfill, partitions=partitions, schema={WEEK: DAILY_ACTIVITY[WEEK].dataType}
     )

@@ -9,6 +9,7 @@ from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.functions.weeks import STORED_WEEK, WEEK
@@ -196,10 +197,25 @@ def partitions_of(df: DataFrame | None, keys: Sequence[str]) -> set[tuple]:
             k, eq, v = part.partition("=")
             if eq and k in keys:
                 seg[k] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
-        found.add(tuple(seg.get(k) for k in keys))
+        if len(seg) == len(keys):  # a file outside the partition tree holds no key
+            found.add(tuple(seg[k] for k in keys))
     return found
 
 
+def partitions_frame(spark: SparkSession, df: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Distinct partition key tuples of ``df`` as a small local DataFrame.
+
+    Built from the file listing (one row per partition, never per data row)
+    and typed like ``df``'s partition columns, so ``latest`` over it needs no
+    scan of the table.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields} if df is not None else {}
+    raw = spark.createDataFrame(
+        sorted(partitions_of(df, keys), key=repr), ", ".join(f"`{k}` STRING" for k in keys)
+    )
+    return raw.select(*[F.col(k).cast(types[k]).alias(k) if k in types else F.col(k) for k in keys])
+
+
 def table_partitions(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> set[tuple]:
     """Partition key tuples present at ``path`` (empty when there is no table)."""
     return partitions_of(read_table(spark, path, fmt), keys)
