@@ -20,3 +20,16 @@ def test_keep_requested_equals_cherry_pick(spark):
 def test_keep_requested_empty_request(spark):
     df = spark.createDataFrame([(None,), ("a",)], "k STRING")
     assert keep_requested(df, spark.createDataFrame([], "k STRING"), ["k"]).count() == 0
+
+
+def test_select_partitions_routes_agree(spark):
+    from tidemark.operators.select import requests_frame, select_partitions
+
+    rnd = random.Random(3)
+    vals = [None, "a", "b", "c"]
+    df = spark.createDataFrame([(rnd.choice(vals), rnd.choice(vals), i) for i in range(300)], "k0 STRING, k1 STRING, v INT")
+    req = [{"k0": a, "k1": b} for a in "abc" for b in "ab"]
+    lit_rows = sorted(r.v for r in select_partitions(df, req).collect())
+    join_rows = sorted(r.v for r in select_partitions(df, req, max_literal=2).collect())
+    frame_rows = sorted(r.v for r in select_partitions(df, requests_frame(spark, req)).collect())
+    assert lit_rows == join_rows == frame_rows and lit_rows

@@ -109,3 +109,12 @@ def test_write_sink_modes(spark, scratch):
     assert spark.read.parquet(spec.location).count() == 1
     with pytest.raises(ValueError):
         write_sink(df, spec, "merge")
+
+
+def test_overwrite_guard_by_declared_roots(spark, scratch):
+    path = scratch("roots")
+    df = spark.createDataFrame([("a", 1)], "k STRING, v INT")
+    with pytest.raises(ValueError, match="Refusing"):
+        overwrite_all(df, path, ["k"], reads_from=[path + "/"])
+    overwrite_all(df, path, ["k"], reads_from=[scratch("elsewhere")])
+    assert _table(spark, path) == [("a", 1)]

@@ -78,3 +78,10 @@ def test_partitions_frame_typed_and_latest_from_listing(spark, scratch):
     assert got == [(11, "z"), (None, "zz")]
     empty = partitions_frame(spark, read_table(spark, scratch("none")), ["k"])
     assert empty.count() == 0
+
+
+def test_delta_history_without_package_is_clear(spark, scratch):
+    from tidemark.operators.audit import delta_is_fresh
+
+    with pytest.raises(ValueError, match="delta-spark"):
+        delta_is_fresh(spark, scratch("d"))

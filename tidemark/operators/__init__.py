@@ -1,11 +1,12 @@
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users
-from tidemark.operators.audit import is_fresh, record_write, table_history
-from tidemark.operators.select import keep_requested
+from tidemark.operators.audit import delta_is_fresh, is_fresh, record_write, table_history
+from tidemark.operators.select import keep_requested, requests_frame, select_partitions
 from tidemark.operators.sinks import SinkSpec, append_table, overwrite_all, preview, replace_partitions, write_sink
 
 __all__ = [
     "SinkSpec",
     "append_table",
+    "delta_is_fresh",
     "is_fresh",
     "keep_requested",
     "latest_partition",
@@ -13,6 +14,8 @@ __all__ = [
     "preview",
     "record_write",
     "replace_partitions",
+    "requests_frame",
+    "select_partitions",
     "table_history",
     "weekly_distinct_users",
     "write_sink",

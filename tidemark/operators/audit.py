@@ -68,3 +68,16 @@ def is_fresh(spark: SparkSession, audit_path: str, table: str) -> bool:
 
 def _int(v: Any) -> int | None:
     return None if v is None else int(v)
+
+
+def delta_is_fresh(spark: SparkSession, path: str) -> bool:
+    """For a Delta table: fresh when its history is empty or newest version is 0.
+
+    Needs the delta-spark package; raises ``ValueError`` without it.
+    """
+    try:
+        hist = spark.sql(f"DESCRIBE HISTORY delta.`{path}`")
+    except Exception as exc:  # no Delta catalog extension or data source
+        raise ValueError("Table history of a Delta table needs the delta-spark package.") from exc
+    newest = hist.select(F.max("version")).head()[0]
+    return newest is None or int(newest) == 0

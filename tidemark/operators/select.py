@@ -8,6 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Above this many requested key tuples the request travels as a DataFrame
+# (a semi-join) instead of literals inside the plan.
+MAX_LITERAL_REQUEST = 100_000
+
 
 def keep_requested(df: DataFrame, requests: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose keys match a row of ``requests`` (NULL keys match any value).
@@ -57,3 +61,24 @@ def requests_frame(spark, requests, schema=None) -> DataFrame:
     if schema is None:
         schema = ", ".join(f"`{n}` STRING" for n in names)
     return spark.createDataFrame(tuples, schema)
+
+
+def select_partitions(df: DataFrame, requests, *, max_literal: int = MAX_LITERAL_REQUEST) -> DataFrame:
+    """Rows of ``df`` matching a cherry-pick request, by the cheaper exact route.
+
+    A request held in a DataFrame, or one with more than ``max_literal`` key
+    tuples, goes through ``keep_requested`` (semi-joins); smaller driver-side
+    requests become a ``cherry_pick`` predicate, which prunes partitions at
+    planning time. Both give the same rows.
+    """
+    from tidemark.functions.predicates import _request_rows, cherry_pick
+
+    if isinstance(requests, DataFrame):
+        return keep_requested(df, requests, requests.columns)
+    names, tuples = _request_rows(requests)
+    if len(tuples) <= max_literal:
+        return df.where(cherry_pick(requests, schema=df.schema))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    schema = ", ".join(f"`{n}` {types[n].simpleString()}" for n in names)
+    frame = df.sparkSession.createDataFrame(tuples, schema)
+    return keep_requested(df, frame, names)

@@ -41,12 +41,21 @@ def _norm(path: str) -> str:
     return path.rstrip("/")
 
 
-def _reads_path(df: DataFrame, path: str) -> bool:
+def _nested(a: str, b: str) -> bool:
+    a, b = _norm(a) + "/", _norm(b) + "/"
+    return a.startswith(b) or b.startswith(a)
+
+
+def _reads_path(df: DataFrame, path: str, reads_from: Sequence[str] | None = None) -> bool:
     """Does ``df`` read files below ``path``?
 
-    Uses the file index the driver already holds for the scans of ``df``
-    (``inputFiles``); no job runs.
+    With ``reads_from`` (the root paths the caller built ``df`` from) this is
+    a string comparison. Otherwise it asks ``inputFiles``, the file index the
+    driver already holds for the scans of ``df``: no job runs, but the list
+    grows with the number of input files.
     """
+    if reads_from is not None:
+        return any(_nested(r, path) for r in reads_from)
     root = _norm(path) + "/"
     return any(_norm(f).startswith(root) for f in df.inputFiles())
 
@@ -83,14 +92,17 @@ def overwrite_all(
     fmt: str = "parquet",
     files_per_partition: int | None = None,
     options: Mapping[str, Any] | None = None,
+    reads_from: Sequence[str] | None = None,
 ) -> dict[str, int]:
     """Replace every partition and the schema of the table at ``path``.
 
     Partitions absent from ``df`` disappear. Refuses to overwrite a path
     that ``df`` itself reads: Spark would delete the input before reading it.
-    Returns ``{"rows": rows written}``, counted in the write pass itself.
+    ``reads_from`` names the roots ``df`` was read from, which makes that
+    check a path comparison. Returns ``{"rows": rows written}``, counted in
+    the write pass itself.
     """
-    if _reads_path(df, path):
+    if _reads_path(df, path, reads_from):
         raise ValueError(f"Refusing to overwrite {path}: the DataFrame reads from it.")
     return _write(
         df, path, partition_cols, mode="overwrite", overwrite_mode="static",

@@ -64,7 +64,9 @@ def load_scenario(
     """
     rows = spark.read.parquet(landing).where(F.col("scenario") == F.lit(scenario).cast("int"))
     if mode == "overwrite":
-        return overwrite_all(rows, target, [STORED_WEEK], files_per_partition=files_per_partition)
+        return overwrite_all(
+            rows, target, [STORED_WEEK], files_per_partition=files_per_partition, reads_from=[landing]
+        )
     if mode == "replace":
         return replace_partitions(rows, target, [STORED_WEEK], files_per_partition=files_per_partition)
     raise ValueError(f"Unknown load mode {mode!r}; expected overwrite or replace.")
