@@ -1,6 +1,5 @@
 """Driver contract: entry() runs; every query agrees with its DuckDB oracle."""
 
-import datetime as dt
 import decimal
 
 import duckdb
