@@ -17,11 +17,14 @@ def shared_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set up if it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this client (Spark Connect)
+            root = None
     if not root:
         # Local tests only: nothing names a shared folder, so make one.
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
