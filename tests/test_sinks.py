@@ -96,7 +96,20 @@ def test_files_per_partition_spreads_hot_partition(spark, scratch):
     hot = [p for p in _files(path) if "k=hot" in p]
     assert 1 < len(hot) <= 4
     assert spark.read.parquet(path).count() == 20000
-    assert "hashpartitioning(k" in plan_text(df.repartition("k", F.pmod(F.xxhash64("k", "v"), F.lit(4))))
+
+
+
+def test_files_per_partition_spreads_identical_copies(spark, scratch):
+    path = scratch("copies")
+    # 12000 identical rows over 6 input partitions: one row hash, six task ids.
+    df = spark.range(0, 12000, 1, 6).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        replace_partitions(df, path, ["k"], files_per_partition=4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 1 < len(_files(path)) <= 4
+    assert spark.read.parquet(path).count() == 12000
 
 
 def test_write_sink_modes(spark, scratch):

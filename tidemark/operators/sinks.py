@@ -22,15 +22,18 @@ def _spread(df: DataFrame, partition_cols: Sequence[str], files_per_partition: i
     """Optionally shuffle so each output partition gets about N files.
 
     Rows are hashed on the partition keys plus a salt in ``[0, N)`` taken from
-    a hash of the whole row: a hot partition (say a third of all rows) is
-    written by N tasks instead of one, and the salt is deterministic, so a
-    retried task rebuilds exactly the rows it had. Without the option the
-    input partitioning is kept (no extra shuffle); Spark sorts each task's
-    rows by the partition keys before writing.
+    a hash of the whole row and of the input task's partition id: a hot
+    partition (say a third of all rows) is written by N tasks instead of one,
+    and so is a hot group of identical copies, which a row hash alone would
+    send to one task. The salt is deterministic per task, so a retried task
+    rebuilds exactly the rows it had. Without the option the input
+    partitioning is kept (no extra shuffle); Spark sorts each task's rows by
+    the partition keys before writing.
     """
     if not files_per_partition:
         return df
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(files_per_partition)))
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    salt = F.pmod(row_hash, F.lit(int(files_per_partition)))
     return df.repartition(*[F.col(c) for c in partition_cols], salt)
 
 
