@@ -81,3 +81,11 @@ def test_replace_load_mode_keeps_other_weeks(spark, scratch, landing):
     assert {r[0] for r in got.where("__year_week_of_year__ <> '2024_01'").select("scenario").distinct().collect()} == {0}
     with pytest.raises(ValueError, match="load mode"):
         load_scenario(spark, landing, target, 0, mode="merge")
+
+
+def test_catalog_tables_follow_the_job(spark, scratch, landing):
+    wh = scratch("whcat")
+    run_overwrite(spark, landing=landing, warehouse=wh, scenario=0, backfill=True, catalog=True)
+    got = {r.year_woy: r.distinct_daily_users for r in spark.table("idempotent.daily_activity").collect()}
+    assert got == _weekly(spark, wh)
+    assert spark.table("idempotent.user_activity").count() == spark.read.parquet(landing).where("scenario = 0").count()

@@ -20,6 +20,7 @@ from tidemark.plans.tables import (
     USER_ACTIVITY,
     ensure_schema,
     ensure_table,
+    ensure_tables,
     partitions_frame,
     partitions_of,
     quoted,
@@ -83,6 +84,7 @@ def run_overwrite(
     audit: str | None = None,
     load_mode: str = "overwrite",
     files_per_partition: int | None = None,
+    catalog: bool = False,
 ) -> dict[str, Any]:
     """The idempotent overwrite pipeline.
 
@@ -96,13 +98,17 @@ def run_overwrite(
     The activity table written in step 1 is re-read from storage, so step 3
     starts from a short lineage. Returns the metrics also written to the
     audit log (when ``audit`` is given). ``load_mode`` and
-    ``files_per_partition`` are passed to ``load_scenario``.
+    ``files_per_partition`` are passed to ``load_scenario``. With
+    ``catalog=True`` both tables are also created in the catalog (if absent)
+    at their locations, and their partitions are refreshed after the writes.
     """
     if isinstance(partitions, str):
         partitions = parse_partitions(partitions)
     ua = table_location(warehouse, JOB_TABLES["user_activity"], "user_activity")
     da = table_location(warehouse, JOB_TABLES["daily_activity"], "daily_activity")
     metrics: dict[str, Any] = {}
+    if catalog:
+        ensure_tables(spark, JOB_TABLES, warehouse)
     if audit:
         for name in ("user_activity", "daily_activity"):
             if table_history(spark, audit, name).head(1) == []:
@@ -138,6 +144,9 @@ def run_overwrite(
     )
     if audit:
         record_write(spark, audit, "daily_activity", f"REPLACE:{mode}", metrics)
+    if catalog:
+        for table, schema in JOB_TABLES.items():
+            recover_partitions(spark, quoted(schema, table))
     return metrics
 
 

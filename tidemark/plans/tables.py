@@ -125,12 +125,13 @@ def ensure_table(
 def ensure_tables(spark: SparkSession, tables: dict[str, str], warehouse: str) -> dict[str, str]:
     """Create every table of a job (table -> schema) below ``warehouse``.
 
+    Schemas live at ``<warehouse>/<schema>.db``, tables inside them.
     Returns table -> location.
     """
     out = {}
     for table, schema in tables.items():
         loc = table_location(warehouse, schema, table)
-        ensure_table(spark, schema, table, loc)
+        ensure_table(spark, schema, table, loc, schema_location=f"{warehouse.rstrip('/')}/{schema}.db")
         out[table] = loc
     return out
 
