@@ -62,10 +62,10 @@ def _orders_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_activity(spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
-def _landing(spark: SparkSession, sf_dir: str, where=None) -> str:
-    """Write the landing data derived from ``events`` to a fresh shared folder."""
+def _landing(spark: SparkSession, sf_dir: str, where=None, source=None) -> str:
+    """Write landing data derived from ``events`` (or ``source``) to a fresh shared folder."""
     path = fresh_dir(spark, "landing")
-    df = _activity(spark, sf_dir)
+    df = (source or _activity)(spark, sf_dir)
     if where is not None:
         df = df.where(where)
     df.write.mode("overwrite").parquet(path)
@@ -106,6 +106,15 @@ def q_weekly_users_latest(spark, sf_dir):
     return weekly_distinct_users(activity, predicate)
 
 
+def q_weekly_users_latest_orders(spark, sf_dir):
+    # The weekly table ends in the last ISO week of 1999; the next key is 2000_01.
+    target = fresh_dir(spark, "weekly")
+    activity = _orders_activity(spark, sf_dir)
+    replace_partitions(weekly_distinct_users(activity, F.col(WEEK) <= "1999_52"), target, [WEEK])
+    predicate = latest(spark.read.parquet(target), [WEEK])
+    return weekly_distinct_users(activity, predicate)
+
+
 def _two_key_target(spark, sf_dir):
     activity = _activity(spark, sf_dir).withColumnRenamed(STORED_WEEK, WEEK)
     target = activity.where((F.col("scenario") == 0) & (F.col(WEEK) <= "2024_03"))
@@ -203,6 +212,15 @@ def q_replace_partitions(spark, sf_dir):
     return _weekly(spark.read.parquet(table_location(warehouse, "idempotent", "daily_activity")))
 
 
+def q_replace_partitions_orders(spark, sf_dir):
+    landing = _landing(spark, sf_dir, source=_orders_activity)
+    warehouse = fresh_dir(spark, "warehouse")
+    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=0, backfill=True)
+    request = {WEEK: _iso_weeks([1997])}  # 53 weeks: hash-set membership, pruned scan
+    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=1, partitions=request)
+    return _weekly(spark.read.parquet(table_location(warehouse, "idempotent", "daily_activity")))
+
+
 def q_replace_keeps_stale(spark, sf_dir):
     activity = _activity(spark, sf_dir)
     target = fresh_dir(spark, "weekly")
@@ -348,11 +366,32 @@ def q_stream_replace(spark, sf_dir):
     return _weekly(spark.read.parquet(target))
 
 
+def q_stream_replace_orders(spark, sf_dir):
+    # Files hashed on the order key: every micro-batch touches most weeks, so
+    # each week must be recomputed from everything stored so far.
+    landing = fresh_dir(spark, "stream_landing")
+    activity = _orders_activity(spark, sf_dir)
+    activity.repartition(4, "user_id").write.parquet(landing)
+    target = fresh_dir(spark, "stream_weekly")
+    query = start_replace_stream(
+        spark,
+        landing=landing,
+        schema=activity.schema,
+        store=fresh_dir(spark, "stream_store"),
+        target=target,
+        checkpoint=fresh_dir(spark, "stream_ckpt"),
+        files_per_batch=1,
+    )
+    query.awaitTermination()
+    return _weekly(spark.read.parquet(target))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_scenario": q_scan_scenario,
     "weekly_users_backfill": q_weekly_users_backfill,
     "weekly_users_backfill_orders": q_weekly_users_backfill_orders,
     "weekly_users_latest": q_weekly_users_latest,
+    "weekly_users_latest_orders": q_weekly_users_latest_orders,
     "weekly_users_cherry_pick": q_weekly_users_cherry_pick,
     "cherry_pick_tuples_null": q_cherry_pick_tuples_null,
     "cherry_pick_many": q_cherry_pick_many,
@@ -363,6 +402,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_partition": q_latest_partition,
     "overwrite_all": q_overwrite_all,
     "replace_partitions": q_replace_partitions,
+    "replace_partitions_orders": q_replace_partitions_orders,
     "replace_keeps_stale": q_replace_keeps_stale,
     "latest_job": q_latest_job,
     "write_audit": q_write_audit,
@@ -374,6 +414,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_csv": q_source_csv,
     "source_parquet": q_source_parquet,
     "stream_replace": q_stream_replace,
+    "stream_replace_orders": q_stream_replace_orders,
 }
 
 
@@ -426,6 +467,7 @@ _ORACLES: dict[str, str] = {
     "weekly_users_backfill": _wau("TRUE"),
     "weekly_users_backfill_orders": _wau("TRUE", _UO),
     "weekly_users_latest": _wau("year_woy IS NULL OR year_woy > '2024_03'"),
+    "weekly_users_latest_orders": _wau("year_woy IS NULL OR year_woy > '1999_52'", _UO),
     "weekly_users_cherry_pick": _wau("year_woy IS NULL OR year_woy IN ('2024_01', '2024_04')"),
     "cherry_pick_tuples_null": _pairs(
         _UA,
@@ -456,6 +498,9 @@ _ORACLES: dict[str, str] = {
     "replace_partitions": _wau(
         "scenario = CASE WHEN year_woy IN ('2024_01', '2024_03') THEN 1 ELSE 0 END"
     ),
+    "replace_partitions_orders": _wau(
+        "scenario = CASE WHEN substr(year_woy, 1, 4) = '1997' THEN 1 ELSE 0 END", _UO
+    ),
     "replace_keeps_stale": _wau("scenario = 2 OR year_woy = '2024_02'"),
     "latest_job": _wau("scenario = CASE WHEN year_woy <= '2024_03' THEN 0 ELSE 1 END"),
     "write_audit": _UA + "SELECT 'user_activity' AS table_name, CAST(1 AS BIGINT) AS version, "
@@ -469,6 +514,7 @@ _ORACLES: dict[str, str] = {
     "source_csv": _wau("TRUE"),
     "source_parquet": _wau("TRUE"),
     "stream_replace": _wau("TRUE"),
+    "stream_replace_orders": _wau("TRUE", _UO),
 }
 
 
