@@ -440,6 +440,20 @@ def _wau(cond: str, cte: str = _UA) -> str:
     )
 
 
+def _replaced(base: str, new: str, cte: str = _UA) -> str:
+    """Weekly table after a base write and a dynamic replacement.
+
+    A week the replacement produced takes its new value; every other week
+    keeps its base value (a partition absent from the new output stays).
+    """
+    return (
+        cte + f", b AS (SELECT year_woy, COUNT(DISTINCT user_id) AS n FROM ua WHERE {base} GROUP BY year_woy), "
+        f"r AS (SELECT year_woy, COUNT(DISTINCT user_id) AS n FROM ua WHERE {new} GROUP BY year_woy) "
+        "SELECT year_woy, CAST(COALESCE(r.n, b.n) AS INTEGER) AS distinct_daily_users "
+        "FROM b FULL OUTER JOIN r USING (year_woy)"
+    )
+
+
 _ROWS = (
     "SELECT user_id, activity_date, activity_type, year_woy AS __year_week_of_year__, scenario FROM ua "
 )
@@ -495,13 +509,13 @@ _ORACLES: dict[str, str] = {
     "OR scenario > 0 OR (scenario = 0 AND year_woy > '2024_03')",
     "latest_partition": _UO + "SELECT year_woy FROM ua ORDER BY year_woy DESC NULLS LAST LIMIT 1",
     "overwrite_all": _UA + _ROWS + "WHERE scenario = 1",
-    "replace_partitions": _wau(
-        "scenario = CASE WHEN year_woy IN ('2024_01', '2024_03') THEN 1 ELSE 0 END"
+    "replace_partitions": _replaced(
+        "scenario = 0", "scenario = 1 AND (year_woy IS NULL OR year_woy IN ('2024_01', '2024_03'))"
     ),
-    "replace_partitions_orders": _wau(
-        "scenario = CASE WHEN substr(year_woy, 1, 4) = '1997' THEN 1 ELSE 0 END", _UO
+    "replace_partitions_orders": _replaced(
+        "scenario = 0", "scenario = 1 AND (year_woy IS NULL OR substr(year_woy, 1, 4) = '1997')", _UO
     ),
-    "replace_keeps_stale": _wau("scenario = 2 OR year_woy = '2024_02'"),
+    "replace_keeps_stale": _replaced("TRUE", "scenario = 2 AND year_woy <> '2024_02'"),
     "latest_job": _wau("scenario = CASE WHEN year_woy <= '2024_03' THEN 0 ELSE 1 END"),
     "write_audit": _UA + "SELECT 'user_activity' AS table_name, CAST(1 AS BIGINT) AS version, "
     "COUNT(*) AS rows, COUNT(DISTINCT year_woy) AS partitions_after FROM ua WHERE scenario = 1",
