@@ -39,7 +39,7 @@ def test_replace_empty_is_noop(spark, scratch):
     path = scratch("k2e")
     replace_partitions(spark.createDataFrame([("a", 1)], "k STRING, v INT"), path, ["k"])
     metrics = replace_partitions(spark.createDataFrame([], "k STRING, v INT"), path, ["k"])
-    assert metrics == {"rows": 0}
+    assert metrics == {"rows": 0, "partitions": set()}
     assert _table(spark, path) == [("a", 1)]
 
 
@@ -131,3 +131,9 @@ def test_overwrite_guard_by_declared_roots(spark, scratch):
         overwrite_all(df, path, ["k"], reads_from=[path + "/"])
     overwrite_all(df, path, ["k"], reads_from=[scratch("elsewhere")])
     assert _table(spark, path) == [("a", 1)]
+
+
+def test_written_partitions_are_reported(spark, scratch):
+    df = spark.createDataFrame([("a", 1, 1), ("b", 2, 1), (None, 3, 2), ("a", 4, 2)], "k STRING, v INT, j INT")
+    m = replace_partitions(df, scratch("rep"), ["k", "j"])
+    assert m == {"rows": 4, "partitions": {("a", 1), ("b", 1), (None, 2), ("a", 2)}}

@@ -73,9 +73,16 @@ def _write(
     fmt: str,
     files_per_partition: int | None,
     options: Mapping[str, Any] | None,
-) -> dict[str, int]:
+) -> dict[str, Any]:
+    """Write ``df``; return rows written and the set of partition-key tuples written."""
     obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if partition_cols:
+        # The partition values written, gathered in the same pass: one entry
+        # per partition touched (metadata-sized), so callers need not re-list
+        # the table to learn which partitions changed.
+        metrics.append(F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("partitions"))
+    observed = df.observe(obs, *metrics)
     writer = _spread(observed, partition_cols, files_per_partition).write.format(fmt).mode(mode)
     if overwrite_mode:
         writer = writer.option("partitionOverwriteMode", overwrite_mode)
@@ -84,7 +91,11 @@ def _write(
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)
-    return {"rows": int(obs.get.get("rows", 0))}
+    got = obs.get
+    return {
+        "rows": int(got.get("rows", 0)),
+        "partitions": {tuple(r) for r in got.get("partitions") or []},
+    }
 
 
 def overwrite_all(
@@ -96,7 +107,7 @@ def overwrite_all(
     files_per_partition: int | None = None,
     options: Mapping[str, Any] | None = None,
     reads_from: Sequence[str] | None = None,
-) -> dict[str, int]:
+) -> dict[str, Any]:
     """Replace every partition and the schema of the table at ``path``.
 
     Partitions absent from ``df`` disappear. Refuses to overwrite a path
@@ -121,7 +132,7 @@ def replace_partitions(
     fmt: str = "parquet",
     files_per_partition: int | None = None,
     options: Mapping[str, Any] | None = None,
-) -> dict[str, int]:
+) -> dict[str, Any]:
     """Replace exactly the partitions present in ``df``; keep all others.
 
     The idempotent write: running it twice leaves the table as running it
@@ -175,7 +186,7 @@ class SinkSpec:
     metadata: Mapping[str, Any] = field(default_factory=dict)
 
 
-def write_sink(df: DataFrame, spec: SinkSpec, mode: str = "replace") -> dict[str, int]:
+def write_sink(df: DataFrame, spec: SinkSpec, mode: str = "replace") -> dict[str, Any]:
     """Write ``df`` as ``spec`` describes: ``replace`` (dynamic), ``overwrite`` or ``append``."""
     mode = mode.lower()
     if mode == "replace":

@@ -120,8 +120,13 @@ def run_overwrite(
         )
         metrics["rows_loaded"] = loaded["rows"]
         if audit:
-            after = len(table_partitions(spark, ua, [STORED_WEEK]))
-            record_write(spark, audit, "user_activity", load_mode.upper(), {**loaded, "partitions_after": after})
+            if load_mode == "overwrite":  # the table now holds exactly the weeks written
+                after = len(loaded["partitions"])
+            else:
+                after = len(table_partitions(spark, ua, [STORED_WEEK]))
+            record_write(
+                spark, audit, "user_activity", load_mode.upper(), {"rows": loaded["rows"], "partitions_after": after}
+            )
 
     # The newest week comes from the directory listing of the weekly table
     # (one row per partition), not from a scan of its files.
@@ -132,15 +137,16 @@ def run_overwrite(
     )
     weekly = weekly_distinct_users(spark.read.parquet(ua), predicate)
 
-    before = len(partitions_of(current, [WEEK]))
+    before = partitions_of(current, [WEEK])
     written = replace_partitions(weekly, da, [WEEK])
-    after = len(table_partitions(spark, da, [WEEK]))
+    # Weeks after the write: those before plus those written (no re-listing).
+    after = before | {tuple(None if v is None else str(v) for v in t) for t in written["partitions"]}
     metrics.update(
         mode=mode,
         rows=written["rows"],
-        partitions_written=written["rows"],  # one row per week
-        partitions_before=before,
-        partitions_after=after,
+        partitions_written=len(written["partitions"]),
+        partitions_before=len(before),
+        partitions_after=len(after),
     )
     if audit:
         record_write(spark, audit, "daily_activity", f"REPLACE:{mode}", metrics)

@@ -27,17 +27,11 @@ BATCH = "__batch_id__"
 
 def replace_batch(spark: SparkSession, batch: DataFrame, batch_id: int, *, store: str, target: str) -> int:
     """Store one micro-batch and replace the weeks it touched; returns their number."""
-    replace_partitions(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), store, [STORED_WEEK, BATCH])
-    # The weeks of this batch, read from directory names of the stored batch
-    # (no data columns): at most one value per partition touched.
-    weeks = [
-        r[0]
-        for r in spark.read.parquet(store)
-        .where(F.col(BATCH) == batch_id)
-        .select(STORED_WEEK)
-        .distinct()
-        .collect()
-    ]
+    stored_batch = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    written = replace_partitions(stored_batch, store, [STORED_WEEK, BATCH])
+    # The weeks of this batch, gathered while writing it: one value per
+    # partition touched, no second pass over the batch or the store.
+    weeks = sorted({week for week, _ in written["partitions"]}, key=repr)
     if not weeks:
         return 0
     stored = spark.read.parquet(store)
