@@ -27,7 +27,7 @@ from tidemark.functions.weeks import STORED_WEEK, WEEK, activity_frame, orders_a
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users  # noqa: E402
 from tidemark.operators.audit import is_fresh, table_history  # noqa: E402
 from tidemark.operators.select import keep_requested  # noqa: E402
-from tidemark.operators.sinks import overwrite_all, replace_partitions  # noqa: E402
+from tidemark.operators.sinks import default_writers, overwrite_all, replace_partitions  # noqa: E402
 from tidemark.paths import fresh_dir  # noqa: E402
 from tidemark.plans.jobs import (  # noqa: E402
     read_preview_append,
@@ -110,7 +110,8 @@ def q_weekly_users_latest_orders(spark, sf_dir):
     # The weekly table ends in the last ISO week of 1999; the next key is 2000_01.
     target = fresh_dir(spark, "weekly")
     activity = _orders_activity(spark, sf_dir)
-    replace_partitions(weekly_distinct_users(activity, F.col(WEEK) <= "1999_52"), target, [WEEK])
+    weekly = weekly_distinct_users(activity, F.col(WEEK) <= "1999_52")
+    replace_partitions(weekly, target, [WEEK], writers=default_writers(spark))
     predicate = latest(spark.read.parquet(target), [WEEK])
     return weekly_distinct_users(activity, predicate)
 

@@ -137,3 +137,15 @@ def test_written_partitions_are_reported(spark, scratch):
     df = spark.createDataFrame([("a", 1, 1), ("b", 2, 1), (None, 3, 2), ("a", 4, 2)], "k STRING, v INT, j INT")
     m = replace_partitions(df, scratch("rep"), ["k", "j"])
     assert m == {"rows": 4, "partitions": {("a", 1), ("b", 1), (None, 2), ("a", 2)}}
+
+
+def test_rebalance_and_writers_layouts(spark, scratch):
+    df = spark.range(3000).select((F.col("id") % 30).cast("string").alias("k"), F.col("id").alias("v"))
+    for kw in ({"rebalance": True}, {"writers": 4}, {"writers": 4, "files_per_partition": 2}):
+        path = scratch("layout")
+        m = replace_partitions(df, path, ["k"], **kw)
+        assert m["rows"] == 3000 and len(m["partitions"]) == 30
+        assert spark.read.parquet(path).count() == 3000
+    plan = plan_text(df.hint("rebalance", "k"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "hashpartitioning(k#" in plan_text(df.repartition(4, "k"))

@@ -18,23 +18,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _spread(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int | None) -> DataFrame:
-    """Optionally shuffle so each output partition gets about N files.
-
-    Rows are hashed on the partition keys plus a salt in ``[0, N)`` taken from
-    a hash of the whole row and of the input task's partition id: a hot
-    partition (say a third of all rows) is written by N tasks instead of one,
-    and so is a hot group of identical copies, which a row hash alone would
-    send to one task. The salt is deterministic per task, so a retried task
-    rebuilds exactly the rows it had. Without the option the input
-    partitioning is kept (no extra shuffle); Spark sorts each task's rows by
-    the partition keys before writing.
+def default_writers(spark) -> int:
+    """One wave of writer tasks: the cluster's default parallelism."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext on this client (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _layout(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    files_per_partition: int | None,
+    writers: int | None = None,
+    rebalance: bool = False,
+) -> DataFrame:
+    """How rows reach the writer tasks; by default as they are (no shuffle).
+
+    * ``rebalance``: Spark's ``REBALANCE`` hint on the partition keys. AQE
+      sizes writer tasks to the advisory partition size, merging small
+      partitions and splitting a hot one (say a third of all rows) across
+      tasks, so files come out near the advisory size.
+    * ``files_per_partition=N``: hash on the partition keys plus a salt in
+      ``[0, N)`` from a hash of the whole row and of the input task's
+      partition id. A hot partition is written by N tasks, and so is a hot
+      group of identical copies, which a row hash alone would send to one
+      task. The salt is deterministic per task, so a retried task rebuilds
+      exactly the rows it had.
+    * ``writers=W``: exactly W writer tasks (AQE does not merge them), for
+      small outputs spread over many partitions, such as one row per week;
+      otherwise AQE would merge them into one task writing every file in turn.
+
+    Without any option the input partitioning is kept; Spark sorts each
+    task's rows by the partition keys before writing.
     """
-    if not files_per_partition:
-        return df
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    salt = F.pmod(row_hash, F.lit(int(files_per_partition)))
-    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+    if rebalance:
+        return df.hint("rebalance", *partition_cols)
+    keys = [F.col(c) for c in partition_cols]
+    if files_per_partition:
+        row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+        keys.append(F.pmod(row_hash, F.lit(int(files_per_partition))))
+    if writers:
+        return df.repartition(int(writers), *keys)
+    if files_per_partition:
+        return df.repartition(*keys)
+    return df
 
 
 def _norm(path: str) -> str:
@@ -73,6 +101,8 @@ def _write(
     fmt: str,
     files_per_partition: int | None,
     options: Mapping[str, Any] | None,
+    writers: int | None = None,
+    rebalance: bool = False,
 ) -> dict[str, Any]:
     """Write ``df``; return rows written and the set of partition-key tuples written."""
     obs = Observation()
@@ -83,7 +113,8 @@ def _write(
         # the table to learn which partitions changed.
         metrics.append(F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("partitions"))
     observed = df.observe(obs, *metrics)
-    writer = _spread(observed, partition_cols, files_per_partition).write.format(fmt).mode(mode)
+    laid_out = _layout(observed, partition_cols, files_per_partition, writers, rebalance)
+    writer = laid_out.write.format(fmt).mode(mode)
     if overwrite_mode:
         writer = writer.option("partitionOverwriteMode", overwrite_mode)
     if options:
@@ -107,6 +138,8 @@ def overwrite_all(
     files_per_partition: int | None = None,
     options: Mapping[str, Any] | None = None,
     reads_from: Sequence[str] | None = None,
+    writers: int | None = None,
+    rebalance: bool = False,
 ) -> dict[str, Any]:
     """Replace every partition and the schema of the table at ``path``.
 
@@ -121,6 +154,7 @@ def overwrite_all(
     return _write(
         df, path, partition_cols, mode="overwrite", overwrite_mode="static",
         fmt=fmt, files_per_partition=files_per_partition, options=options,
+        writers=writers, rebalance=rebalance,
     )
 
 
@@ -132,19 +166,23 @@ def replace_partitions(
     fmt: str = "parquet",
     files_per_partition: int | None = None,
     options: Mapping[str, Any] | None = None,
+    writers: int | None = None,
+    rebalance: bool = False,
 ) -> dict[str, Any]:
     """Replace exactly the partitions present in ``df``; keep all others.
 
     The idempotent write: running it twice leaves the table as running it
     once, an empty ``df`` changes nothing, and a partition that vanished from
     the source stays in the table. The overwrite mode is set on this write
-    only, never on the session.
+    only, never on the session. ``files_per_partition``, ``writers`` and
+    ``rebalance`` choose the file layout (see ``_layout``).
     """
     if not partition_cols:
         raise ValueError("replace_partitions needs partition columns.")
     return _write(
         df, path, partition_cols, mode="overwrite", overwrite_mode="dynamic",
         fmt=fmt, files_per_partition=files_per_partition, options=options,
+        writers=writers, rebalance=rebalance,
     )
 
 

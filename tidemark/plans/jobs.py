@@ -13,7 +13,7 @@ from tidemark.functions.predicates import choose_predicate
 from tidemark.functions.weeks import STORED_WEEK, WEEK
 from tidemark.operators.aggregate import weekly_distinct_users
 from tidemark.operators.audit import record_write, table_history
-from tidemark.operators.sinks import append_table, overwrite_all, preview, replace_partitions
+from tidemark.operators.sinks import append_table, default_writers, overwrite_all, preview, replace_partitions
 from tidemark.plans.tables import (
     DAILY_ACTIVITY,
     TableDef,
@@ -54,22 +54,28 @@ def load_scenario(
     *,
     mode: str = "overwrite",
     files_per_partition: int | None = None,
-) -> dict[str, int]:
+    rebalance: bool = False,
+) -> dict[str, Any]:
     """Load one scenario of the landing data into the activity table.
 
     The scenario filter is pushed into the landing scan. ``mode="overwrite"``
     (the reference's behaviour) replaces every partition and the schema;
     ``mode="replace"`` (ours) replaces only the weeks present in the landing
     data, so a daily load rewrites days, not the whole history.
-    ``files_per_partition`` salts each week over that many writer tasks.
+    ``files_per_partition`` salts each week over that many writer tasks;
+    ``rebalance`` lets AQE size the writer tasks (one shuffle, hot weeks
+    split). Neither: no shuffle, each input split writes the weeks it holds.
     """
     rows = spark.read.parquet(landing).where(F.col("scenario") == F.lit(scenario).cast("int"))
     if mode == "overwrite":
         return overwrite_all(
-            rows, target, [STORED_WEEK], files_per_partition=files_per_partition, reads_from=[landing]
+            rows, target, [STORED_WEEK], files_per_partition=files_per_partition,
+            reads_from=[landing], rebalance=rebalance,
         )
     if mode == "replace":
-        return replace_partitions(rows, target, [STORED_WEEK], files_per_partition=files_per_partition)
+        return replace_partitions(
+            rows, target, [STORED_WEEK], files_per_partition=files_per_partition, rebalance=rebalance
+        )
     raise ValueError(f"Unknown load mode {mode!r}; expected overwrite or replace.")
 
 
@@ -84,6 +90,7 @@ def run_overwrite(
     audit: str | None = None,
     load_mode: str = "overwrite",
     files_per_partition: int | None = None,
+    rebalance: bool = False,
     catalog: bool = False,
 ) -> dict[str, Any]:
     """The idempotent overwrite pipeline.
@@ -97,8 +104,8 @@ def run_overwrite(
 
     The activity table written in step 1 is re-read from storage, so step 3
     starts from a short lineage. Returns the metrics also written to the
-    audit log (when ``audit`` is given). ``load_mode`` and
-    ``files_per_partition`` are passed to ``load_scenario``. With
+    audit log (when ``audit`` is given). ``load_mode``,
+    ``files_per_partition`` and ``rebalance`` are passed to ``load_scenario``. With
     ``catalog=True`` both tables are also created in the catalog (if absent)
     at their locations, and their partitions are refreshed after the writes.
     """
@@ -116,7 +123,8 @@ def run_overwrite(
 
     if scenario is not None:
         loaded = load_scenario(
-            spark, landing, ua, scenario, mode=load_mode, files_per_partition=files_per_partition
+            spark, landing, ua, scenario, mode=load_mode,
+            files_per_partition=files_per_partition, rebalance=rebalance,
         )
         metrics["rows_loaded"] = loaded["rows"]
         if audit:
@@ -138,7 +146,8 @@ def run_overwrite(
     weekly = weekly_distinct_users(spark.read.parquet(ua), predicate)
 
     before = partitions_of(current, [WEEK])
-    written = replace_partitions(weekly, da, [WEEK])
+    # One row per week: spread the week files over one wave of writer tasks.
+    written = replace_partitions(weekly, da, [WEEK], writers=default_writers(spark))
     # Weeks after the write: those before plus those written (no re-listing).
     after = before | {tuple(None if v is None else str(v) for v in t) for t in written["partitions"]}
     metrics.update(

@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.predicates import cherry_pick
 from tidemark.functions.weeks import STORED_WEEK, WEEK
 from tidemark.operators.aggregate import weekly_distinct_users
-from tidemark.operators.sinks import replace_partitions
+from tidemark.operators.sinks import default_writers, replace_partitions
 
 BATCH = "__batch_id__"
 
@@ -28,14 +28,17 @@ BATCH = "__batch_id__"
 def replace_batch(spark: SparkSession, batch: DataFrame, batch_id: int, *, store: str, target: str) -> int:
     """Store one micro-batch and replace the weeks it touched; returns their number."""
     stored_batch = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    written = replace_partitions(stored_batch, store, [STORED_WEEK, BATCH])
+    # REBALANCE: AQE sizes the writer tasks, splitting a hot week (a stream's
+    # current week often holds most of a batch) and merging small ones.
+    written = replace_partitions(stored_batch, store, [STORED_WEEK, BATCH], rebalance=True)
     # The weeks of this batch, gathered while writing it: one value per
     # partition touched, no second pass over the batch or the store.
     weeks = sorted({week for week, _ in written["partitions"]}, key=repr)
     if not weeks:
         return 0
     stored = spark.read.parquet(store)
-    replace_partitions(weekly_distinct_users(stored, cherry_pick({WEEK: weeks})), target, [WEEK])
+    weekly = weekly_distinct_users(stored, cherry_pick({WEEK: weeks}))
+    replace_partitions(weekly, target, [WEEK], writers=default_writers(spark))
     return len(weeks)
 
 
