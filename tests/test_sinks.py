@@ -148,4 +148,9 @@ def test_rebalance_and_writers_layouts(spark, scratch):
         assert spark.read.parquet(path).count() == 3000
     plan = plan_text(df.hint("rebalance", "k"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
-    assert "hashpartitioning(k#" in plan_text(df.repartition(4, "k"))
+    # writers=W survives over an aggregate already partitioned on the key.
+    from tidemark.operators.sinks import _layout
+
+    agg = df.groupBy("k").count()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "xxhash64(k#" in plan_text(_layout(agg, ["k"], None, writers=n))

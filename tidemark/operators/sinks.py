@@ -59,7 +59,11 @@ def _layout(
         row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
         keys.append(F.pmod(row_hash, F.lit(int(files_per_partition))))
     if writers:
-        return df.repartition(int(writers), *keys)
+        # On a hash expression of the keys: a plain ``repartition(W, keys)``
+        # over an aggregate already hash-partitioned on the same keys is
+        # dropped as redundant, and AQE then merges that shuffle into a
+        # single writer task.
+        return df.repartition(int(writers), F.xxhash64(*keys))
     if files_per_partition:
         return df.repartition(*keys)
     return df
@@ -112,8 +116,7 @@ def _write(
         # per partition touched (metadata-sized), so callers need not re-list
         # the table to learn which partitions changed.
         metrics.append(F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("partitions"))
-    observed = df.observe(obs, *metrics)
-    laid_out = _layout(observed, partition_cols, files_per_partition, writers, rebalance)
+    laid_out = _layout(df, partition_cols, files_per_partition, writers, rebalance).observe(obs, *metrics)
     writer = laid_out.write.format(fmt).mode(mode)
     if overwrite_mode:
         writer = writer.option("partitionOverwriteMode", overwrite_mode)
@@ -122,7 +125,12 @@ def _write(
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)
-    got = obs.get
+    try:
+        got = obs.get
+    except Exception:
+        # No metrics arrive only when AQE replaced an empty input by an empty
+        # relation, so the observing operator never ran: nothing was written.
+        got = {}
     return {
         "rows": int(got.get("rows", 0)),
         "partitions": {tuple(r) for r in got.get("partitions") or []},
