@@ -23,6 +23,9 @@ from tidemark.operators.aggregate import weekly_distinct_users
 from tidemark.operators.sinks import default_writers, replace_partitions
 
 BATCH = "__batch_id__"
+# Above this many weeks in one micro-batch the weekly write is spread over
+# several writer tasks.
+SPREAD_WEEKS = 16
 
 
 def replace_batch(spark: SparkSession, batch: DataFrame, batch_id: int, *, store: str, target: str) -> int:
@@ -38,7 +41,10 @@ def replace_batch(spark: SparkSession, batch: DataFrame, batch_id: int, *, store
         return 0
     stored = spark.read.parquet(store)
     weekly = weekly_distinct_users(stored, cherry_pick({WEEK: weeks}))
-    replace_partitions(weekly, target, [WEEK], writers=default_writers(spark))
+    # One row per week: spread the week files over writer tasks when there
+    # are many; a handful is not worth an extra stage.
+    writers = min(len(weeks), default_writers(spark)) if len(weeks) > SPREAD_WEEKS else None
+    replace_partitions(weekly, target, [WEEK], writers=writers)
     return len(weeks)
 
 
