@@ -20,7 +20,10 @@ from tidemark.functions.predicates import (
 )
 from tidemark.functions.weeks import activity_frame, iso_week_key
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users
+from tidemark.operators.select import keep_requested, select_partitions
 from tidemark.operators.sinks import append_table, overwrite_all, replace_partitions
+from tidemark.plans.jobs import run_overwrite
+from tidemark.streaming.replace import start_replace_stream
 
 __all__ = [
     "activity_frame",
@@ -29,10 +32,14 @@ __all__ = [
     "choose_predicate",
     "everything",
     "iso_week_key",
+    "keep_requested",
     "latest",
     "latest_partition",
     "overwrite_all",
     "replace_partitions",
+    "run_overwrite",
+    "select_partitions",
+    "start_replace_stream",
     "strategy",
     "weekly_distinct_users",
 ]
