@@ -89,3 +89,14 @@ def test_catalog_tables_follow_the_job(spark, scratch, landing):
     got = {r.year_woy: r.distinct_daily_users for r in spark.table("idempotent.daily_activity").collect()}
     assert got == _weekly(spark, wh)
     assert spark.table("idempotent.user_activity").count() == spark.read.parquet(landing).where("scenario = 0").count()
+
+
+def test_rebalanced_replace_load_gives_same_weekly_table(spark, scratch, landing):
+    wh_a, wh_b = scratch("wha"), scratch("whb")
+    run_overwrite(spark, landing=landing, warehouse=wh_a, scenario=2, backfill=True)
+    m = run_overwrite(
+        spark, landing=landing, warehouse=wh_b, scenario=2, backfill=True,
+        load_mode="replace", rebalance=True,
+    )
+    assert _weekly(spark, wh_a) == _weekly(spark, wh_b) == _expected(spark, landing, F.col("scenario") == 2)
+    assert m["partitions_after"] == m["partitions_written"] == len(_weekly(spark, wh_b))
