@@ -85,3 +85,16 @@ def test_delta_history_without_package_is_clear(spark, scratch):
 
     with pytest.raises(ValueError, match="delta-spark"):
         delta_is_fresh(spark, scratch("d"))
+
+
+def test_partition_listing_round_trips_escaped_values(spark, scratch):
+    from tidemark.plans.tables import partitions_frame, read_table
+
+    path = scratch("escaped")
+    values = ["a/b", "x=y", "50%", "sp ace", None]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "k STRING, v INT")
+    m = replace_partitions(df, path, ["k"])
+    listed = table_partitions(spark, path, ["k"])
+    assert listed == {(v,) for v in values} == m["partitions"]
+    frame = sorted((r.k for r in partitions_frame(spark, read_table(spark, path), ["k"]).collect()), key=repr)
+    assert frame == sorted(values, key=repr)

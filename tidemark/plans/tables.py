@@ -196,7 +196,11 @@ def partitions_of(df: DataFrame | None, keys: Sequence[str]) -> set[tuple]:
         seg = {}
         for part in f.split("/"):
             k, eq, v = part.partition("=")
+            k = unquote(unquote(k))
             if eq and k in keys:
+                # Two layers: ``inputFiles`` gives URIs (``%`` itself encoded),
+                # and Spark escapes special characters in directory names.
+                v = unquote(v)
                 seg[k] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
         if len(seg) == len(keys):  # a file outside the partition tree holds no key
             found.add(tuple(seg[k] for k in keys))
