@@ -98,3 +98,18 @@ def test_partition_listing_round_trips_escaped_values(spark, scratch):
     assert listed == {(v,) for v in values} == m["partitions"]
     frame = sorted((r.k for r in partitions_frame(spark, read_table(spark, path), ["k"]).collect()), key=repr)
     assert frame == sorted(values, key=repr)
+
+
+def test_latest_over_date_partitions_from_listing(spark, scratch):
+    import datetime as dt
+
+    from tidemark.functions.predicates import latest
+    from tidemark.plans.tables import partitions_frame, read_table
+
+    path = scratch("dates")
+    days = [dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2023, 12, 31)]
+    replace_partitions(spark.createDataFrame([(d, 1) for d in days], "d DATE, v INT"), path, ["d"])
+    parts = partitions_frame(spark, read_table(spark, path), ["d"])
+    assert dict(parts.dtypes) == {"d": "date"}
+    src = spark.createDataFrame([(dt.date(2024, 1, 10),), (dt.date(2024, 1, 11),)], "d DATE")
+    assert [r.d for r in src.where(latest(parts, ["d"])).collect()] == [dt.date(2024, 1, 11)]
