@@ -545,9 +545,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_weekly_users_backfill(spark, "/root/testdata/sf0.001")
 
 
+def _training_data():
+    """Queries and SQL of the ``llm`` subpackage and the corpus pipeline, where they are installed."""
+    found, sql = {}, {}
+    try:
+        from tidemark.llm import queries as llm
+
+        found, sql = dict(llm.QUERIES), dict(llm.ORACLES)
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "tidemark.llm"):
+            raise  # it is there but broken
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {**_ORACLES, **_training_data()[1]}
