@@ -21,7 +21,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def table_bytes(df: DataFrame) -> int:
     """Size Spark's optimizer estimates for ``df`` (file size for a materialized table)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (negative: never broadcast)."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

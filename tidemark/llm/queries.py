@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat_format import format_conversations, read_back
+from tidemark.llm.secret_ledger import BASE_KINDS, find_secrets
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.paths import fresh_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +44,85 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_remove
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+
+def q_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"), fresh_dir(spark, "secret-ledger"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of_kind(*kinds):
+        return F.filter("findings", lambda s: s["kind"].isin(*kinds))
+
+    base = of_kind(*BASE_KINDS)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
+
+
+#: The conversation that the op10 contract adds: control strings inside texts.
+ADDED_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def q_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(ADDED_CONVERSATION, "conv_id long, turn long, role string, text string")
+    out = format_conversations(turns.unionByName(added))
+    read = out.withColumn("turns", read_back(F.col("formatted")))
+    # The loss mask of the segments, over the texts read back.
+    trained = F.array_join(
+        F.zip_with("turns", "segments", lambda t, s: F.when(s["loss"], t["text"]).otherwise(F.lit(""))), ""
+    )
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length(trained).cast("long").alias("loss_chars"),
+        F.sha2(trained, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
+_CONTROL = ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "[ROLE]", "[/ROLE]", "[SEP]")
+
+
+def _sql_escape(column: str) -> str:
+    out = f"replace({column}, '\\', '\\\\')"
+    for c in _CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+_CHAT_FORMAT = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (
+  SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before FROM t
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+f AS (
+  SELECT *,
+    CASE role WHEN 'system' THEN 8 + 11 WHEN 'user' THEN 7 + 8 WHEN 'assistant' THEN 3 + 4
+      ELSE 6 + length({_sql_escape("role")}) + 5 + 7 END + length({_sql_escape("text")}) AS chars,
+    CASE WHEN i = 1 THEN role IN ('system', 'user')
+      ELSE (before, role) IN (('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) END AS ok
+  FROM o)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY i)) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(ok) AS valid
+FROM f GROUP BY conv_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": q_substring_dedup,
+    "op3_secret_ledger": q_secret_ledger,
+    "op10_chat_format": q_chat_format,
 }
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _SUBSTRING_DEDUP,
+    "op10_chat_format": _CHAT_FORMAT,
 }
