@@ -1,0 +1,76 @@
+import random
+import re
+
+import pytest
+
+from tidemark.llm.decontaminate import contamination, prefix_table
+
+DOCS = "doc_id long, text string, word string, row string"
+ITEMS = "item_id long, text string, items string"
+
+
+def words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+
+
+def brute(docs, items, size):
+    out = []
+    for i, text in docs:
+        w, hit, found = words(text), set(), set()
+        for item, body in items:
+            b = words(body)
+            n = min(size, len(b))
+            for s in range(len(b) - n + 1) if n else ():
+                for p in range(len(w) - n + 1):
+                    if w[p : p + n] == b[s : s + n]:
+                        hit.update(range(p, p + n))
+                        found |= {str(item)} if item is not None else set()
+        out.append((i, len(w), len(hit), sorted(found)))
+    return sorted(out, key=str)
+
+
+def run(spark, docs, items, size):
+    d = spark.createDataFrame([(*x, "c", "c") for x in docs], DOCS)
+    b = spark.createDataFrame([(*x, "c") for x in items], ITEMS)
+    return sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in contamination(d, b, size).collect()), key=str)
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def way(request, spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if request.param == "shuffle":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_against_brute_force(spark, way, seed):
+    r = random.Random(seed)
+    vocabulary = ["the", "The", "a", "É", "é", "x1", "zz", "q"]
+    items = [(k, " ".join(r.choice(vocabulary) for _ in range(r.choice([2, 4, 7, 12])))) for k in range(8)]
+    items += [(20, items[0][1]), (20, items[0][1]), (21, None), (22, " .,; "), (None, "only here null item words")]
+    docs = []
+    for i in range(40):
+        bits = [r.choice(items)[1] or "" if r.random() < 0.5 else " ".join(r.choice(vocabulary) for _ in range(r.randrange(6))) for _ in range(4)]
+        docs.append((i, r.choice([" ", ", ", "\n--"]).join(bits)))
+    docs += [(3, docs[3][1]), (3, "other"), (None, docs[5][1]), (50, None), (51, ""), (52, "x only here null item words"), (53, "the " * 3000)]
+    assert run(spark, docs, items, 4) == brute(docs, items, 4)
+
+
+def test_empty_tables(spark, way):
+    assert run(spark, [], [(1, "a b c")], 10) == []
+    assert run(spark, [(1, "a b c"), (2, None)], [], 10) == [(1, 3, 0, []), (2, 0, 0, [])]
+
+
+def test_prefix_is_the_rarest_word(spark):
+    docs = spark.createDataFrame([(1, "a a a b b c", "", "")], DOCS)
+    items = spark.createDataFrame([(1, "a b c", "")], ITEMS)
+    assert [(r.word, r.entries[0].offset) for r in prefix_table(docs, items, 10).collect()] == [("c", 2)]
+
+
+def test_native_plan(spark, way):
+    docs = spark.createDataFrame([(1, "a b c", "", "")], DOCS)
+    plan = contamination(docs, spark.createDataFrame([(1, "a b c", "")], ITEMS))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan

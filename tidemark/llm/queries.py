@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat_format import format_conversations, read_back
+from tidemark.llm.decontaminate import contamination
 from tidemark.llm.secret_ledger import BASE_KINDS, find_secrets
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.url_templates import TreeSettings, UrlRule, filter_urls
 from tidemark.paths import fresh_dir
 
 
@@ -65,7 +67,8 @@ ADDED_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assista
 
 def q_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    added = spark.createDataFrame(ADDED_CONVERSATION, "conv_id long, turn long, role string, text string")
+    rows = [F.struct(*(F.lit(v).alias(c) for c, v in zip(turns.columns, row))) for row in ADDED_CONVERSATION]
+    added = spark.range(1).select(F.inline(F.array(*rows)))
     out = format_conversations(turns.unionByName(added))
     read = out.withColumn("turns", read_back(F.col("formatted")))
     # The loss mask of the segments, over the texts read back.
@@ -116,13 +119,120 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
+
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+_DECONTAMINATE = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, list_slice(w, s, s + least(len(w), 10) - 1) AS g, least(len(w), 10) AS n
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT doc_id, n, s, list_slice(w, s, s + n - 1) AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, n, item_id FROM dw JOIN iw USING (g, n)),
+p AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, s + unnest(range(0, n)) AS q FROM hits) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+#: The rules of the op9 contract.
+URL_RULES = (
+    UrlRule("net", "/", "block"),
+    UrlRule("example.net", "/en/", "allow"),
+    UrlRule("example.com", "/de/", "block"),
+    UrlRule("org", "/fr/", "allow"),
+)
+
+
+def q_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _url_sql() -> str:
+    s = TreeSettings()
+    rules = sorted(URL_RULES, key=lambda r: -len(r.name))
+
+    def longest(value):
+        return "CASE " + " ".join(
+            f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'" for r in rules
+        ) + " END"
+
+    shape = (
+        "list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: "
+        "regexp_replace(regexp_replace(x, '[0-9a-f]{12,}', '<hex>', 'g'), '[0-9]+', '<n>', 'g'))"
+    )
+    ctes = [
+        "a AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)",
+        "b AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, "
+        "regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a)",
+        f"c AS (SELECT *, {longest(lambda r: r.name)} AS rule, {longest(lambda r: r.verdict)} AS ruled, {shape} AS full_shape FROM b)",
+        f"u AS (SELECT *, CASE WHEN len(full_shape) <= {s.depth} THEN full_shape ELSE "
+        f"list_append(list_slice(full_shape, 1, {s.depth - 1}), array_to_string(list_slice(full_shape, {s.depth}, len(full_shape)), '/')) END AS shape FROM c)",
+        "s0 AS (SELECT host, shape, '' AS template, count(*) FILTER (ruled = 'block') AS block, "
+        "count(*) FILTER (ruled = 'allow') AS allow, count(*) FILTER (ruled IS NULL) AS free FROM u GROUP BY ALL)",
+    ]
+    for k in range(s.depth):
+        ctes += [
+            f"e{k} AS (SELECT host, template, child, next, label, sum(n) AS n FROM (SELECT host, template, shape[{k + 1}] AS child, "
+            f"coalesce(shape[{k + 2}], '') AS next, unnest(['block', 'allow', 'none']) AS label, unnest([block, allow, free]) AS n "
+            f"FROM s{k} WHERE len(shape) > {k}) WHERE n > 0 GROUP BY ALL)",
+            f"c{k} AS (SELECT host, template, child, sum(n) AS n_child, count(*) AS kinds, "
+            f"first(next || ',' || label ORDER BY n DESC, next DESC, label DESC) AS cluster FROM e{k} "
+            f"GROUP BY host, template, child HAVING sum(n) >= {s.support})",
+            f"f{k} AS (SELECT * FROM e{k} JOIN c{k} USING (host, template, child))",
+            f"m{k} AS (SELECT host, template, cluster, count(*) AS members, sum(n_child) AS n_cluster FROM c{k} GROUP BY ALL)",
+            f"p{k} AS (SELECT host, template, cluster, next, label, sum(n) AS n_pool FROM f{k} GROUP BY ALL)",
+            f"l{k} AS (SELECT host, template, child, CASE WHEN members = 1 OR sum(greatest(n / n_child - n_pool / n_cluster, 0)) > "
+            f"{s.tolerance} + {s.noise} * sqrt(kinds / n_child) THEN child ELSE '*(' || cluster || ')' END AS branch "
+            f"FROM f{k} JOIN p{k} USING (host, template, cluster, next, label) JOIN m{k} USING (host, template, cluster) "
+            f"GROUP BY host, template, child, cluster, n_child, kinds, members)",
+            f"s{k + 1} AS (SELECT s.host, s.shape, s.template || CASE WHEN len(s.shape) <= {k} THEN '' ELSE "
+            f"'/' || coalesce(l.branch, '*') END AS template, block, allow, free FROM s{k} s LEFT JOIN l{k} l "
+            f"ON s.host = l.host AND s.template = l.template AND s.shape[{k + 1}] = l.child)",
+        ]
+    ctes.append(
+        f"r AS (SELECT host, template FROM s{s.depth} GROUP BY ALL HAVING sum(block + allow) > 0 "
+        f"AND (sum(block) + {s.prior * s.strength}) / (sum(block + allow) + {s.strength}) >= {s.reject})"
+    )
+    ctes.append(f"x AS (SELECT DISTINCT host, shape FROM s{s.depth} JOIN r USING (host, template))")
+    return (
+        "WITH " + ",\n".join(ctes) + "\nSELECT page_id, host, path, rule, "
+        "coalesce(ruled, CASE WHEN x.shape IS NOT NULL THEN 'block' END, 'allow') AS verdict FROM u LEFT JOIN x USING (host, shape)"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": q_substring_dedup,
     "op3_secret_ledger": q_secret_ledger,
+    "op7_decontaminate": q_decontaminate,
+    "op9_url_templates": q_url_templates,
     "op10_chat_format": q_chat_format,
 }
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _SUBSTRING_DEDUP,
+    "op7_decontaminate": _DECONTAMINATE,
+    "op9_url_templates": _url_sql(),
     "op10_chat_format": _CHAT_FORMAT,
 }
