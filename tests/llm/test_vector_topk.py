@@ -1,0 +1,61 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import vector_topk
+from tidemark.llm.vector_topk import feasible, integer_vectors, top_k
+
+SCHEMA = "vec_id long, embedding array<float>, norm string, v string, block string"
+
+
+def run(spark, rows, k, every=1):
+    v = integer_vectors(spark.createDataFrame([(i, e, "c", "c", "c") for i, e in rows], SCHEMA))
+    return sorted(tuple(r) for r in top_k(v.where(f"vec_id % {every} = 0"), v, k).collect())
+
+
+def brute(rows, k, every=1):
+    f32 = lambda x: float(np.float32(x))
+    ok = [(i, [math.floor(1024 * f32(x)) for x in e]) for i, e in rows if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
+    out = []
+    for i in sorted({i for i, _ in ok if i % every == 0}):
+        q = min(e for j, e in ok if j == i)
+        scored = sorted((-sum(a * b for a, b in zip(q, e)), j) for j, e in ok if j != i)[:k]
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0, 4.0])
+def test_against_brute_force(spark, monkeypatch, spread):
+    for name, value in (("BLOCK", 40), ("QUERIES", 20), ("SEED", 30), ("COSINE", 0.5)):
+        monkeypatch.setattr(vector_topk, name, value)
+    r = np.random.default_rng(int(spread))
+    base = r.normal(size=(12, 8))
+    rows = [(int(i), (base[i % 12] * math.exp(spread * r.normal()) + 0.1 * r.normal(size=8)).tolist()) for i in range(300)]
+    rows += [(300 + i, rows[0][1]) for i in range(30)]  # ties
+    rows += [(7, rows[9][1]), (400, [0.0] * 8), (401, []), (402, [1.0]), (403, None), (404, [None] + [1.0] * 7), (405, [math.nan] * 8), (406, [math.inf] * 8), (None, rows[0][1])]
+    assert run(spark, rows, 10, 3) == brute(rows, 10, 3)
+
+
+def test_few_rows_and_empty(spark):
+    assert run(spark, [], 10) == []
+    assert run(spark, [(0, [1.0, 2.0])], 10) == []
+    assert run(spark, [(0, [1.0]), (5, [-2.0])], 10) == [(0, 1, 5, -2097152), (5, 1, 0, -2097152)]
+
+
+def test_long_vectors_and_large_values(spark):
+    r = random.Random(3)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(5000)]) for i in range(12)] + [(20 + i, [r.choice([-1e6, 1e6]) for _ in range(4)]) for i in range(6)]
+    assert run(spark, rows, 3) == brute(rows, 3)
+
+
+def test_coordinate_pruning_keeps_all_that_reach_the_cosine():
+    r = np.random.default_rng(0)
+    c = r.normal(size=(4000, 6))
+    c /= np.linalg.norm(c, axis=1)[:, None]
+    for cosine in (0.5, 0.8, 0.95, 1.0):
+        q = c[r.integers(4000)]
+        kept = feasible(q, [None] * 6, c, cosine)
+        assert set(np.flatnonzero(c @ q >= cosine)) <= set(kept)
+        assert cosine < 0.8 or len(kept) < 1500

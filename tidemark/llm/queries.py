@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat_format import format_conversations, read_back
+from tidemark.llm.dart_minhash import near_duplicate_classes
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.secret_ledger import BASE_KINDS, find_secrets
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.url_templates import TreeSettings, UrlRule, filter_urls
+from tidemark.llm.vector_topk import integer_vectors, top_k
 from tidemark.paths import fresh_dir
 
 
@@ -120,6 +122,27 @@ FROM f GROUP BY conv_id
 """
 
 
+def q_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+def q_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return top_k(vectors.where("vec_id % 100 = 0"), vectors, k=10)
+
+
+_VECTOR_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
     return found.select(
@@ -225,7 +248,9 @@ def _url_sql() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": q_substring_dedup,
     "op3_secret_ledger": q_secret_ledger,
+    "op6_dart_minhash": q_dart_minhash,
     "op7_decontaminate": q_decontaminate,
+    "op8_vector_topk": q_vector_topk,
     "op9_url_templates": q_url_templates,
     "op10_chat_format": q_chat_format,
 }
@@ -233,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _SUBSTRING_DEDUP,
     "op7_decontaminate": _DECONTAMINATE,
+    "op8_vector_topk": _VECTOR_TOPK,
     "op9_url_templates": _url_sql(),
     "op10_chat_format": _CHAT_FORMAT,
 }
