@@ -11,6 +11,7 @@ from tidemark.llm.chat_format import format_conversations, read_back
 from tidemark.llm.dart_minhash import near_duplicate_classes
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.secret_ledger import BASE_KINDS, find_secrets
+from tidemark.llm.source_mixing import mix_sources
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.url_templates import TreeSettings, UrlRule, filter_urls
 from tidemark.llm.vector_topk import integer_vectors, top_k
@@ -122,6 +123,11 @@ FROM f GROUP BY conv_id
 """
 
 
+def q_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def q_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"), threshold=0.8)
 
@@ -248,6 +254,7 @@ def _url_sql() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": q_substring_dedup,
     "op3_secret_ledger": q_secret_ledger,
+    "op4_source_mixing": q_source_mixing,
     "op6_dart_minhash": q_dart_minhash,
     "op7_decontaminate": q_decontaminate,
     "op8_vector_topk": q_vector_topk,
