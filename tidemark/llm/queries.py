@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat_format import format_conversations, read_back
 from tidemark.llm.dart_minhash import near_duplicate_classes
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.language_id import fit_language_model, predict_language
 from tidemark.llm.secret_ledger import BASE_KINDS, find_secrets
 from tidemark.llm.source_mixing import mix_sources
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.url_templates import TreeSettings, UrlRule, filter_urls
 from tidemark.llm.vector_topk import integer_vectors, top_k
 from tidemark.paths import fresh_dir
@@ -123,6 +125,23 @@ FROM f GROUP BY conv_id
 """
 
 
+def _remainder(n: int):
+    """crc32 of the doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, labels, trainable=_remainder(3) != 1)
+    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_language_model(docs, trainable=_remainder(5) != 0)
+    return predict_language(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def q_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -253,8 +272,10 @@ def _url_sql() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": q_substring_dedup,
+    "op2_toxicity": q_toxicity,
     "op3_secret_ledger": q_secret_ledger,
     "op4_source_mixing": q_source_mixing,
+    "op5_language_id": q_language_id,
     "op6_dart_minhash": q_dart_minhash,
     "op7_decontaminate": q_decontaminate,
     "op8_vector_topk": q_vector_topk,
