@@ -12,12 +12,14 @@ similarity, and a signature costs O(elements + k log k).
 Then, on distinct texts only (copies collapse by a 128-bit hash of their words):
 
 1. coordinates are banded and texts with an equal band meet in a bucket; each is
-   paired with the bucket's smallest text, never with all others;
+   paired with the most central text of the bucket, the one with most company
+   over all its buckets, never with all others;
 2. pairs are verified: exact Jaccard similarity of the shingle sets;
-3. verified links form components. A bucket that still holds several components
-   has its texts outside its largest one compared with the rest, some more in
-   each round, until none is left: no pair that shares a bucket and is not yet
-   linked through others goes unchecked, and linked ones are never compared.
+3. verified links form components. Buckets that still hold several components
+   are settled exactly: their texts outside the largest component are joined
+   with the texts of all such buckets on the rarest shingles (a prefix filter
+   with length and positional bounds inside the join), texts of one component
+   never with each other, and what passes is verified.
 
 Defined results: words are cut at white space of the lower-cased text; a text of
 fewer words than a shingle is one shingle; a null text or one without words is
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize
@@ -152,16 +154,22 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles): the sorted shingle hashes of each node (node, h)."""
+    """(node, shingles): the distinct shingle hashes of each node (node, h), sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingles(hash_words([_bytes(t)])[0])).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+            sets = [np.unique(shingles(hash_words([_bytes(t)])[0])).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     text = F.col("text").cast("string")
     texts = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).groupBy("h").agg(F.first("text").alias("text"))
-    return texts.join(nodes, "h").select("node", "text").mapInArrow(run, "node long, shingles binary")
+    return texts.join(nodes, "h").select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+
+
+def _rows(lists: pa.Array) -> list[np.ndarray]:
+    ends = lists.offsets.to_numpy()
+    flat = lists.flatten().to_numpy()
+    return [flat[a:b] for a, b in zip((ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist())]
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -170,8 +178,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
+            for x, y in zip(_rows(batch.column("x")), _rows(batch.column("y"))):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -195,17 +202,18 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int =
         "distinct-texts",
     )
     members = texts.select("node", F.explode("bands").alias("key"))
-    shared = materialize(
-        members.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub"), "buckets"
-    )
-    members = materialize(members.join(shared, "key"), "bucket-members")
-    pairs = materialize(members.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    # Every text that any round can compare is a member of a shared bucket.
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = materialize(members.join(materialize(shared, "buckets"), "key"), "bucket-members")
+    company = materialize(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    hubs = members.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
+    paired = members.join(materialize(hubs, "hubs"), "key").where("node != hub")
+    pairs = materialize(paired.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
+    # Every text that can be compared is a member of a shared bucket.
     needed = texts.select("node", "h").join(members.select("node").distinct(), "node", "left_semi")
     sets = materialize(_shingle_sets(docs, needed), "shingle-sets")
     links = materialize(_verify(pairs, sets, threshold), "links")
     components = connected_components(links)
-    links, components = _settle(members.select("key", "node"), pairs, links, components, sets, threshold)
+    components = _settle(members.select("key", "node"), pairs, links, components, sets, threshold)
     # Class ids: the smallest doc_id of each component.
     placed = materialize(
         texts.select("f1", "f2", "node", "doc_id").join(components, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
@@ -217,34 +225,30 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int =
 
 
 def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, components: DataFrame, sets: DataFrame, threshold: float):
-    """Compare, in buckets that hold several components, the texts outside the largest with all others."""
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    open_keys = labelled(members).groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = open_keys.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    """Find the links between components that meet in a bucket; see 3. above."""
+    placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     largest = materialize(largest.select("key", F.col("top.component").alias("largest")), "open-buckets")
-    rows = materialize(labelled(members).join(largest, "key").select("key", "node", (F.col("component") != F.col("largest")).alias("outside")), "open-members")
-    order = Window.partitionBy("key").orderBy("node")
-    outside = materialize(rows.where("outside").select("key", "node", F.row_number().over(order).alias("rank")), "outside")
-    last = outside.agg(F.max("rank")).first()[0] or 0
-    low, width = 1, 4
-    while low <= last:
-        pivots = labelled(outside.where(F.col("rank").between(low, low + width - 1))).select(
-            "key", "rank", F.col("node").alias("a"), F.col("component").alias("component_a")
-        )
-        others = labelled(rows.join(outside, ["key", "node"], "left")).select(
-            "key", F.col("node").alias("b"), F.col("component").alias("component_b"), F.coalesce("rank", F.lit(1 << 30)).alias("rank_b")
-        )
-        # Of two pivots, the one of lower rank has compared them already.
-        met = pivots.join(others, "key").where("component_a != component_b and rank_b > rank")
-        new = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        new = materialize(new.join(compared, ["a", "b"], "left_anti"), "pairs")
-        found = materialize(_verify(new, sets, threshold), "links")
-        if not found.isEmpty():
-            links = materialize(links.unionByName(found), "links")
-            components = connected_components(links)
-        compared = compared.unionByName(new)
-        low, width = low + width, 4 * width
-    return links, components
+    open_rows = placed.join(largest, "key").select("node", "component", (F.col("component") != F.col("largest")).alias("outside"))
+    nodes = materialize(open_rows.groupBy("node", "component").agg(F.max("outside").alias("outside")), "open-texts")
+    tokens = materialize(sets.join(nodes, "node").select("node", F.explode("shingles").alias("token")), "open-shingles")
+    counts = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts")
+    # A shingle of one text alone joins nothing, but takes its place in the order of rarity.
+    ranked = tokens.join(counts, "token", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("tokens"))
+    size = F.size("tokens")
+    prefix = F.slice("tokens", 1, (size - F.ceil(size * threshold) + 1).cast("int"))
+    prefixes = ranked.join(nodes, "node").select("node", "component", "outside", size.alias("size"), F.posexplode(prefix).alias("place", "t"))
+    prefixes = materialize(prefixes.where("t.n > 1").select("node", "component", "outside", "size", "place", "t.token"), "shingle-prefixes")
+    one, two = (prefixes.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "outside", "size", "place"))) for k in "ab")
+    # At the first shingle that two texts share, they share no more than what is left of either.
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = left * (1 + threshold) >= threshold * (F.col("size_a") + F.col("size_b")) - 1e-6
+    once = ~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))
+    met = one.where("outside_a").join(two, (one["token"] == two["token"]) & F.expr("component_a != component_b") & enough & once)
+    new = met.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
+    new = materialize(new.join(compared, ["a", "b"], "left_anti"), "pairs")
+    found = materialize(_verify(new, sets, threshold), "links")
+    if found.isEmpty():
+        return components
+    return connected_components(links.unionByName(found))
