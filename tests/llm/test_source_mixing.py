@@ -12,7 +12,7 @@ SCHEMA = "doc_id long, text string, source string, size string, n string, of str
 
 def run(spark, docs, **kw):
     df = spark.createDataFrame([(i, t, s, "c", "c", "c") for i, t, s in docs], SCHEMA)
-    return sorted((tuple(r) for r in mix_sources(df, **kw).collect()), key=str)
+    return sorted((tuple(r)[:7] for r in mix_sources(df, **kw).collect()), key=str)
 
 
 def brute_targets(sizes, weights, share):

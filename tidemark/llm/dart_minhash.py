@@ -189,7 +189,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 32, rows: int = 7) -> DataFrame:
-    """(doc_id, class_id) for every row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, class_id, class_key) for every row of ``docs`` (doc_id, text).
+
+    ``text_hash`` is xxhash64 of the text, which tells rows that repeat a doc_id
+    apart; ``class_key`` is a number of the class that no other class has, null
+    for texts without words.
 
     With 32 bands of 7 rows a pair at similarity 0.8 meets in a bucket with
     probability 0.9995, one at 0.5 with 0.22, one at 0.3 with 0.007.
@@ -219,9 +223,10 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int =
         texts.select("f1", "f2", "node", "doc_id").join(components, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
     )
     classes = materialize(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "classes")
-    placed = materialize(placed.join(classes, "component").select("f1", "f2", "class_id"), "class-of-text")
-    joined = signed.select("doc_id", "f1", "f2").join(placed, ["f1", "f2"], "left")
-    return joined.select("doc_id", F.when(F.col("f1").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    placed = materialize(placed.join(classes, "component").select("f1", "f2", "class_id", F.col("component").alias("class_key")), "class-of-text")
+    joined = signed.select("doc_id", "h", "f1", "f2").join(placed, ["f1", "f2"], "left")
+    class_id = F.when(F.col("f1").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+    return joined.select("doc_id", F.col("h").alias("text_hash"), class_id.alias("class_id"), "class_key")
 
 
 def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, components: DataFrame, sets: DataFrame, threshold: float):

@@ -59,7 +59,7 @@ def prefix_table(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     windows = materialize(item_windows(benchmark, size), "item-windows")
     tokens = windows.select("window", "items", F.posexplode("window").alias("offset", "word"))
     vocabulary = materialize(tokens.select("word").distinct(), "item-words")
-    counts = _word_counts(docs, vocabulary)
+    counts = materialize(_word_counts(docs, vocabulary), "item-word-counts")
     rarest = (
         tokens.join(counts, "word", "left")
         .groupBy("window")
@@ -93,18 +93,22 @@ def _verified(entries: Column, words: Column, at: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, items (sorted ids of the items found)."""
+    """Per row of ``docs``: doc_id, text_hash, n_words, n_hit, items (sorted ids of the items found), n_occurrences.
+
+    ``text_hash`` is xxhash64 of the text, which tells rows that repeat a doc_id apart.
+    """
     spark = docs.sparkSession
     prefixes = prefix_table(docs, benchmark, size)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), words_of(F.col("text")).alias("words"))
     none = F.lit(None).cast("array<struct<start: int, length: int, items: array<string>>>")
     if table_bytes(prefixes) <= broadcast_limit(spark):
-        tokens = rows.select("row", "doc_id", "words", F.posexplode_outer("words").alias("at", "word"))
+        tokens = rows.select("row", "doc_id", "text_hash", "words", F.posexplode_outer("words").alias("at", "word"))
         # The first word of a text stays whether it matches or not: every text gives a row.
         kept = tokens.join(F.broadcast(prefixes), "word", "left").where(F.col("entries").isNotNull() | (F.coalesce("at", F.lit(0)) == 0))
         found = kept.select(
             "row",
             "doc_id",
+            "text_hash",
             F.size("words").alias("n"),
             F.when(F.col("entries").isNotNull(), _verified(F.col("entries"), F.col("words"), F.col("at"))).otherwise(none).alias("hits"),
         )
@@ -117,13 +121,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
             .where((F.col("at") >= F.col("e.offset")) & (F.col("at") - F.col("e.offset") + F.col("e.length") <= F.col("n")))
             .select("row", "at", "e")
         )
-        hits = rows.join(candidates, "row").select("row", "doc_id", F.size("words").alias("n"), _verified(F.array("e"), F.col("words"), F.col("at")).alias("hits"))
-        found = hits.unionByName(rows.select("row", "doc_id", F.size("words").alias("n"), none.alias("hits")))
+        hits = rows.join(candidates, "row").select("row", "doc_id", "text_hash", F.size("words").alias("n"), _verified(F.array("e"), F.col("words"), F.col("at")).alias("hits"))
+        found = hits.unionByName(rows.select("row", "doc_id", "text_hash", F.size("words").alias("n"), none.alias("hits")))
     return (
-        found.groupBy("row", "doc_id")
+        found.groupBy("row", "doc_id", "text_hash")
         .agg(F.max("n").cast("long").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"))
         .select(
             "doc_id",
+            "text_hash",
             "n_words",
             F.size(
                 F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["length"] - 1))))

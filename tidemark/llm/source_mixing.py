@@ -67,10 +67,10 @@ def token_targets(sizes: dict, weights: tuple[float, ...], share: float) -> dict
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): words are runs of characters other than ASCII white space."""
+    """(doc_id, text_hash, source, size): words are runs of characters other than ASCII white space."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.cast("long").alias("size"))
+    return docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size"))
 
 
 def tilted(base: Column, tilt: Column, size: Column, mean: Column) -> Column:
@@ -134,7 +134,10 @@ def round_strata(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:
-    """Per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, rate, copies."""
+    """Per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, rate, copies, text_hash.
+
+    ``text_hash`` is xxhash64 of the text, which tells rows that repeat a doc_id apart.
+    """
     spark = docs.sparkSession
     salts = shuffle_partitions(spark)
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
@@ -166,13 +169,13 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     offsets = materialize(
         offsets.select(F.col("source").alias("o_source"), F.col("size").alias("o_size"), F.col("salt").alias("o_salt"), "offset", "stratum", "copies"), "stratum-cells"
     )
-    cell = Window.partitionBy("source", "size", "salt").orderBy("doc_id")
+    cell = Window.partitionBy("source", "size", "salt").orderBy("doc_id", "text_hash")
     ranked = sized.withColumn("rank", F.row_number().over(cell))
     placed = ranked.join(
         offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("size") == F.col("o_size")) & (F.col("salt") == F.col("o_salt"))
     )
     extra = F.col("offset") + F.col("rank") <= F.col("copies") % F.col("stratum")
-    counted = placed.select("doc_id", "source", "size", (F.floor(F.col("copies") / F.col("stratum")) + extra.cast("int")).cast("int").alias("copies"))
+    counted = placed.select("doc_id", "text_hash", "source", "size", (F.floor(F.col("copies") / F.col("stratum")) + extra.cast("int")).cast("int").alias("copies"))
     return counted.join(solved, same).select(
-        "doc_id", "source", "size", "source_size", "target", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"), "copies"
+        "doc_id", "source", "size", "source_size", "target", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"), "copies", "text_hash"
     )
