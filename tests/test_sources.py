@@ -44,7 +44,7 @@ def test_csv_and_parquet_round_trip(spark, scratch):
     rows = [("2024_01", 3), ("2024_02", 4)]
     df = spark.createDataFrame(rows, DAILY_ACTIVITY)
     csv_path, pq_path = scratch("csv"), scratch("pq")
-    df.write.option("header", "true").csv(csv_path)
+    df.repartition(2).write.csv(csv_path)  # no header line, as Spark writes it
     df.write.parquet(pq_path)
     dfs = read_catalog(
         spark,
@@ -58,6 +58,14 @@ def test_csv_and_parquet_round_trip(spark, scratch):
         assert d.schema == DAILY_ACTIVITY
 
 
+def test_csv_header_only_where_asked_for(spark, scratch):
+    path = scratch("csv")
+    spark.range(1000).selectExpr("cast(id as string) k", "1 n").repartition(4).write.option("header", "true").csv(path)
+    entry = {"path": path, "schema": "k string, n int"}
+    read = lambda e: read_catalog(spark, {"csv": {"c": e}})["c"].count()
+    assert read(entry) == 1004 and read(entry | {"options": {"header": "true"}}) == 1000
+
+
 def test_jdbc_options_checked_without_connecting():
     spec = spec_from_config(
         "jdbc",
@@ -69,8 +77,9 @@ def test_jdbc_options_checked_without_connecting():
     assert opts["url"] == "jdbc:postgresql://db/x" and opts["numPartitions"] == "8"
     with pytest.raises(ValueError, match="dbtable"):
         jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x"}))
-    with pytest.raises(ValueError, match="give all"):
-        jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "partitionColumn": "id"}}))
+    with pytest.raises(ValueError, match="needs all"):
+        jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "partitionColumn": "id", "lowerBound": 0, "numPartitions": 3}}))
+    assert jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "numPartitions": 3}}))["numPartitions"] == "3"
 
 
 def test_delta_without_package_is_a_clear_error(spark, scratch):

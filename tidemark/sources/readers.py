@@ -104,9 +104,9 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 @register(SourceFormat.CSV)
 def _read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    # A declared schema: no inference pass over the files.
-    opts = {"header": "true", **_opts(spec)}
-    return spark.read.schema(spec.schema).options(**opts).csv(spec.location)
+    # A declared schema: no inference pass over the files. Options as given: like
+    # Spark itself, a file has no header line unless they say so.
+    return spark.read.schema(spec.schema).options(**_opts(spec)).csv(spec.location)
 
 
 @register(SourceFormat.PARQUET)
@@ -128,10 +128,10 @@ def jdbc_options(spec: SourceSpec) -> dict[str, str]:
     if "dbtable" not in opts and "query" not in opts:
         raise ValueError(f"JDBC source {spec.name!r} needs 'dbtable' or 'query'.")
     bounds = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
-    given = [k for k in bounds if k in opts]
-    if given and len(given) < 3:
-        raise ValueError(f"JDBC source {spec.name!r}: give all of {bounds[:3]} (and numPartitions) or none.")
-    if not given:
+    stride = [k for k in bounds[:3] if k in opts]
+    if stride and any(k not in opts for k in bounds):
+        raise ValueError(f"JDBC source {spec.name!r}: a parallel read needs all of {bounds}.")
+    if not stride:
         log.warning("JDBC source %s has no partitionColumn: it is read by a single task.", spec.name)
     if spec.schema is not None:
         opts.setdefault(
