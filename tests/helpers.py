@@ -8,3 +8,19 @@ def plan_text(df, mode="formatted"):
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
+
+
+def files_scanned(df):
+    """Files that the file scans of the executed plan of ``df`` read (collect it first)."""
+    def scans(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return scans(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return scans(plan.plan())
+        if name == "FileSourceScanExec":
+            return plan.metrics().get("numFiles").get().value()
+        children = plan.children()
+        return sum(scans(children.apply(i)) for i in range(children.size()))
+
+    return scans(df._jdf.queryExecution().executedPlan())

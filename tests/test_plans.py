@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from helpers import plan_text
+from helpers import files_scanned, plan_text
 from tidemark.functions.predicates import cherry_pick, latest
 from tidemark.functions.weeks import STORED_WEEK, WEEK, orders_activity
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users
-from tidemark.operators.select import keep_requested
+from tidemark.operators.select import keep_requested, requests_frame
 from tidemark.operators.sinks import overwrite_all
 
 
@@ -36,6 +36,18 @@ def test_large_request_is_a_hash_set(stored):
     assert "INSET" in plan
 
 
+@pytest.mark.parametrize("tuples", [1, 11, 53, 156])
+def test_tuple_request_reads_only_its_weeks(stored, tuples):
+    rows = stored.withColumnRenamed(STORED_WEEK, WEEK)
+    present = rows.groupBy(WEEK).agg(F.min("activity_type").alias("activity_type")).orderBy(WEEK).limit(tuples)
+    request = [r.asDict() for r in present.collect()]
+    weeks = [r[WEEK] for r in request]
+    for picked in (rows.where(cherry_pick(request)), keep_requested(rows, requests_frame(rows.sparkSession, request), [WEEK, "activity_type"])):
+        counted = picked.groupBy(WEEK).count()  # an exchange: the scan is planned, and its files counted, while it runs
+        counted.collect()
+        assert files_scanned(counted) == stored.where(F.col(STORED_WEEK).isin(weeks)).select(F.input_file_name()).distinct().count()
+
+
 def test_latest_reads_no_data_columns(spark, stored):
     df = stored.select(F.col(STORED_WEEK).alias(WEEK))
     plan = plan_text(latest_partition(df, [WEEK]))

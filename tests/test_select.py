@@ -30,6 +30,14 @@ def test_select_partitions_routes_agree(spark):
     df = spark.createDataFrame([(rnd.choice(vals), rnd.choice(vals), i) for i in range(300)], "k0 STRING, k1 STRING, v INT")
     req = [{"k0": a, "k1": b} for a in "abc" for b in "ab"]
     lit_rows = sorted(r.v for r in select_partitions(df, req).collect())
-    join_rows = sorted(r.v for r in select_partitions(df, req, max_literal=2).collect())
     frame_rows = sorted(r.v for r in select_partitions(df, requests_frame(spark, req)).collect())
-    assert lit_rows == join_rows == frame_rows and lit_rows
+    assert lit_rows == frame_rows and lit_rows
+
+
+def test_both_routes_cast_requested_values(spark):
+    from tidemark.operators.select import requests_frame, select_partitions
+
+    df = spark.createDataFrame([(7, "a"), (8, "b"), (None, "c")], "k INT, v STRING")
+    req = {"k": ["7", "9"]}
+    picked = sorted(r.v for r in select_partitions(df, req).collect())
+    assert picked == sorted(r.v for r in select_partitions(df, requests_frame(spark, req)).collect()) == ["a", "c"]

@@ -22,12 +22,6 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-# Requests up to this many key tuples are written out as an OR of ANDs (the
-# readable form); above it, hash-set membership keeps the expression size
-# independent of the request size.
-SMALL_REQUEST = 10
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -83,7 +77,7 @@ def latest(
     return any_null | later
 
 
-def _request_rows(requests: Any) -> tuple[list[str], list[tuple]]:
+def request_rows(requests: Any) -> tuple[list[str], list[tuple]]:
     """Normalise a request into (key names, list of value tuples)."""
     if isinstance(requests, DataFrame):
         raise TypeError(
@@ -136,11 +130,14 @@ def cherry_pick(
     ``schema`` (the source schema, or name -> type) casts each requested value
     to its column's type, so ``"7"`` against an INT key compares as ``7``.
 
-    Small requests give ``OR`` over tuples of ``AND`` over fields; large
-    ones give hash-set membership (``INSET``) per NULL pattern of the keys,
-    so plan size does not grow with the number of requested partitions.
+    One plan for requests of any size. Every key must hold a value requested
+    for it (``k IS NULL OR k IN (...)``: on a partition column this prunes
+    directories); with several keys, the non-NULL keys must also form one of
+    the requested sub-tuples, a hash lookup per NULL pattern of the keys. The
+    values travel in the plan: a request that is itself data belongs in a
+    DataFrame, see ``tidemark.operators.select.keep_requested``.
     """
-    names, tuples = _request_rows(requests)
+    names, tuples = request_rows(requests)
     if not tuples:
         return F.lit(False)
     if isinstance(schema, StructType):
@@ -149,37 +146,26 @@ def cherry_pick(
         types = dict(schema or {})
     cols = {n: F.col(n) for n in names}
 
-    if len(tuples) <= SMALL_REQUEST:
-        return _or(
-            _and(cols[n].isNull() | (cols[n] == _typed(v, types.get(n))) for n, v in zip(names, t))
-            for t in tuples
-        )
+    def values(i: int) -> list[Column]:
+        return [_typed(v, types.get(names[i])) for v in sorted({t[i] for t in tuples}, key=repr)]
 
+    per_key = _and(cols[n].isNull() | cols[n].isin(values(i)) for i, n in enumerate(names))
     if len(names) == 1:
-        (n,) = names
-        return cols[n].isNull() | cols[n].isin([_typed(t[0], types.get(n)) for t in tuples])
-
-    # Several keys, many tuples: for every pattern of NULL keys, the non-NULL
-    # keys must form one of the requested sub-tuples (exactly the OR-of-ANDs
-    # truth table, with 2^k hash lookups instead of one term per tuple).
-    terms = []
-    k = len(names)
-    for mask in range(1 << k):
-        null_keys = [names[i] for i in range(k) if mask >> i & 1]
-        live = [names[i] for i in range(k) if not mask >> i & 1]
+        return per_key
+    patterns = []
+    for mask in range(1 << len(names)):
+        null_keys = [n for i, n in enumerate(names) if mask >> i & 1]
+        live = [n for n in names if n not in null_keys]
         shape = _and([cols[n].isNull() for n in null_keys] + [cols[n].isNotNull() for n in live])
-        if not live:
-            terms.append(shape)
-            continue
-        idx = [names.index(n) for n in live]
-        subs = sorted({tuple(t[i] for i in idx) for t in tuples}, key=repr)
-        probe = F.struct(*[cols[n].alias(n) for n in live])
-        wanted = [
-            F.struct(*[_typed(s[j], types.get(n)).alias(n) for j, n in enumerate(live)])
-            for s in subs
-        ]
-        terms.append(shape & probe.isin(wanted))
-    return _or(terms)
+        if len(live) > 1:  # a single key is decided by ``per_key`` already
+            at = [names.index(n) for n in live]
+            wanted = [
+                F.struct(*[_typed(v, types.get(n)).alias(n) for n, v in zip(live, sub)])
+                for sub in sorted({tuple(t[i] for i in at) for t in tuples}, key=repr)
+            ]
+            shape = shape & F.struct(*[cols[n].alias(n) for n in live]).isin(wanted)
+        patterns.append(shape)
+    return per_key & _or(patterns)
 
 
 _STRATEGIES: dict[str, Callable[..., Column]] = {

@@ -8,45 +8,32 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many requested key tuples the request travels as a DataFrame
-# (a semi-join) instead of literals inside the plan.
-MAX_LITERAL_REQUEST = 100_000
+from tidemark.functions.predicates import cherry_pick, request_rows
 
 
 def keep_requested(df: DataFrame, requests: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose keys match a row of ``requests`` (NULL keys match any value).
 
-    The same truth table as ``cherry_pick`` for a request held in a
-    DataFrame of any size: nothing is collected to the driver. Rows with all
-    keys present meet the distinct requests in a left-semi equi-join, which
-    AQE turns into a broadcast join only when the runtime size of the request
-    side is under the broadcast threshold, and a sort-merge join otherwise.
-    Rows with NULL keys are matched on their non-NULL keys only, one
-    semi-join per NULL pattern (2^k - 1 for k keys), and unioned back; each
-    pattern filter (``k IS NULL``) is pushed into the scan.
+    The same truth table as ``cherry_pick`` for a request held in a DataFrame
+    of any size: no request row reaches the driver, only the smallest and
+    largest value of each key, as a range filter that prunes partitions of
+    ``df``. Each request becomes its 2^k NULL patterns, and ``df``, read once,
+    meets them in one null-safe left-semi join, which Spark broadcasts only
+    when the request side is under its threshold.
     """
     keys = list(keys)
-    req = requests.select(*keys)
-    parts = []
-    k = len(keys)
-    for mask in range(1 << k):
-        null_keys = [keys[i] for i in range(k) if mask >> i & 1]
-        live = [keys[i] for i in range(k) if not mask >> i & 1]
-        shape = reduce(
-            lambda a, b: a & b,
-            [F.col(c).isNull() for c in null_keys] + [F.col(c).isNotNull() for c in live],
-        )
-        rows = df.where(shape)
-        if live:
-            wanted = req.select(*live).dropna().distinct()
-            rows = rows.join(wanted, on=live, how="left_semi")
-        else:
-            # All keys NULL: passes when any request exists; an uncorrelated
-            # scalar subquery over at most one request row, not a join.
-            any_request = req.limit(1).select(F.max(F.lit(True))).scalar()
-            rows = rows.where(F.coalesce(any_request, F.lit(False)))
-        parts.append(rows)
-    return reduce(DataFrame.unionByName, parts)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    wanted = requests.select(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+    ends = wanted.agg(*[f(k).alias(f"{name}_{k}") for k in keys for name, f in (("low", F.min), ("high", F.max))]).first()
+    ranges = [F.col(k).isNull() | F.col(k).between(F.lit(ends[f"low_{k}"]), F.lit(ends[f"high_{k}"])) for k in keys]
+    rows = df.where(reduce(lambda a, b: a & b, ranges))
+    for k in keys:
+        others = [c for c in keys if c != k]
+        either = F.explode(F.array(F.col(k), F.lit(None).cast(types[k]))).alias(k)
+        wanted = wanted.select(*others, either)
+    wanted = wanted.select(*[F.col(k).alias(f"requested_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"requested_{k}")) for k in keys])
+    return rows.join(wanted, same, "left_semi")
 
 
 def requests_frame(spark, requests, schema=None) -> DataFrame:
@@ -55,30 +42,19 @@ def requests_frame(spark, requests, schema=None) -> DataFrame:
     Accepts the same shapes as ``cherry_pick`` (``{"year_woy": [...]}`` or a
     list of key dicts); ``schema`` (DDL or ``StructType``) types the columns.
     """
-    from tidemark.functions.predicates import _request_rows
-
-    names, tuples = _request_rows(requests)
+    names, tuples = request_rows(requests)
     if schema is None:
         schema = ", ".join(f"`{n}` STRING" for n in names)
     return spark.createDataFrame(tuples, schema)
 
 
-def select_partitions(df: DataFrame, requests, *, max_literal: int = MAX_LITERAL_REQUEST) -> DataFrame:
-    """Rows of ``df`` matching a cherry-pick request, by the cheaper exact route.
+def select_partitions(df: DataFrame, requests) -> DataFrame:
+    """Rows of ``df`` matching a cherry-pick request.
 
-    A request held in a DataFrame, or one with more than ``max_literal`` key
-    tuples, goes through ``keep_requested`` (semi-joins); smaller driver-side
-    requests become a ``cherry_pick`` predicate, which prunes partitions at
-    planning time. Both give the same rows.
+    A request held in a DataFrame goes through ``keep_requested``, any other
+    becomes a ``cherry_pick`` predicate. Both cast requested values to the
+    key's type and give the same rows.
     """
-    from tidemark.functions.predicates import _request_rows, cherry_pick
-
     if isinstance(requests, DataFrame):
         return keep_requested(df, requests, requests.columns)
-    names, tuples = _request_rows(requests)
-    if len(tuples) <= max_literal:
-        return df.where(cherry_pick(requests, schema=df.schema))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    schema = ", ".join(f"`{n}` {types[n].simpleString()}" for n in names)
-    frame = df.sparkSession.createDataFrame(tuples, schema)
-    return keep_requested(df, frame, names)
+    return df.where(cherry_pick(requests, schema=df.schema))
