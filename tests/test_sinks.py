@@ -39,7 +39,7 @@ def test_replace_empty_is_noop(spark, scratch):
     path = scratch("k2e")
     replace_partitions(spark.createDataFrame([("a", 1)], "k STRING, v INT"), path, ["k"])
     metrics = replace_partitions(spark.createDataFrame([], "k STRING, v INT"), path, ["k"])
-    assert metrics == {"rows": 0, "partitions": set()}
+    assert metrics == {"rows": 0}
     assert _table(spark, path) == [("a", 1)]
 
 
@@ -133,10 +133,30 @@ def test_overwrite_guard_by_declared_roots(spark, scratch):
     assert _table(spark, path) == [("a", 1)]
 
 
-def test_written_partitions_are_reported(spark, scratch):
+def test_rows_are_counted_and_a_missing_count_raises(spark, scratch, monkeypatch):
+    from tidemark.operators import sinks
+
     df = spark.createDataFrame([("a", 1, 1), ("b", 2, 1), (None, 3, 2), ("a", 4, 2)], "k STRING, v INT, j INT")
-    m = replace_partitions(df, scratch("rep"), ["k", "j"])
-    assert m == {"rows": 4, "partitions": {("a", 1), ("b", 1), (None, 2), ("a", 2)}}
+    assert replace_partitions(df, scratch("rep"), ["k", "j"]) == {"rows": 4}
+
+    class Broken(sinks.Observation):
+        @property
+        def get(self):
+            raise RuntimeError("no metrics")
+
+    monkeypatch.setattr(sinks, "Observation", Broken)
+    with pytest.raises(RuntimeError, match="no metrics"):
+        replace_partitions(df, scratch("rep"), ["k", "j"])
+
+
+def test_scan_roots_do_not_list_files(spark, scratch):
+    from tidemark.operators.sinks import same_path, scan_roots
+
+    path = scratch("many")
+    replace_partitions(spark.range(40).select(F.col("id").alias("k"), F.lit(1).alias("v")), path, ["k"])
+    df = spark.read.parquet(path)
+    assert [same_path(r) for r in scan_roots(df.join(df.groupBy("v").count(), "v"))] == [same_path(path)] * 2
+    assert scan_roots(spark.range(3)) == []
 
 
 def test_rebalance_and_writers_layouts(spark, scratch):
@@ -144,7 +164,7 @@ def test_rebalance_and_writers_layouts(spark, scratch):
     for kw in ({"rebalance": True}, {"writers": 4}, {"writers": 4, "files_per_partition": 2}):
         path = scratch("layout")
         m = replace_partitions(df, path, ["k"], **kw)
-        assert m["rows"] == 3000 and len(m["partitions"]) == 30
+        assert m["rows"] == 3000
         assert spark.read.parquet(path).count() == 3000
     plan = plan_text(df.hint("rebalance", "k"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan

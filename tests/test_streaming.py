@@ -1,7 +1,7 @@
 from conftest import SF
 from tidemark.functions.weeks import activity_frame
 from tidemark.operators.aggregate import weekly_distinct_users
-from tidemark.streaming.replace import replace_batch, start_replace_stream
+from tidemark.streaming.replace import replace_batch, run_id, start_replace_stream
 
 
 def _weekly(df):
@@ -12,16 +12,58 @@ def test_stream_equals_backfill_and_replay_is_idempotent(spark, scratch):
     activity = activity_frame(spark.read.parquet(f"{SF}/events.parquet"))
     landing, store, target = scratch("sl"), scratch("ss"), scratch("st")
     activity.repartitionByRange(3, "activity_date").write.parquet(landing)
+    checkpoint = scratch("ck")
     q = start_replace_stream(
         spark, landing=landing, schema=activity.schema, store=store, target=target,
-        checkpoint=scratch("ck"), files_per_batch=1,
+        checkpoint=checkpoint, files_per_batch=1,
     )
     q.awaitTermination()
     assert len(q.recentProgress) >= 3
     expected = _weekly(weekly_distinct_users(activity))
     assert _weekly(spark.read.parquet(target)) == expected
-    # Replaying a batch id rewrites the same directories: no change.
-    batch = spark.read.parquet(landing).limit(0).unionByName(activity.where("activity_date < '2024-01-08'"))
-    replace_batch(spark, batch, 0, store=store, target=target)
-    replace_batch(spark, batch, 0, store=store, target=target)
-    assert _weekly(spark.read.parquet(target)) == expected
+    # Replaying a batch of the run rewrites the same directories: no change.
+    run = run_id(spark, checkpoint)
+    stored = _stored(spark, store)
+    files = sorted(f.removeprefix("file://") for f in spark.read.parquet(landing).inputFiles())
+    batch = spark.read.schema(activity.schema).parquet(*files[:1])
+    for _ in range(2):
+        replace_batch(spark, batch, 0, run=run, store=store, target=target)
+    assert _weekly(spark.read.parquet(target)) == expected and _stored(spark, store) == stored
+    # Another run may use the same batch ids.
+    replace_batch(spark, batch, 0, run="other", store=store, target=target)
+    assert _weekly(spark.read.parquet(target)) == expected and _stored(spark, store) == stored
+
+
+def _stored(spark, store):
+    rows = spark.read.parquet(store).select("year_woy", "user_id").collect()
+    assert len(rows) == len(set(rows))  # every pair once
+    return set(rows)
+
+
+def test_batches_with_null_weeks_and_users(spark, scratch):
+    store, target = scratch("ss"), scratch("st")
+    schema = "user_id LONG, activity_date DATE, activity_type STRING, __year_week_of_year__ STRING"
+    batches = [[(1, None, "a", "w1"), (None, None, "a", "w1"), (2, None, "a", None)], [(1, None, "b", "w1"), (3, None, "b", None)], [(None, None, "c", "w2")], []]
+    for i, rows in enumerate(batches):
+        n = replace_batch(spark, spark.createDataFrame(rows, schema), i, run="r", store=store, target=target)
+        assert n == len({r[3] for r in rows})
+    assert _weekly(spark.read.parquet(target)) == {"w1": 1, None: 2, "w2": 0}
+
+
+def test_store_grows_with_new_pairs_only(spark, scratch):
+    """Eight batches of the same rows: the store keeps one copy, and later batches add no file."""
+    store, target = scratch("ss"), scratch("st")
+    activity = activity_frame(spark.read.parquet(f"{SF}/events.parquet"))
+    counts = []
+    for i in range(8):
+        replace_batch(spark, activity, i, run="r", store=store, target=target)
+        counts.append(len(spark.read.parquet(store).inputFiles()))
+    assert len(set(counts)) == 1
+
+
+def test_orc_store_and_target(spark, scratch):
+    store, target = scratch("ss"), scratch("st")
+    activity = activity_frame(spark.read.parquet(f"{SF}/events.parquet"))
+    for i in range(2):
+        replace_batch(spark, activity, i, run="r", store=store, target=target, fmt="orc")
+    assert _weekly(spark.read.orc(target)) == _weekly(weekly_distinct_users(activity))

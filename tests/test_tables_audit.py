@@ -1,14 +1,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.audit import is_fresh, record_write, table_history
+from tidemark.operators.audit import record_writes, table_history
 from tidemark.operators.sinks import replace_partitions
 from tidemark.plans.tables import (
     DAILY_ACTIVITY,
+    TableDef,
     ensure_table,
     partition_columns,
     quoted,
-    recover_partitions,
+    read_table,
+    redefine_table,
+    sync_partitions,
     table_definition,
     table_exists,
     table_partitions,
@@ -20,7 +23,7 @@ def test_registry():
     d = table_definition("idempotent", "daily_activity")
     assert d.schema == DAILY_ACTIVITY and d.partition_cols == ("year_woy",)
     assert "NOT NULL" in table_definition("idempotent", "user_activity").ddl()
-    with pytest.raises(ValueError, match="No table definition"):
+    with pytest.raises(ValueError, match="Nothing is registered"):
         table_definition("idempotent", "nope")
     assert quoted("a", "b`c") == "`a`.`b``c`"
 
@@ -39,11 +42,11 @@ def test_ensure_table_view_and_partitions(spark, scratch):
         "user_id BIGINT, d STRING, activity_type STRING, __year_week_of_year__ STRING",
     ).select("user_id", F.to_date("d").alias("activity_date"), "activity_type", "__year_week_of_year__")
     replace_partitions(rows, loc, ["__year_week_of_year__"])
-    recover_partitions(spark, name)
+    sync_partitions(spark, name)
     weekly_view(spark, quoted(schema, "w1"), name, "2024_02")
     assert [r.user_id for r in spark.table(f"{schema}.w1").collect()] == [2]
     assert spark.table(f"{schema}.w1").columns == ["user_id", "activity_date", "activity_type"]
-    assert table_partitions(spark, loc, ["__year_week_of_year__"]) == {("2024_01",), ("2024_02",)}
+    assert sorted(r[0] for r in table_partitions(spark, f"{schema}.user_activity").collect()) == ["2024_01", "2024_02"]
     assert table_exists(spark, name=f"{schema}.user_activity")
     assert table_exists(spark, path=loc)
     assert not table_exists(spark, path=scratch("missing"))
@@ -51,33 +54,86 @@ def test_ensure_table_view_and_partitions(spark, scratch):
         weekly_view(spark, "v", name, "2024-01'; DROP")
 
 
-def test_audit_versions_and_freshness(spark, scratch):
+def test_a_name_taken_by_another_table_raises(spark, scratch):
+    loc, definition = scratch("a"), table_definition("idempotent", "daily_activity")
+    schema = "tm_test_taken"
+    assert ensure_table(spark, schema, "t", loc, definition, schema_location=scratch("db"))
+    assert not ensure_table(spark, schema, "t", "file://" + loc.removeprefix("file:"), definition)
+    for place, other, fmt in (
+        (scratch("b"), definition, "parquet"),
+        (loc, TableDef(definition.schema, ()), "parquet"),
+        (loc, TableDef(table_definition("idempotent", "user_activity").schema, definition.partition_cols), "parquet"),
+        (loc, definition, "orc"),
+    ):
+        with pytest.raises(ValueError, match="exists, but"):
+            ensure_table(spark, schema, "t", place, other, fmt)
+
+
+def test_redefined_table_has_new_columns_and_only_present_partitions(spark, scratch):
+    from tidemark.operators.sinks import overwrite_all
+
+    loc, schema = scratch("re"), "tm_test_redefine"
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, v INT")
+    new = spark.createDataFrame([("b", 3, "x")], "k STRING, v INT, w STRING")
+    ensure_table(spark, schema, "t", loc, TableDef(old.select("v", "k").schema, ("k",)), schema_location=scratch("db"))
+    for df in (old, new):
+        overwrite_all(df, loc, ["k"])
+        redefine_table(spark, schema, "t", loc, TableDef(df.schema, ("k",)))
+    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {schema}.t").collect()] == ["k=b"]
+    assert [(r.k, r.v, r.w) for r in spark.table(f"{schema}.t").collect()] == [("b", 3, "x")]
+
+
+def test_audit_is_one_append_a_run(spark, scratch):
     audit = scratch("audit")
-    assert is_fresh(spark, audit, "t")
-    assert record_write(spark, audit, "t", "CREATE", {}) == 0
-    assert is_fresh(spark, audit, "t")
-    assert record_write(spark, audit, "t", "REPLACE", {"rows": 5, "partitions_after": 5}) == 1
-    assert not is_fresh(spark, audit, "t")
-    assert is_fresh(spark, audit, "other")
-    hist = table_history(spark, audit, "t").collect()
-    assert [r.version for r in hist] == [1, 0] and hist[0].rows == 5
+    assert table_history(spark, audit, "t").count() == 0
+    record_writes(spark, audit, [{"table_name": "t", "operation": "LOAD", "rows": 5}, {"table_name": "u", "operation": "REPLACE", "rows": 1, "partitions_after": 2}])
+    record_writes(spark, audit, [{"table_name": "t", "operation": "LOAD", "rows": 7}])
+    assert [r.rows for r in table_history(spark, audit, "t").collect()] == [7, 5]
+    assert len(list(__import__("pathlib").Path(audit.removeprefix("file:")).glob("part-*"))) == 2
 
 
-def test_partitions_frame_typed_and_latest_from_listing(spark, scratch):
+def test_unreadable_table_is_an_error_not_an_empty_one(spark, scratch):
+    import pathlib
+
+    path = scratch("broken")
+    assert read_table(spark, path) is None
+    pathlib.Path(path.removeprefix("file:")).mkdir(parents=True)
+    assert read_table(spark, path) is None
+    pathlib.Path(path.removeprefix("file:"), "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        read_table(spark, path).count()
+
+
+def _listed(spark, scratch, df, keys):
+    """``df`` written by path, its catalog table's partitions."""
+    path = scratch("listed")
+    schema = "tm_" + path.rsplit("/", 1)[1].replace("-", "_")
+    replace_partitions(df, path, keys)
+    ensure_table(spark, schema, "t", path, TableDef(df.schema, tuple(keys)), schema_location=scratch("db"))
+    sync_partitions(spark, f"{schema}.t")
+    return table_partitions(spark, f"{schema}.t")
+
+
+def test_partition_listing_is_typed(spark, scratch):
+    import datetime as dt
+
     from tidemark.functions.predicates import latest
-    from tidemark.plans.tables import partitions_frame, read_table
 
-    path = scratch("typed")
-    df = spark.createDataFrame([(9, "x", 1), (10, "y", 2), (None, "z", 3)], "k INT, s STRING, v INT")
-    replace_partitions(df, path, ["k", "s"])
-    parts = partitions_frame(spark, read_table(spark, path), ["k", "s"])
+    df = spark.createDataFrame([(1, 9, "x"), (2, 10, "y"), (3, None, "z")], "v INT, k INT, s STRING")
+    parts = _listed(spark, scratch, df, ["k", "s"])
     assert dict(parts.dtypes) == {"k": "int", "s": "string"}
     # Integer order, not string order: 10 is newer than 9.
     src = spark.createDataFrame([(11, "z"), (10, "y"), (None, "zz")], "k INT, s STRING")
-    got = sorted((tuple(r) for r in src.where(latest(parts, ["k", "s"])).collect()), key=repr)
-    assert got == [(11, "z"), (None, "zz")]
-    empty = partitions_frame(spark, read_table(spark, scratch("none")), ["k"])
-    assert empty.count() == 0
+    assert sorted((tuple(r) for r in src.where(latest(parts, ["k", "s"])).collect()), key=repr) == [(11, "z"), (None, "zz")]
+    days = [dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2023, 12, 31)]
+    parts = _listed(spark, scratch, spark.createDataFrame([(1, d) for d in days], "v INT, d DATE"), ["d"])
+    assert dict(parts.dtypes) == {"d": "date"} and {r.d for r in parts.collect()} == set(days)
+
+
+def test_partition_listing_round_trips_escaped_values(spark, scratch):
+    values = ["a/b", "x=y", "50%", "sp ace", "p+q", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "v INT, k STRING")
+    assert {r.k for r in _listed(spark, scratch, df, ["k"]).collect()} == set(values)
 
 
 def test_delta_history_without_package_is_clear(spark, scratch):
@@ -85,31 +141,3 @@ def test_delta_history_without_package_is_clear(spark, scratch):
 
     with pytest.raises(ValueError, match="delta-spark"):
         delta_is_fresh(spark, scratch("d"))
-
-
-def test_partition_listing_round_trips_escaped_values(spark, scratch):
-    from tidemark.plans.tables import partitions_frame, read_table
-
-    path = scratch("escaped")
-    values = ["a/b", "x=y", "50%", "sp ace", None]
-    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "k STRING, v INT")
-    m = replace_partitions(df, path, ["k"])
-    listed = table_partitions(spark, path, ["k"])
-    assert listed == {(v,) for v in values} == m["partitions"]
-    frame = sorted((r.k for r in partitions_frame(spark, read_table(spark, path), ["k"]).collect()), key=repr)
-    assert frame == sorted(values, key=repr)
-
-
-def test_latest_over_date_partitions_from_listing(spark, scratch):
-    import datetime as dt
-
-    from tidemark.functions.predicates import latest
-    from tidemark.plans.tables import partitions_frame, read_table
-
-    path = scratch("dates")
-    days = [dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2023, 12, 31)]
-    replace_partitions(spark.createDataFrame([(d, 1) for d in days], "d DATE, v INT"), path, ["d"])
-    parts = partitions_frame(spark, read_table(spark, path), ["d"])
-    assert dict(parts.dtypes) == {"d": "date"}
-    src = spark.createDataFrame([(dt.date(2024, 1, 10),), (dt.date(2024, 1, 11),)], "d DATE")
-    assert [r.d for r in src.where(latest(parts, ["d"])).collect()] == [dt.date(2024, 1, 11)]

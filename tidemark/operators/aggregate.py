@@ -39,6 +39,17 @@ def weekly_distinct_users(
     )
 
 
+def weekly_type_counts(activity: DataFrame, predicate: Column | None = None) -> DataFrame:
+    """Events per week and activity type: ``year_woy, activity_type, events``.
+
+    The predicate sees ``year_woy`` and ``activity_type``. Counts combine map-side,
+    so a hot pair is one row per task in the shuffle.
+    """
+    rows = activity.select(F.col(STORED_WEEK).alias(WEEK), "activity_type")
+    kept = rows.where(predicate if predicate is not None else everything())
+    return kept.groupBy(WEEK, "activity_type").agg(F.count(F.lit(1)).alias("events"))
+
+
 def latest_partition(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Newest key row: all keys sorted descending (NULLs last), top 1.
 

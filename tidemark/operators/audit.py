@@ -1,13 +1,13 @@
-"""Write audit: one row per table write, kept as an append-only table.
+"""Write audit: what each job run did to its tables, as an append-only table.
 
-Parquet has no transaction log, so table history and versions come from this
-log. Rows are tiny (one per write); the log lives in the shared folder.
+One append a run, after its last write: rows written, partitions before and
+after. A failed run leaves no rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -18,7 +18,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 AUDIT = StructType(
     [
         StructField("table_name", StringType()),
-        StructField("version", LongType()),
         StructField("operation", StringType()),
         StructField("rows", LongType()),
         StructField("partitions_before", LongType()),
@@ -29,45 +28,21 @@ AUDIT = StructType(
 
 
 def table_history(spark: SparkSession, audit_path: str, table: str) -> DataFrame:
-    """Audit rows of ``table``, newest version first."""
+    """Audit rows of ``table``, newest first; none when nothing was recorded yet."""
     try:
         log = spark.read.schema(AUDIT).parquet(audit_path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         log = spark.createDataFrame([], AUDIT)
-    return log.where(F.col("table_name") == table).orderBy(F.col("version").desc())
+    return log.where(F.col("table_name") == table).orderBy(F.col("committed_at").desc())
 
 
-def record_write(
-    spark: SparkSession,
-    audit_path: str,
-    table: str,
-    operation: str,
-    metrics: Mapping[str, Any],
-) -> int:
-    """Append one audit row; returns the version it records."""
-    last = table_history(spark, audit_path, table).select(F.max("version")).head()[0]
-    version = 0 if last is None else int(last) + 1
-    row = (
-        table,
-        version,
-        operation,
-        _int(metrics.get("rows")),
-        _int(metrics.get("partitions_before")),
-        _int(metrics.get("partitions_after")),
-        dt.datetime.now(dt.UTC).replace(tzinfo=None),
-    )
-    spark.createDataFrame([row], AUDIT).coalesce(1).write.mode("append").parquet(audit_path)
-    return version
-
-
-def is_fresh(spark: SparkSession, audit_path: str, table: str) -> bool:
-    """True when the table has no history or only its creation (version 0)."""
-    last = table_history(spark, audit_path, table).select(F.max("version")).head()[0]
-    return last is None or int(last) == 0
-
-
-def _int(v: Any) -> int | None:
-    return None if v is None else int(v)
+def record_writes(spark: SparkSession, audit_path: str, writes: Sequence[Mapping[str, Any]]) -> None:
+    """Append the writes of one run: mappings of table_name, operation, rows, partitions_before, partitions_after."""
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    rows = [tuple(now if f.name == "committed_at" else w.get(f.name) for f in AUDIT.fields) for w in writes]
+    spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("append").parquet(audit_path)
 
 
 def delta_is_fresh(spark: SparkSession, path: str) -> bool:

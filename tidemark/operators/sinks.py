@@ -18,12 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def default_writers(spark) -> int:
-    """One wave of writer tasks: the cluster's default parallelism."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # no SparkContext on this client (Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def writers_for(spark, rows: int) -> int:
+    """Writer tasks for a table of that many one-row partitions: one each, at most one wave."""
+    return max(1, min(rows, int(spark.sparkContext.defaultParallelism)))
 
 
 def _layout(
@@ -69,7 +66,7 @@ def _layout(
     return df
 
 
-def _norm(path: str) -> str:
+def same_path(path: str) -> str:
     """Comparable form of a path: ``file:///a/b``, ``file:/a/b`` and ``/a/b`` agree."""
     if path.startswith("file:"):
         path = "/" + path.removeprefix("file:").lstrip("/")
@@ -77,22 +74,24 @@ def _norm(path: str) -> str:
 
 
 def _nested(a: str, b: str) -> bool:
-    a, b = _norm(a) + "/", _norm(b) + "/"
+    a, b = same_path(a) + "/", same_path(b) + "/"
     return a.startswith(b) or b.startswith(a)
 
 
-def _reads_path(df: DataFrame, path: str, reads_from: Sequence[str] | None = None) -> bool:
-    """Does ``df`` read files below ``path``?
+def scan_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file scans in the plan of ``df`` (one or a few per scan, whatever the files)."""
+    roots, leaves = [], df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            found = leaf.relation().location().rootPaths()
+            roots += [found.apply(k).toString() for k in range(found.size())]
+    return roots
 
-    With ``reads_from`` (the root paths the caller built ``df`` from) this is
-    a string comparison. Otherwise it asks ``inputFiles``, the file index the
-    driver already holds for the scans of ``df``: no job runs, but the list
-    grows with the number of input files.
-    """
-    if reads_from is not None:
-        return any(_nested(r, path) for r in reads_from)
-    root = _norm(path) + "/"
-    return any(_norm(f).startswith(root) for f in df.inputFiles())
+
+def _reads_path(df: DataFrame, path: str, reads_from: Sequence[str] | None = None) -> bool:
+    """Does ``df`` read files below ``path``, or above it? By the roots of its scans, or ``reads_from``."""
+    return any(_nested(r, path) for r in (scan_roots(df) if reads_from is None else reads_from))
 
 
 def _write(
@@ -108,16 +107,11 @@ def _write(
     writers: int | None = None,
     rebalance: bool = False,
 ) -> dict[str, Any]:
-    """Write ``df``; return rows written and the set of partition-key tuples written."""
+    """Write ``df``; returns the number of rows, counted in the write pass (one number per task)."""
     obs = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if partition_cols:
-        # The partition values written, gathered in the same pass: one entry
-        # per partition touched (metadata-sized), so callers need not re-list
-        # the table to learn which partitions changed.
-        metrics.append(F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("partitions"))
-    laid_out = _layout(df, partition_cols, files_per_partition, writers, rebalance).observe(obs, *metrics)
-    writer = laid_out.write.format(fmt).mode(mode)
+    laid_out = _layout(df, partition_cols, files_per_partition, writers, rebalance)
+    counted = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.format(fmt).mode(mode)
     if overwrite_mode:
         writer = writer.option("partitionOverwriteMode", overwrite_mode)
     if options:
@@ -126,15 +120,14 @@ def _write(
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)
     try:
-        got = obs.get
+        rows = int(obs.get["rows"])
     except Exception:
-        # No metrics arrive only when AQE replaced an empty input by an empty
-        # relation, so the observing operator never ran: nothing was written.
-        got = {}
-    return {
-        "rows": int(got.get("rows", 0)),
-        "partitions": {tuple(r) for r in got.get("partitions") or []},
-    }
+        # AQE replaces an input that turns out empty, and the count with it.
+        # Any other reason for a missing count is an error.
+        if not df.isEmpty():
+            raise
+        rows = 0
+    return {"rows": rows}
 
 
 def overwrite_all(

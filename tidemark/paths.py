@@ -2,11 +2,14 @@
 
 Intermediate tables, stream checkpoints and audit logs go below the folder
 the cluster names in ``spark.checkpoint.dir`` (a shared file system on a real
-cluster). Only when the session names none - a local test - do we create one.
+cluster). Only a single-JVM session (``local[...]``) that names none gets a
+temporary folder; on a cluster that would be a different disk per machine, so
+there it is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,15 +17,16 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set up if it is unset."""
+    """The shared checkpoint folder of the session; ``ValueError`` on a cluster that names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
-            root = spark.sparkContext.getCheckpointDir()
+            root, master = spark.sparkContext.getCheckpointDir(), spark.sparkContext.master
         except Exception:  # no SparkContext on this client (Spark Connect)
-            root = None
+            root, master = None, ""
+        if not root and not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
     if not root:
-        # Local tests only: nothing names a shared folder, so make one.
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -2,7 +2,9 @@ from tidemark.plans.jobs import (
     is_rollover_day,
     load_scenario,
     parse_partitions,
+    Target,
     read_preview_append,
+    register_target,
     rollover_days,
     run_overwrite,
     weekly_table_and_view,
@@ -13,13 +15,13 @@ from tidemark.plans.tables import (
     TableDef,
     ensure_schema,
     ensure_table,
+    check_table,
     ensure_tables,
     partition_columns,
-    partitions_frame,
-    partitions_of,
     quoted,
     read_table,
-    recover_partitions,
+    redefine_table,
+    sync_partitions,
     table_definition,
     table_exists,
     table_location,
@@ -31,6 +33,8 @@ __all__ = [
     "DAILY_ACTIVITY",
     "USER_ACTIVITY",
     "TableDef",
+    "Target",
+    "check_table",
     "ensure_schema",
     "ensure_table",
     "ensure_tables",
@@ -38,14 +42,14 @@ __all__ = [
     "load_scenario",
     "parse_partitions",
     "partition_columns",
-    "partitions_frame",
-    "partitions_of",
     "quoted",
     "read_table",
+    "redefine_table",
+    "register_target",
     "read_preview_append",
-    "recover_partitions",
     "rollover_days",
     "run_overwrite",
+    "sync_partitions",
     "table_definition",
     "table_exists",
     "table_location",

@@ -3,29 +3,28 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.predicates import choose_predicate
+from tidemark.functions.predicates import choose_predicate, request_rows
 from tidemark.functions.weeks import STORED_WEEK, WEEK
-from tidemark.operators.aggregate import weekly_distinct_users
-from tidemark.operators.audit import record_write, table_history
-from tidemark.operators.sinks import append_table, default_writers, overwrite_all, preview, replace_partitions
+from tidemark.operators.aggregate import weekly_distinct_users, weekly_type_counts
+from tidemark.operators.audit import record_writes
+from tidemark.operators.sinks import append_table, overwrite_all, preview, replace_partitions, writers_for
 from tidemark.plans.tables import (
-    DAILY_ACTIVITY,
-    TableDef,
     USER_ACTIVITY,
+    WEEKLY_TYPES,
+    TableDef,
     ensure_schema,
     ensure_table,
     ensure_tables,
-    partitions_frame,
-    partitions_of,
     quoted,
-    read_table,
-    recover_partitions,
+    redefine_table,
+    sync_partitions,
     table_definition,
     table_location,
     table_partitions,
@@ -36,6 +35,36 @@ from tidemark.plans.tables import (
 JOB_TABLES = {"user_activity": "idempotent", "daily_activity": "idempotent"}
 
 
+@dataclass(frozen=True)
+class Target:
+    """A table the overwrite job can maintain.
+
+    ``build(activity, predicate)`` computes its rows from the activity table;
+    the predicate is over the partition keys of ``definition``.
+    """
+
+    definition: TableDef
+    build: Callable[[DataFrame, Column], DataFrame]
+
+
+_TARGETS: dict[tuple[str, str], Target] = {
+    ("idempotent", "daily_activity"): Target(table_definition("idempotent", "daily_activity"), weekly_distinct_users),
+    ("idempotent", "weekly_types"): Target(TableDef(WEEKLY_TYPES, (WEEK, "activity_type")), weekly_type_counts),
+}
+
+
+def register_target(schema: str, table: str, target: Target) -> None:
+    """Add or replace the target that ``(schema, table)`` names."""
+    _TARGETS[(schema, table)] = target
+
+
+def target_of(schema: str, table: str) -> Target:
+    """The target registered for ``(schema, table)``; ``ValueError`` if none."""
+    if (schema, table) not in _TARGETS:
+        raise ValueError(f"{schema}.{table} is not a target of the overwrite job; register it first.")
+    return _TARGETS[(schema, table)]
+
+
 def parse_partitions(text: str | None) -> dict[str, list[Any]] | list[dict[str, Any]] | None:
     """Partition request from its JSON text; ``None`` or ``""`` means no request."""
     if text is None or not text.strip():
@@ -53,32 +82,38 @@ def load_scenario(
     scenario: int,
     *,
     mode: str = "overwrite",
+    fmt: str = "parquet",
+    landing_fmt: str = "parquet",
     files_per_partition: int | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> dict[str, Any]:
     """Load one scenario of the landing data into the activity table.
 
     The scenario filter is pushed into the landing scan. ``mode="overwrite"``
     (the reference's behaviour) replaces every partition and the schema;
     ``mode="replace"`` (ours) replaces only the weeks present in the landing
-    data, so a daily load rewrites days, not the whole history.
-    ``files_per_partition`` salts each week over that many writer tasks;
-    ``rebalance`` lets AQE size the writer tasks (one shuffle, hot weeks
-    split). Neither: no shuffle, each input split writes the weeks it holds.
+    data, so a daily load rewrites days, not the whole history. By default one
+    rebalancing shuffle brings each week's rows together, so that landing data
+    in any order gives about one file a week, and a hot week several;
+    ``files_per_partition`` salts each week over that many tasks instead;
+    ``rebalance=False`` writes rows where they are, for landing data that is
+    already laid out by week.
     """
-    rows = spark.read.parquet(landing).where(F.col("scenario") == F.lit(scenario).cast("int"))
+    rows = spark.read.format(landing_fmt).load(landing).where(F.col("scenario") == F.lit(scenario).cast("int"))
+    layout = {"fmt": fmt, "files_per_partition": files_per_partition, "rebalance": rebalance and not files_per_partition}
     if mode == "overwrite":
-        return overwrite_all(
-            rows, target, [STORED_WEEK], files_per_partition=files_per_partition,
-            reads_from=[landing], rebalance=rebalance,
-        )
+        return overwrite_all(rows, target, [STORED_WEEK], reads_from=[landing], **layout) | {"schema": rows.schema}
     if mode == "replace":
-        return replace_partitions(
-            rows, target, [STORED_WEEK], files_per_partition=files_per_partition, rebalance=rebalance
-        )
+        return replace_partitions(rows, target, [STORED_WEEK], **layout) | {"schema": rows.schema}
     raise ValueError(f"Unknown load mode {mode!r}; expected overwrite or replace.")
 
 
+def _check_request(partitions: Any, keys: Sequence[str]) -> None:
+    names, _ = request_rows(partitions) if partitions else ([], [])
+    if unknown := [n for n in names if n not in keys]:
+        raise ValueError(f"A request for this target names {list(keys)}; {unknown} are no partition keys of it.")
+
+
 def run_overwrite(
     spark: SparkSession,
     *,
@@ -87,81 +122,75 @@ def run_overwrite(
     scenario: int | None,
     backfill: bool = False,
     partitions: Mapping[str, Sequence[Any]] | Sequence[Mapping[str, Any]] | str | None = None,
+    table: str = "daily_activity",
+    schema: str = JOB_TABLES["daily_activity"],
+    target: Target | None = None,
     audit: str | None = None,
     load_mode: str = "overwrite",
+    fmt: str = "parquet",
+    landing_fmt: str = "parquet",
     files_per_partition: int | None = None,
-    rebalance: bool = False,
-    catalog: bool = False,
+    rebalance: bool = True,
 ) -> dict[str, Any]:
     """The idempotent overwrite pipeline.
 
-    1. load: ``scenario`` of the landing data replaces the activity table
+    1. create the activity table and the target, if absent, in catalog schema
+       ``schema`` (at ``<warehouse>/<schema>.db``); a name that is taken by a
+       table elsewhere raises;
+    2. load: ``scenario`` of the landing data replaces the activity table
        (skipped when ``scenario`` is None);
-    2. choose the predicate: backfill -> all weeks; requested partitions ->
-       those weeks; else weeks newer than the newest in the weekly table;
-    3. recompute exact distinct users per selected week from the activity
-       table and replace exactly those weeks in the weekly table.
-
-    The activity table written in step 1 is re-read from storage, so step 3
-    starts from a short lineage. Returns the metrics also written to the
-    audit log (when ``audit`` is given). ``load_mode``,
-    ``files_per_partition`` and ``rebalance`` are passed to ``load_scenario``. With
-    ``catalog=True`` both tables are also created in the catalog (if absent)
-    at their locations, and their partitions are refreshed after the writes.
+    3. choose the predicate: backfill -> all partitions; requested ones ->
+       those; else those newer than the newest the target has;
+    4. rebuild the selected partitions of ``table`` from the activity table
+       and replace exactly those.
+
+    ``table`` names a registered target (see :func:`register_target`), or
+    ``target`` gives one. Both tables are kept in format ``fmt``. The activity
+    table written in step 2 is read again from storage, so step 4 starts from
+    a short lineage. Returns the metrics, which ``audit`` (a path) also gets,
+    in one append at the end.
     """
     if isinstance(partitions, str):
         partitions = parse_partitions(partitions)
-    ua = table_location(warehouse, JOB_TABLES["user_activity"], "user_activity")
-    da = table_location(warehouse, JOB_TABLES["daily_activity"], "daily_activity")
+    target = target or target_of(JOB_TABLES["daily_activity"], table)
+    keys = list(target.definition.partition_cols)
+    _check_request(partitions, keys)
+    names = {"user_activity": schema, table: schema}
+    activity = table_definition(JOB_TABLES["user_activity"], "user_activity")
+    places = ensure_tables(spark, names, warehouse, {"user_activity": activity, table: target.definition}, fmt)
+    activity_name, target_name = quoted(schema, "user_activity"), quoted(schema, table)
     metrics: dict[str, Any] = {}
-    if catalog:
-        ensure_tables(spark, JOB_TABLES, warehouse)
-    if audit:
-        for name in ("user_activity", "daily_activity"):
-            if table_history(spark, audit, name).head(1) == []:
-                record_write(spark, audit, name, "CREATE", {})  # version 0
+    writes = []
 
     if scenario is not None:
         loaded = load_scenario(
-            spark, landing, ua, scenario, mode=load_mode,
+            spark, landing, places["user_activity"], scenario, mode=load_mode, fmt=fmt, landing_fmt=landing_fmt,
             files_per_partition=files_per_partition, rebalance=rebalance,
         )
         metrics["rows_loaded"] = loaded["rows"]
+        if load_mode == "overwrite":  # the landing data's schema replaces the table's, in the catalog too
+            redefine_table(spark, schema, "user_activity", places["user_activity"], TableDef(loaded["schema"], activity.partition_cols), fmt)
+        else:
+            sync_partitions(spark, activity_name)
         if audit:
-            if load_mode == "overwrite":  # the table now holds exactly the weeks written
-                after = len(loaded["partitions"])
-            else:
-                after = len(table_partitions(spark, ua, [STORED_WEEK]))
-            record_write(
-                spark, audit, "user_activity", load_mode.upper(), {"rows": loaded["rows"], "partitions_after": after}
-            )
-
-    # The newest week comes from the directory listing of the weekly table
-    # (one row per partition), not from a scan of its files.
-    current = read_table(spark, da)
-    target = partitions_frame(spark, current, [WEEK])
-    mode, predicate = choose_predicate(
-        target, [WEEK], backfill=backfill, partitions=partitions, schema={WEEK: DAILY_ACTIVITY[WEEK].dataType}
-    )
-    weekly = weekly_distinct_users(spark.read.parquet(ua), predicate)
-
-    before = partitions_of(current, [WEEK])
-    # One row per week: spread the week files over one wave of writer tasks.
-    written = replace_partitions(weekly, da, [WEEK], writers=default_writers(spark))
-    # Weeks after the write: those before plus those written (no re-listing).
-    after = before | {tuple(None if v is None else str(v) for v in t) for t in written["partitions"]}
-    metrics.update(
-        mode=mode,
-        rows=written["rows"],
-        partitions_written=len(written["partitions"]),
-        partitions_before=len(before),
-        partitions_after=len(after),
-    )
+            after = table_partitions(spark, activity_name).count()
+            writes.append({"table_name": "user_activity", "operation": load_mode.upper(), "rows": loaded["rows"], "partitions_after": after})
+
+    # The newest partition comes from the catalog's listing, not from a scan.
+    current = table_partitions(spark, target_name)
+    types = {f.name: f.dataType for f in target.definition.schema.fields}
+    mode, predicate = choose_predicate(current, keys, backfill=backfill, partitions=partitions, schema={k: types[k] for k in keys})
+    metrics.update(mode=mode, partitions_before=current.count())
+    rebuilt = target.build(spark.read.format(fmt).load(places["user_activity"]), predicate)
+    # Partitions to write: at most those of the activity table, or those requested.
+    upper = len(request_rows(partitions)[1]) if mode == "cherry_pick" else table_partitions(spark, activity_name).count()
+    written = replace_partitions(rebuilt, places[table], keys, fmt=fmt, writers=writers_for(spark, upper))
+    if written["rows"]:
+        sync_partitions(spark, target_name)
+    metrics.update(rows=written["rows"], partitions_after=table_partitions(spark, target_name).count())
     if audit:
-        record_write(spark, audit, "daily_activity", f"REPLACE:{mode}", metrics)
-    if catalog:
-        for table, schema in JOB_TABLES.items():
-            recover_partitions(spark, quoted(schema, table))
+        writes.append({"table_name": table, "operation": f"REPLACE:{mode}", **{k: metrics[k] for k in ("rows", "partitions_before", "partitions_after")}})
+        record_writes(spark, audit, writes)
     return metrics
 
 
@@ -182,7 +211,7 @@ def weekly_table_and_view(
     """
     ensure_schema(spark, schema, schema_location)
     ensure_table(spark, schema, table, location, definition or table_definition("idempotent", "user_activity"))
-    recover_partitions(spark, quoted(schema, table))
+    sync_partitions(spark, quoted(schema, table))
     weekly_view(spark, quoted(schema, view), quoted(schema, table), week)
 
 
@@ -209,11 +238,14 @@ def rollover_days(df: DataFrame, date_col: str = "activity_date") -> DataFrame:
 __all__ = [
     "JOB_TABLES",
     "USER_ACTIVITY",
+    "Target",
     "is_rollover_day",
     "load_scenario",
     "parse_partitions",
     "read_preview_append",
+    "register_target",
     "rollover_days",
     "run_overwrite",
+    "target_of",
     "weekly_table_and_view",
 ]

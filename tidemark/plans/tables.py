@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.functions.weeks import STORED_WEEK, WEEK
+from tidemark.operators.sinks import same_path
 
 USER_ACTIVITY = StructType(
     [
@@ -30,6 +30,14 @@ DAILY_ACTIVITY = StructType(
     ]
 )
 
+WEEKLY_TYPES = StructType(
+    [
+        StructField(WEEK, StringType()),
+        StructField("activity_type", StringType()),
+        StructField("events", LongType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class TableDef:
@@ -51,6 +59,7 @@ class TableDef:
 _TABLES: dict[tuple[str, str], TableDef] = {
     ("idempotent", "user_activity"): TableDef(USER_ACTIVITY, (STORED_WEEK,)),
     ("idempotent", "daily_activity"): TableDef(DAILY_ACTIVITY, (WEEK,)),
+    ("idempotent", "weekly_types"): TableDef(WEEKLY_TYPES, (WEEK, "activity_type")),
 }
 
 
@@ -59,7 +68,8 @@ def table_definition(schema: str, table: str) -> TableDef:
     try:
         return _TABLES[(schema, table)]
     except KeyError:
-        raise ValueError(f"No table definition for {schema}.{table}.") from None
+        known = ", ".join(sorted(".".join(k) for k in _TABLES))
+        raise ValueError(f"Nothing is registered under {schema}.{table} (known: {known}).") from None
 
 
 def register_table(schema: str, table: str, definition: TableDef) -> None:
@@ -82,17 +92,46 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema.replace('`', '``')}`{loc}")
 
 
+def _nothing_there(e: AnalysisException) -> bool:
+    """The path does not exist, or holds no data file yet; any other failure is an error."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def table_exists(spark: SparkSession, name: str | None = None, path: str | None = None, fmt: str = "parquet") -> bool:
     """Catalog entry for ``name`` exists, or data can be read at ``path``."""
     if name is not None:
         return spark.catalog.tableExists(name)
     if path is None:
         raise ValueError("table_exists needs a name or a path.")
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018 - schema inference probes the files
-        return True
-    except AnalysisException:
-        return False
+    return read_table(spark, path, fmt) is not None
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    """Location and provider of a catalog table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name in ('Location', 'Provider')").collect()
+    return {r.col_name: r.data_type for r in rows}
+
+
+def check_table(spark: SparkSession, schema: str, table: str, location: str, definition: TableDef, fmt: str = "parquet") -> None:
+    """``ValueError`` unless the catalog table has this location, format, partition keys and at least these columns."""
+    name = quoted(schema, table)
+    found = _described(spark, name)
+    columns = {c.name: c.dataType for c in spark.catalog.listColumns(f"{schema}.{table}")}
+    wrong = []
+    if same_path(found["Location"]) != same_path(location):
+        wrong.append(f"it is at {found['Location']}, not {location}")
+    if found["Provider"].lower() != fmt.lower():
+        wrong.append(f"its format is {found['Provider']}, not {fmt}")
+    wrong += [
+        f"column {f.name} is {columns.get(f.name, 'missing')}, not {f.dataType.simpleString()}"
+        for f in definition.schema.fields
+        if columns.get(f.name) != f.dataType.simpleString()
+    ]
+    keys = partition_columns(spark, f"{schema}.{table}")
+    if keys != list(definition.partition_cols):
+        wrong.append(f"it is partitioned by {keys}, not {list(definition.partition_cols)}")
+    if wrong:
+        raise ValueError(f"Table {schema}.{table} exists, but " + "; ".join(wrong) + ".")
 
 
 def ensure_table(
@@ -106,32 +145,52 @@ def ensure_table(
 ) -> bool:
     """Create the schema and a partitioned external table if absent.
 
-    Returns True when the table was created by this call.
+    Returns True when the table was created by this call. A table that is
+    there must agree (:func:`check_table`): another location or other columns
+    under the name raise ``ValueError``.
     """
     definition = definition or table_definition(schema, table)
     ensure_schema(spark, schema, schema_location)
-    name = quoted(schema, table)
     if spark.catalog.tableExists(f"{schema}.{table}"):
+        check_table(spark, schema, table, location, definition, fmt)
         return False
     parts = ", ".join(f"`{c}`" for c in definition.partition_cols)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({definition.ddl()}) USING {fmt}"
+        f"CREATE TABLE IF NOT EXISTS {quoted(schema, table)} ({definition.ddl()}) USING {fmt}"
         + (f" PARTITIONED BY ({parts})" if parts else "")
         + f" LOCATION {_sql_string(location)}"
     )
     return True
 
 
-def ensure_tables(spark: SparkSession, tables: dict[str, str], warehouse: str) -> dict[str, str]:
+def redefine_table(spark: SparkSession, schema: str, table: str, location: str, definition: TableDef, fmt: str = "parquet") -> None:
+    """After a full overwrite by path: give the catalog table the new columns and exactly the partitions that are there.
+
+    The table is external, so dropping its entry leaves the data.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, table)}")
+    ensure_table(spark, schema, table, location, definition, fmt)
+    if definition.partition_cols:
+        sync_partitions(spark, quoted(schema, table))
+
+
+def sync_partitions(spark: SparkSession, name: str) -> None:
+    """Make the catalog's partitions those of the directory: new ones are added, vanished ones dropped."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def ensure_tables(spark: SparkSession, tables: dict[str, str], warehouse: str, definitions: dict[str, TableDef] | None = None, fmt: str = "parquet") -> dict[str, str]:
     """Create every table of a job (table -> schema) below ``warehouse``.
 
     Schemas live at ``<warehouse>/<schema>.db``, tables inside them.
+    ``definitions`` (table -> definition) replaces registered ones.
     Returns table -> location.
     """
     out = {}
     for table, schema in tables.items():
         loc = table_location(warehouse, schema, table)
-        ensure_table(spark, schema, table, loc, schema_location=f"{warehouse.rstrip('/')}/{schema}.db")
+        ensure_table(spark, schema, table, loc, (definitions or {}).get(table), fmt, f"{warehouse.rstrip('/')}/{schema}.db")
         out[table] = loc
     return out
 
@@ -141,11 +200,6 @@ def table_location(warehouse: str, schema: str, table: str) -> str:
     return f"{warehouse.rstrip('/')}/{schema}.db/{table}"
 
 
-def recover_partitions(spark: SparkSession, name: str) -> None:
-    """Make partitions written by path visible to the catalog table."""
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-
-
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     """Partition columns of a catalog table, in declared order."""
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
@@ -176,51 +230,26 @@ def weekly_view(
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at ``path``, or None when there is no data there yet."""
+    """The table at ``path``, or None when there is no data there yet; other failures are raised."""
     try:
         return spark.read.format(fmt).load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _nothing_there(e):
+            raise
         return None
 
 
-def partitions_of(df: DataFrame | None, keys: Sequence[str]) -> set[tuple]:
-    """Partition key tuples of the files ``df`` scans, from the file listing only.
-
-    No data is read: the file index Spark builds for the path (listed in
-    parallel for large tables) already names every ``key=value`` directory.
-    """
-    if df is None:
-        return set()
-    found = set()
-    for f in df.inputFiles():
-        seg = {}
-        for part in f.split("/"):
-            k, eq, v = part.partition("=")
-            k = unquote(unquote(k))
-            if eq and k in keys:
-                # Two layers: ``inputFiles`` gives URIs (``%`` itself encoded),
-                # and Spark escapes special characters in directory names.
-                v = unquote(v)
-                seg[k] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
-        if len(seg) == len(keys):  # a file outside the partition tree holds no key
-            found.add(tuple(seg[k] for k in keys))
-    return found
-
-
-def partitions_frame(spark: SparkSession, df: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Distinct partition key tuples of ``df`` as a small local DataFrame.
-
-    Built from the file listing (one row per partition, never per data row)
-    and typed like ``df``'s partition columns, so ``latest`` over it needs no
-    scan of the table.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields} if df is not None else {}
-    raw = spark.createDataFrame(
-        sorted(partitions_of(df, keys), key=repr), ", ".join(f"`{k}` STRING" for k in keys)
-    )
-    return raw.select(*[F.col(k).cast(types[k]).alias(k) if k in types else F.col(k) for k in keys])
+def table_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """The partitions the catalog has of ``name``: one row each, typed like the partition columns."""
+    keys = [(c.name, c.dataType) for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not keys:
+        raise ValueError(f"{name} has no partition columns.")
+    listed = spark.sql(f"SHOW PARTITIONS {name}")
+    segments = F.split("partition", "/")
 
+    def value(i: int, dtype: str):
+        raw = F.substring_index(segments[i], "=", -1)  # '=' inside a value is escaped
+        plain = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", plain).cast(dtype)
 
-def table_partitions(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> set[tuple]:
-    """Partition key tuples present at ``path`` (empty when there is no table)."""
-    return partitions_of(read_table(spark, path, fmt), keys)
+    return listed.select(*[value(i, dtype).alias(k) for i, (k, dtype) in enumerate(keys)])

@@ -1,50 +1,63 @@
 """Stream-driven partition replacement.
 
-Each micro-batch of landing rows is stored in the activity table, keyed by
-(week, batch id), and the weeks it touched are recomputed from the whole
-stored table and replaced in the weekly table. Exact distinct counts are not
-additive, so weeks are recomputed, never incremented.
+The store keeps the distinct (week, user) pairs seen so far, partitioned by
+week, run and micro-batch. A micro-batch adds the pairs that the touched weeks
+do not have yet, and the weekly table gets those weeks' new counts. Work follows
+the pairs of the touched weeks, not the number of batches before.
 
 Exactly-once by idempotence: a micro-batch that Spark replays after a failure
-rewrites the same (week, batch id) directories and the same weeks, so the
-tables end as if it had run once.
+compares its pairs with all but its own, so it rewrites the same directories and
+the same weeks. A run is a checkpoint, known by the id Spark keeps in it, so
+several streams, or a new checkpoint over the same store, never overwrite each
+other's pairs.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.functions.predicates import cherry_pick
 from tidemark.functions.weeks import STORED_WEEK, WEEK
-from tidemark.operators.aggregate import weekly_distinct_users
-from tidemark.operators.sinks import default_writers, replace_partitions
+from tidemark.operators.sinks import replace_partitions, writers_for
+from tidemark.plans.tables import read_table
 
-BATCH = "__batch_id__"
-# Above this many weeks in one micro-batch the weekly write is spread over
-# several writer tasks.
-SPREAD_WEEKS = 16
+RUN, BATCH = "__run__", "__batch_id__"
 
 
-def replace_batch(spark: SparkSession, batch: DataFrame, batch_id: int, *, store: str, target: str) -> int:
-    """Store one micro-batch and replace the weeks it touched; returns their number."""
-    stored_batch = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    # REBALANCE: AQE sizes the writer tasks, splitting a hot week (a stream's
-    # current week often holds most of a batch) and merging small ones.
-    written = replace_partitions(stored_batch, store, [STORED_WEEK, BATCH], rebalance=True)
-    # The weeks of this batch, gathered while writing it: one value per
-    # partition touched, no second pass over the batch or the store.
-    weeks = sorted({week for week, _ in written["partitions"]}, key=repr)
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns ``checkpoint``, stable across its restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
+
+
+def replace_batch(spark: SparkSession, batch: DataFrame, batch_id: int, *, run: str, store: str, target: str, fmt: str = "parquet") -> int:
+    """Add one micro-batch to the store and replace the weeks it touched; returns their number."""
+    pairs = batch.select(F.col(STORED_WEEK).alias(WEEK), F.col("user_id").cast("long").alias("user_id")).distinct()
+    # One value per week of the batch: the predicate that prunes store and target.
+    weeks = [r[0] for r in pairs.select(WEEK).distinct().collect()]
     if not weeks:
         return 0
-    stored = spark.read.parquet(store)
-    weekly = weekly_distinct_users(stored, cherry_pick({WEEK: weeks}))
-    # One row per week: spread the week files over writer tasks when there
-    # are many; a handful is not worth an extra stage.
-    writers = min(len(weeks), default_writers(spark)) if len(weeks) > SPREAD_WEEKS else None
-    replace_partitions(weekly, target, [WEEK], writers=writers)
+    named = [w for w in weeks if w is not None]
+    touched = cherry_pick({WEEK: named}) if named else F.col(WEEK).isNull()
+    # Partition columns of the store, typed: a listing alone would guess.
+    schema = StructType([StructField("user_id", LongType()), *[StructField(c, StringType()) for c in (WEEK, RUN)], StructField(BATCH, LongType())])
+    stored = read_table(spark, store, fmt) and spark.read.schema(schema).format(fmt).load(store)
+    if stored is not None:
+        own = (F.col(RUN) == run) & (F.col(BATCH) == batch_id)
+        before = stored.where(touched & ~own).select(F.col(WEEK).alias("known_week"), F.col("user_id").alias("known_user"))
+        known = F.col(WEEK).eqNullSafe(F.col("known_week")) & F.col("user_id").eqNullSafe(F.col("known_user"))
+        pairs = pairs.join(before, known, "left_anti")
+    new = pairs.withColumns({RUN: F.lit(run), BATCH: F.lit(batch_id).cast("long")})
+    # REBALANCE: AQE sizes the writer tasks, splitting a hot week (a stream's
+    # current week often holds most of a batch) and merging small ones.
+    replace_partitions(new, store, [WEEK, RUN, BATCH], fmt=fmt, rebalance=True)
+    stored = spark.read.schema(schema).format(fmt).load(store).where(touched)
+    weekly = stored.groupBy(WEEK).agg(F.count("user_id").cast("int").alias("distinct_daily_users"))
+    replace_partitions(weekly, target, [WEEK], fmt=fmt, writers=writers_for(spark, len(weeks)))
     return len(weeks)
 
 
@@ -56,24 +69,27 @@ def start_replace_stream(
     store: str,
     target: str,
     checkpoint: str,
+    fmt: str = "parquet",
+    landing_fmt: str = "parquet",
     files_per_batch: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream from Parquet files arriving in ``landing``.
+    """Start the stream from files of format ``landing_fmt`` arriving in ``landing``.
 
     ``available_now`` processes what is there in as many micro-batches as
     ``files_per_batch`` gives, then stops; otherwise it runs on
-    ``processing_time``. ``checkpoint`` must be on shared storage.
+    ``processing_time``. ``checkpoint`` must be on shared storage. ``store``
+    and ``target`` are kept in format ``fmt``.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).format(landing_fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", int(files_per_batch))
-    writer = (
-        reader.parquet(landing)
-        .writeStream.foreachBatch(lambda df, bid: replace_batch(spark, df, bid, store=store, target=target))
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        replace_batch(spark, batch, batch_id, run=run_id(spark, checkpoint), store=store, target=target, fmt=fmt)
+
+    writer = reader.load(landing).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
