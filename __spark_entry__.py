@@ -22,12 +22,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.functions.predicates import cherry_pick, everything, latest  # noqa: E402
+from tidemark.functions.predicates import cherry_pick, everything, latest, strategy  # noqa: E402
 from tidemark.functions.weeks import STORED_WEEK, WEEK, activity_frame, orders_activity  # noqa: E402
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users  # noqa: E402
-from tidemark.operators.audit import is_fresh, table_history  # noqa: E402
-from tidemark.operators.select import keep_requested  # noqa: E402
-from tidemark.operators.sinks import default_writers, overwrite_all, replace_partitions  # noqa: E402
+from tidemark.operators.audit import table_history  # noqa: E402
+from tidemark.operators.select import keep_requested, requests_frame, select_partitions  # noqa: E402
+from tidemark.operators.sinks import SinkSpec, overwrite_all, replace_partitions, write_sink, writers_for  # noqa: E402
 from tidemark.paths import fresh_dir  # noqa: E402
 from tidemark.plans.jobs import (  # noqa: E402
     read_preview_append,
@@ -37,10 +37,10 @@ from tidemark.plans.jobs import (  # noqa: E402
 )
 from tidemark.plans.tables import (  # noqa: E402
     DAILY_ACTIVITY,
-    ensure_table,
+    ensure_tables,
     partition_columns,
     table_definition,
-    recover_partitions,
+    table_exists,
     table_location,
     table_partitions,
 )
@@ -78,6 +78,16 @@ def _landing(spark: SparkSession, sf_dir: str, where=None, source=None, files: i
     return path
 
 
+def _warehouse(spark: SparkSession) -> tuple[str, str]:
+    """A fresh warehouse folder and a catalog schema name of its own."""
+    path = fresh_dir(spark, "warehouse")
+    return path, f"tm_{os.path.basename(path).replace('-', '_')}"
+
+
+def _daily(spark: SparkSession, warehouse: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    return _weekly(spark.read.format(fmt).load(table_location(warehouse, schema, "daily_activity")))
+
+
 def _weekly(df: DataFrame) -> DataFrame:
     return df.select(WEEK, "distinct_daily_users")
 
@@ -117,7 +127,7 @@ def q_weekly_users_latest_orders(spark, sf_dir):
     target = fresh_dir(spark, "weekly")
     activity = _orders_activity(spark, sf_dir)
     weekly = weekly_distinct_users(activity, F.col(WEEK) <= "1999_52")
-    replace_partitions(weekly, target, [WEEK], writers=default_writers(spark))
+    replace_partitions(weekly, target, [WEEK], writers=writers_for(spark, 400))
     predicate = latest(spark.read.parquet(target), [WEEK])
     return weekly_distinct_users(activity, predicate)
 
@@ -189,6 +199,55 @@ def q_cherry_pick_many_tuples_null(spark, sf_dir):
     return _count_pairs(rows.where(cherry_pick(request)))
 
 
+def _stored_orders(spark, sf_dir):
+    """Orders activity as a table partitioned by week."""
+    path = fresh_dir(spark, "stored_orders")
+    overwrite_all(_orders_activity(spark, sf_dir), path, [STORED_WEEK], rebalance=True)
+    return spark.read.parquet(path).withColumnRenamed(STORED_WEEK, WEEK)
+
+
+def _picked(spark, sf_dir, tuples):
+    """Key tuples on the stored, partitioned table: reads the weeks requested only."""
+    types = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+    request = [{WEEK: w, "activity_type": types[i % 3]} for i, w in enumerate(_iso_weeks([1995, 1996, 1997])[:tuples])]
+    return _count_pairs(_stored_orders(spark, sf_dir).where(cherry_pick(request)))
+
+
+def q_cherry_pick_stored_11(spark, sf_dir):
+    return _picked(spark, sf_dir, 11)
+
+
+def q_cherry_pick_stored_53(spark, sf_dir):
+    return _picked(spark, sf_dir, 53)
+
+
+def q_cherry_pick_stored_156(spark, sf_dir):
+    return _picked(spark, sf_dir, 156)
+
+
+def q_literal_rows(spark, sf_dir):
+    # Literal rows as a DataFrame: a request of week and type, as data.
+    request = requests_frame(spark, REQUESTED_PAIRS, f"{WEEK} string, activity_type string")
+    rows = _activity(spark, sf_dir).withColumnRenamed(STORED_WEEK, WEEK)
+    return _count_pairs(select_partitions(rows, request))
+
+
+def q_strategy_by_name(spark, sf_dir):
+    # The three strategies by name, each selecting from the same table.
+    activity = _activity(spark, sf_dir).withColumnRenamed(STORED_WEEK, WEEK)
+    target = activity.where(F.col(WEEK) <= "2024_03")
+    chosen = {
+        "latest": strategy("LATEST", target, [WEEK]),
+        "cherry_pick": strategy("cherry_pick", {WEEK: REQUESTED_WEEKS}),
+        "trivial": strategy(" Trivial "),
+    }
+    counts = [
+        activity.where(p).groupBy(WEEK).agg(F.count(F.lit(1)).alias("events")).withColumn("strategy", F.lit(name))
+        for name, p in chosen.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 def q_keep_requested_join(spark, sf_dir):
     rows = _null_typed(_orders_activity(spark, sf_dir), "5-LOW")
     requests = rows.where(
@@ -209,23 +268,57 @@ def q_overwrite_all(spark, sf_dir):
     return spark.read.parquet(target).select(*ACTIVITY_COLS)
 
 
-def q_replace_partitions(spark, sf_dir):
+def _replaced_weeks(spark, sf_dir, fmt):
     landing = _landing(spark, sf_dir)
-    warehouse = fresh_dir(spark, "warehouse")
-    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=0, backfill=True)
+    warehouse, schema = _warehouse(spark)
+    job = {"landing": landing, "warehouse": warehouse, "schema": schema, "fmt": fmt}
+    run_overwrite(spark, scenario=0, backfill=True, **job)
     request = '{"year_woy": ["2024_01", "2024_03"]}'
     for _ in range(2):  # a re-run leaves the same table
-        run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=1, partitions=request)
-    return _weekly(spark.read.parquet(table_location(warehouse, "idempotent", "daily_activity")))
+        run_overwrite(spark, scenario=1, partitions=request, **job)
+    return _daily(spark, warehouse, schema, fmt)
+
+
+def q_replace_partitions(spark, sf_dir):
+    return _replaced_weeks(spark, sf_dir, "parquet")
+
+
+def q_replace_partitions_orc(spark, sf_dir):
+    return _replaced_weeks(spark, sf_dir, "orc")
 
 
 def q_replace_partitions_orders(spark, sf_dir):
     landing = _landing(spark, sf_dir, source=_orders_activity, files=8)
-    warehouse = fresh_dir(spark, "warehouse")
-    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=0, backfill=True)
+    warehouse, schema = _warehouse(spark)
+    run_overwrite(spark, landing=landing, warehouse=warehouse, schema=schema, scenario=0, backfill=True)
     request = {WEEK: _iso_weeks([1997])}  # 53 weeks: hash-set membership, pruned scan
-    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=1, partitions=request)
-    return _weekly(spark.read.parquet(table_location(warehouse, "idempotent", "daily_activity")))
+    run_overwrite(spark, landing=landing, warehouse=warehouse, schema=schema, scenario=1, partitions=request)
+    return _daily(spark, warehouse, schema)
+
+
+def q_second_target(spark, sf_dir):
+    # Another registered target: two partition keys, repaired by key tuples.
+    landing = _landing(spark, sf_dir)
+    warehouse, schema = _warehouse(spark)
+    job = {"landing": landing, "warehouse": warehouse, "schema": schema, "table": "weekly_types"}
+    run_overwrite(spark, scenario=0, backfill=True, **job)
+    run_overwrite(spark, scenario=1, partitions=REQUESTED_PAIRS, **job)
+    return spark.table(f"{schema}.weekly_types").select(WEEK, "activity_type", "events")
+
+
+def q_job_catalog(spark, sf_dir):
+    # The second load holds fewer weeks: the activity table loses the others,
+    # in the catalog too, and the weekly table keeps them.
+    warehouse, schema = _warehouse(spark)
+    job = {"warehouse": warehouse, "schema": schema, "backfill": True}
+    run_overwrite(spark, landing=_landing(spark, sf_dir), scenario=0, **job)
+    run_overwrite(spark, landing=_landing(spark, sf_dir, F.col(STORED_WEEK) <= "2024_03"), scenario=1, **job)
+    activity = spark.table(f"{schema}.user_activity").groupBy(F.col(STORED_WEEK).alias(WEEK)).agg(
+        F.count(F.lit(1)).alias("events"), F.max("scenario").alias("scenario")
+    )
+    return spark.table(f"{schema}.daily_activity").join(activity, WEEK, "left").select(
+        WEEK, "distinct_daily_users", "events", "scenario"
+    )
 
 
 def q_replace_keeps_stale(spark, sf_dir):
@@ -242,48 +335,62 @@ def q_latest_job(spark, sf_dir):
     # but, in latest mode, recomputes only weeks after 2024_03.
     early = _landing(spark, sf_dir, F.col(STORED_WEEK) <= "2024_03")
     full = _landing(spark, sf_dir)
-    warehouse = fresh_dir(spark, "warehouse")
-    run_overwrite(spark, landing=early, warehouse=warehouse, scenario=0, backfill=True)
-    run_overwrite(spark, landing=full, warehouse=warehouse, scenario=1)
-    return _weekly(spark.read.parquet(table_location(warehouse, "idempotent", "daily_activity")))
+    warehouse, schema = _warehouse(spark)
+    run_overwrite(spark, landing=early, warehouse=warehouse, schema=schema, scenario=0, backfill=True)
+    run_overwrite(spark, landing=full, warehouse=warehouse, schema=schema, scenario=1)
+    return _daily(spark, warehouse, schema)
 
 
 def q_write_audit(spark, sf_dir):
     landing = _landing(spark, sf_dir)
-    warehouse = fresh_dir(spark, "warehouse")
+    warehouse, schema = _warehouse(spark)
     audit = fresh_dir(spark, "audit")
-    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=1, backfill=True, audit=audit)
-    hist = table_history(spark, audit, "user_activity").where(F.col("operation") == "OVERWRITE")
-    return hist.select(
-        "table_name", "version", "rows", F.col("partitions_after").alias("partitions_after")
+    run_overwrite(spark, landing=landing, warehouse=warehouse, schema=schema, scenario=1, backfill=True, audit=audit)
+    tables = [table_history(spark, audit, t) for t in ("user_activity", "daily_activity")]
+    return tables[0].unionByName(tables[1]).select("table_name", "rows", "partitions_after")
+
+
+def q_table_partitions(spark, sf_dir):
+    # The catalog's partition columns and listing of the table the job loaded.
+    warehouse, schema = _warehouse(spark)
+    run_overwrite(spark, landing=_landing(spark, sf_dir), warehouse=warehouse, schema=schema, scenario=0, backfill=True)
+    name = f"{schema}.user_activity"
+    listed = table_partitions(spark, name)
+    return listed.select(F.lit(",".join(partition_columns(spark, name))).alias("partition_columns"), F.col(STORED_WEEK).alias(WEEK))
+
+
+def q_job_tables(spark, sf_dir):
+    # Every table of the job is created empty, then filled through the catalog.
+    warehouse, schema = _warehouse(spark)
+    names = ("user_activity", "daily_activity")
+    definitions = {t: table_definition("idempotent", t) for t in names}
+    ensure_tables(spark, dict.fromkeys(names, schema), warehouse, definitions)
+    empty = {t: spark.table(f"{schema}.{t}").isEmpty() for t in names}
+    rows = _activity(spark, sf_dir).drop("scenario").select(*definitions["user_activity"].schema.fieldNames())
+    rows.write.insertInto(f"{schema}.user_activity", overwrite=True)
+    stored = spark.table(f"{schema}.user_activity")
+    weekly_distinct_users(stored).select("distinct_daily_users", WEEK).write.insertInto(f"{schema}.daily_activity", overwrite=True)
+    return spark.table(f"{schema}.daily_activity").select(
+        WEEK, "distinct_daily_users", F.lit(empty["user_activity"] and empty["daily_activity"]).alias("created_empty")
     )
 
 
-def q_table_state(spark, sf_dir):
-    landing = _landing(spark, sf_dir)
-    warehouse = fresh_dir(spark, "warehouse")
-    audit = fresh_dir(spark, "audit")
-    location = table_location(warehouse, "idempotent", "daily_activity")
-    name = f"tm_{os.path.basename(warehouse).replace('-', '_')}"
-    ensure_table(
-        spark,
-        name,
-        "daily_activity",
-        location,
-        definition=table_definition("idempotent", "daily_activity"),
-        schema_location=f"{warehouse}/{name}.db",
-    )
-    run_overwrite(spark, landing=landing, warehouse=warehouse, scenario=0, backfill=True, audit=audit)
-    recover_partitions(spark, f"`{name}`.`daily_activity`")
-    cols = partition_columns(spark, f"{name}.daily_activity")
-    parts = len(table_partitions(spark, location, cols))
-    fresh = is_fresh(spark, audit, "daily_activity")
-    # One row per table state, taken from the table itself.
-    return spark.read.parquet(location).select(
-        F.lit(cols[0]).alias("partition_column"),
-        F.lit(parts).cast("bigint").alias("partitions"),
-        F.lit(fresh).alias("is_fresh"),
-    ).distinct()
+def q_table_exists(spark, sf_dir):
+    # One row per week of the written table, with what the probes said before and after the write.
+    path = fresh_dir(spark, "probe")
+    before = table_exists(spark, path=path)
+    replace_partitions(weekly_distinct_users(_activity(spark, sf_dir)), path, [WEEK])
+    return _weekly(spark.read.parquet(path)).withColumns({"before": F.lit(before), "after": F.lit(table_exists(spark, path=path))})
+
+
+def q_sink_spec(spark, sf_dir):
+    # A described sink, in each of its modes.
+    spec = SinkSpec("weekly", fresh_dir(spark, "sink"), partitions=(WEEK,), options={"compression": "zstd"})
+    activity = _activity(spark, sf_dir)
+    write_sink(weekly_distinct_users(activity.where("scenario = 0")), spec, "overwrite")
+    write_sink(weekly_distinct_users(activity.where("scenario = 1"), F.col(WEEK) <= "2024_02"), spec, "replace")
+    write_sink(weekly_distinct_users(activity.where("scenario = 2"), F.col(WEEK) == "2024_01"), spec, "append")
+    return _weekly(spark.read.parquet(spec.location))
 
 
 # --------------------------------------------------------------------------
@@ -329,16 +436,23 @@ def q_period_rollover_orders(spark, sf_dir):
 # Configured sources
 
 
+# Spark's default timestamp text keeps milliseconds only.
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def _source_roundtrip(spark, sf_dir, fmt):
+    """All of ``events``, written as several files and read back as a configured source."""
     path = fresh_dir(spark, f"src_{fmt}")
-    weekly = weekly_distinct_users(_activity(spark, sf_dir))
-    writer = weekly.write.mode("overwrite")
-    (writer.option("header", "true").csv(path) if fmt == "csv" else writer.parquet(path))
+    events = _events(spark, sf_dir)
+    options = {"timestampNTZFormat": MICROSECONDS, "timestampFormat": MICROSECONDS} if fmt == "csv" else {}
+    if fmt == "csv":
+        options |= {"quoteAll": "true", "escape": '"', "multiLine": "true"}
+    events.repartition(4).write.format(fmt).options(**options).save(path)
     config = {
         "defaults": {"ignored": True},
-        fmt: {"weekly": {"path": path, "schema": DAILY_ACTIVITY.jsonValue(), "options": {"mode": "FAILFAST"} if fmt == "csv" else {}}},
+        fmt: {"events": {"path": path, "schema": events.schema.jsonValue(), "options": options | ({"mode": "FAILFAST"} if fmt == "csv" else {})}},
     }
-    return read_catalog(spark, config)["weekly"]
+    return read_catalog(spark, config)["events"]
 
 
 def q_source_csv(spark, sf_dir):
@@ -394,6 +508,19 @@ def q_stream_replace_orders(spark, sf_dir):
     return _weekly(spark.read.parquet(target))
 
 
+def q_stream_two_checkpoints(spark, sf_dir):
+    # Two streams, each with its own landing and checkpoint, into one store.
+    store, target = fresh_dir(spark, "stream_store"), fresh_dir(spark, "stream_weekly")
+    activity = _activity(spark, sf_dir)
+    for part in (0, 1):
+        landing = fresh_dir(spark, "stream_landing")
+        activity.where(F.pmod(F.xxhash64("user_id", "activity_date"), F.lit(2)) == part).write.parquet(landing)
+        start_replace_stream(
+            spark, landing=landing, schema=activity.schema, store=store, target=target, checkpoint=fresh_dir(spark, "stream_ckpt")
+        ).awaitTermination()
+    return _weekly(spark.read.parquet(target))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_scenario": q_scan_scenario,
     "weekly_users_backfill": q_weekly_users_backfill,
@@ -404,17 +531,28 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cherry_pick_tuples_null": q_cherry_pick_tuples_null,
     "cherry_pick_many": q_cherry_pick_many,
     "cherry_pick_many_tuples_null": q_cherry_pick_many_tuples_null,
+    "cherry_pick_stored_11": q_cherry_pick_stored_11,
+    "cherry_pick_stored_53": q_cherry_pick_stored_53,
+    "cherry_pick_stored_156": q_cherry_pick_stored_156,
+    "literal_rows": q_literal_rows,
+    "strategy_by_name": q_strategy_by_name,
     "keep_requested_join": q_keep_requested_join,
     "latest_two_keys": q_latest_two_keys,
     "latest_two_keys_tuple": q_latest_two_keys_tuple,
     "latest_partition": q_latest_partition,
     "overwrite_all": q_overwrite_all,
     "replace_partitions": q_replace_partitions,
+    "replace_partitions_orc": q_replace_partitions_orc,
     "replace_partitions_orders": q_replace_partitions_orders,
+    "second_target": q_second_target,
+    "job_catalog": q_job_catalog,
     "replace_keeps_stale": q_replace_keeps_stale,
     "latest_job": q_latest_job,
     "write_audit": q_write_audit,
-    "table_state": q_table_state,
+    "table_partitions": q_table_partitions,
+    "job_tables": q_job_tables,
+    "table_exists": q_table_exists,
+    "sink_spec": q_sink_spec,
     "append_twice": q_append_twice,
     "weekly_view": q_weekly_view,
     "period_rollover": q_period_rollover,
@@ -423,6 +561,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_parquet": q_source_parquet,
     "stream_replace": q_stream_replace,
     "stream_replace_orders": q_stream_replace_orders,
+    "stream_two_checkpoints": q_stream_two_checkpoints,
 }
 
 
@@ -484,6 +623,12 @@ def _rollover(cte: str) -> str:
     )
 
 
+def _picked_sql(tuples: int) -> str:
+    types = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+    pairs = ", ".join(f"('{w}', '{types[i % 3]}')" for i, w in enumerate(_iso_weeks([1995, 1996, 1997])[:tuples]))
+    return _UO + f"SELECT year_woy, activity_type, COUNT(*) AS events FROM ua WHERE (year_woy, activity_type) IN ({pairs}) GROUP BY ALL"
+
+
 _ORACLES: dict[str, str] = {
     "scan_scenario": _UA + _ROWS + "WHERE scenario = 0",
     "weekly_users_backfill": _wau("TRUE"),
@@ -504,6 +649,16 @@ _ORACLES: dict[str, str] = {
         "(year_woy IS NULL OR substr(year_woy, 1, 4) = '1997') "
         "AND (activity_type IS NULL OR activity_type IN ('1-URGENT', '2-HIGH'))",
     ),
+    **{f"cherry_pick_stored_{n}": _picked_sql(n) for n in (11, 53, 156)},
+    "literal_rows": _pairs(
+        _UA,
+        "",
+        "(year_woy = '2024_01' AND activity_type = 'click') OR (year_woy = '2024_02' AND activity_type = 'view')",
+    ),
+    "strategy_by_name": _UA + " UNION ALL ".join(
+        f"SELECT '{name}' AS strategy, year_woy, COUNT(*) AS events FROM ua WHERE {cond} GROUP BY year_woy"
+        for name, cond in (("latest", "year_woy > '2024_03'"), ("cherry_pick", "year_woy IN ('2024_01', '2024_04')"), ("trivial", "TRUE"))
+    ),
     "keep_requested_join": _pairs(
         _UO,
         "5-LOW",
@@ -525,18 +680,29 @@ _ORACLES: dict[str, str] = {
     ),
     "replace_keeps_stale": _replaced("TRUE", "scenario = 2 AND year_woy <> '2024_02'"),
     "latest_job": _wau("scenario = CASE WHEN year_woy <= '2024_03' THEN 0 ELSE 1 END"),
-    "write_audit": _UA + "SELECT 'user_activity' AS table_name, CAST(1 AS BIGINT) AS version, "
-    "COUNT(*) AS rows, COUNT(DISTINCT year_woy) AS partitions_after FROM ua WHERE scenario = 1",
-    "table_state": _UA + "SELECT 'year_woy' AS partition_column, COUNT(DISTINCT year_woy) AS partitions, "
-    "FALSE AS is_fresh FROM ua WHERE scenario = 0",
+    "replace_partitions_orc": _replaced("scenario = 0", "scenario = 1 AND year_woy IN ('2024_01', '2024_03')"),
+    "second_target": _UA + "SELECT year_woy, activity_type, COUNT(*) AS events FROM ua "
+    "WHERE scenario = CASE WHEN (year_woy, activity_type) IN (('2024_01', 'click'), ('2024_02', 'view')) THEN 1 ELSE 0 END "
+    "GROUP BY year_woy, activity_type",
+    "job_catalog": _UA + "SELECT year_woy, CAST(COUNT(DISTINCT user_id) AS INTEGER) AS distinct_daily_users, "
+    "CASE WHEN year_woy <= '2024_03' THEN COUNT(*) END AS events, CASE WHEN year_woy <= '2024_03' THEN 1 END AS scenario "
+    "FROM ua WHERE scenario = CASE WHEN year_woy <= '2024_03' THEN 1 ELSE 0 END GROUP BY year_woy",
+    "write_audit": _UA + "SELECT 'user_activity' AS table_name, COUNT(*) AS rows, COUNT(DISTINCT year_woy) AS partitions_after "
+    "FROM ua WHERE scenario = 1 UNION ALL SELECT 'daily_activity', COUNT(DISTINCT year_woy), COUNT(DISTINCT year_woy) FROM ua WHERE scenario = 1",
+    "table_partitions": _UA + "SELECT DISTINCT '__year_week_of_year__' AS partition_columns, year_woy FROM ua WHERE scenario = 0",
+    "job_tables": f"SELECT *, TRUE AS created_empty FROM ({_wau('TRUE')})",
+    "table_exists": f"SELECT *, FALSE AS before, TRUE AS after FROM ({_wau('TRUE')})",
+    "sink_spec": _replaced("scenario = 0", "scenario = 1 AND year_woy <= '2024_02'")
+    + f" UNION ALL SELECT * FROM ({_wau(chr(39).join(('scenario = 2 AND year_woy = ', '2024_01', '')))})",
     "append_twice": f"SELECT * FROM ({_wau('TRUE')}) UNION ALL SELECT * FROM ({_wau('TRUE')})",
     "weekly_view": _UA + "SELECT user_id, activity_date, activity_type FROM ua WHERE year_woy = '2024_01'",
     "period_rollover": _rollover(_UA),
     "period_rollover_orders": _rollover(_UO),
-    "source_csv": _wau("TRUE"),
-    "source_parquet": _wau("TRUE"),
+    "source_csv": "SELECT * FROM events",
+    "source_parquet": "SELECT * FROM events",
     "stream_replace": _wau("TRUE"),
     "stream_replace_orders": _wau("TRUE", _UO),
+    "stream_two_checkpoints": _wau("TRUE"),
 }
 
 
