@@ -27,7 +27,7 @@ from tidemark.functions.weeks import STORED_WEEK, WEEK, activity_frame, orders_a
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users  # noqa: E402
 from tidemark.operators.audit import table_history  # noqa: E402
 from tidemark.operators.select import keep_requested, requests_frame, select_partitions  # noqa: E402
-from tidemark.operators.sinks import SinkSpec, overwrite_all, replace_partitions, write_sink, writers_for  # noqa: E402
+from tidemark.operators.sinks import overwrite_all, replace_partitions, write_sink, writers_for  # noqa: E402
 from tidemark.paths import fresh_dir  # noqa: E402
 from tidemark.plans.jobs import (  # noqa: E402
     read_preview_append,
@@ -385,12 +385,12 @@ def q_table_exists(spark, sf_dir):
 
 def q_sink_spec(spark, sf_dir):
     # A described sink, in each of its modes.
-    spec = SinkSpec("weekly", fresh_dir(spark, "sink"), partitions=(WEEK,), options={"compression": "zstd"})
+    sink = {"name": "weekly", "location": fresh_dir(spark, "sink"), "partitions": [WEEK], "options": {"compression": "zstd"}}
     activity = _activity(spark, sf_dir)
-    write_sink(weekly_distinct_users(activity.where("scenario = 0")), spec, "overwrite")
-    write_sink(weekly_distinct_users(activity.where("scenario = 1"), F.col(WEEK) <= "2024_02"), spec, "replace")
-    write_sink(weekly_distinct_users(activity.where("scenario = 2"), F.col(WEEK) == "2024_01"), spec, "append")
-    return _weekly(spark.read.parquet(spec.location))
+    write_sink(weekly_distinct_users(activity.where("scenario = 0")), sink, "overwrite")
+    write_sink(weekly_distinct_users(activity.where("scenario = 1"), F.col(WEEK) <= "2024_02"), sink, "replace")
+    write_sink(weekly_distinct_users(activity.where("scenario = 2"), F.col(WEEK) == "2024_01"), sink, "append")
+    return _weekly(spark.read.parquet(sink["location"]))
 
 
 # --------------------------------------------------------------------------

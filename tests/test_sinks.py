@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_text
-from tidemark.operators.sinks import SinkSpec, overwrite_all, replace_partitions, write_sink
+from tidemark.operators.sinks import overwrite_all, replace_partitions, write_sink
 
 
 def _table(spark, path):
@@ -113,15 +113,17 @@ def test_files_per_partition_spreads_identical_copies(spark, scratch):
 
 
 def test_write_sink_modes(spark, scratch):
-    spec = SinkSpec(name="t", location=scratch("sink"), partitions=("k",))
+    spec = {"name": "t", "location": scratch("sink"), "partitions": ("k",)}
     df = spark.createDataFrame([("a", 1)], "k STRING, v INT")
     write_sink(df, spec, "overwrite")
     write_sink(df, spec, "append")
-    assert spark.read.parquet(spec.location).count() == 2
+    assert spark.read.parquet(spec["location"]).count() == 2
     write_sink(df, spec, "replace")
-    assert spark.read.parquet(spec.location).count() == 1
+    assert spark.read.parquet(spec["location"]).count() == 1
     with pytest.raises(ValueError):
         write_sink(df, spec, "merge")
+    with pytest.raises(ValueError, match="has no"):
+        write_sink(df, {"location": "x", "path": "y"})
 
 
 def test_overwrite_guard_by_declared_roots(spark, scratch):

@@ -3,23 +3,22 @@ import json
 import pytest
 import yaml
 
-from tidemark.operators.sinks import SinkSpec
 from tidemark.plans.tables import DAILY_ACTIVITY
 from tidemark.sources import (
-    SourceFormat,
     jdbc_options,
     load_catalog,
+    parse_source,
     read_catalog,
     read_source,
+    register_format,
     schema_from_json,
-    spec_from_config,
 )
 
 
 def test_catalog_skips_defaults_and_rejects_unknown(tmp_path):
     cfg = {"defaults": {"x": 1}, "csv": {"a": {"path": "/p", "schema": DAILY_ACTIVITY.jsonValue()}}}
     cat = load_catalog(cfg)
-    assert list(cat) == ["a"] and cat["a"].format is SourceFormat.CSV and cat["a"].schema == DAILY_ACTIVITY
+    assert list(cat) == ["a"] and cat["a"]["format"] == "csv" and cat["a"]["schema"] == DAILY_ACTIVITY
     with pytest.raises(ValueError, match="Unknown source format"):
         load_catalog({"avro": {"a": {"path": "/p"}}})
     with pytest.raises(ValueError, match="needs a 'schema'"):
@@ -36,8 +35,8 @@ def test_catalog_from_yaml_and_json_schema_file(spark, tmp_path):
     cfg.write_text(yaml.safe_dump({"parquet": {"w": {"path": "/x", "schema": str(schema_file)}},
                                    "csv": {"w": {"path": "/y", "schema": "a INT"}}}, sort_keys=False))
     cat = load_catalog(cfg)
-    assert cat["w"].format is SourceFormat.CSV  # later duplicate name wins
-    assert cat["w"].schema.simpleString() == "struct<a:int>"
+    assert cat["w"]["format"] == "csv"  # later duplicate name wins
+    assert cat["w"]["schema"].simpleString() == "struct<a:int>"
 
 
 def test_csv_and_parquet_round_trip(spark, scratch):
@@ -67,7 +66,7 @@ def test_csv_header_only_where_asked_for(spark, scratch):
 
 
 def test_jdbc_options_checked_without_connecting():
-    spec = spec_from_config(
+    spec = parse_source(
         "jdbc",
         "orders",
         {"url": "jdbc:postgresql://db/x", "options": {"dbtable": "orders", "partitionColumn": "id",
@@ -76,18 +75,20 @@ def test_jdbc_options_checked_without_connecting():
     opts = jdbc_options(spec)
     assert opts["url"] == "jdbc:postgresql://db/x" and opts["numPartitions"] == "8"
     with pytest.raises(ValueError, match="dbtable"):
-        jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x"}))
+        jdbc_options(parse_source("jdbc", "x", {"url": "jdbc:x"}))
     with pytest.raises(ValueError, match="needs all"):
-        jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "partitionColumn": "id", "lowerBound": 0, "numPartitions": 3}}))
-    assert jdbc_options(spec_from_config("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "numPartitions": 3}}))["numPartitions"] == "3"
+        jdbc_options(parse_source("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "partitionColumn": "id", "lowerBound": 0, "numPartitions": 3}}))
+    assert jdbc_options(parse_source("jdbc", "x", {"url": "jdbc:x", "options": {"dbtable": "t", "numPartitions": 3}}))["numPartitions"] == "3"
 
 
 def test_delta_without_package_is_a_clear_error(spark, scratch):
-    spec = spec_from_config("delta", "d", {"path": scratch("delta")})
+    spec = parse_source("delta", "d", {"path": scratch("delta")})
     with pytest.raises(ValueError, match="delta-spark"):
         read_source(spark, spec).collect()
 
 
-def test_sink_spec_defaults():
-    s = SinkSpec(name="t", location="/x")
-    assert s.format == "parquet" and s.partitions == ()
+def test_registered_format(spark, scratch):
+    path = scratch("orc")
+    spark.range(5).write.orc(path)
+    register_format("orc_table", lambda session, source: session.read.orc(source["location"]))
+    assert read_catalog(spark, {"orc_table": {"o": {"path": path}}})["o"].count() == 5

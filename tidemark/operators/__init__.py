@@ -1,10 +1,9 @@
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users, weekly_type_counts
 from tidemark.operators.audit import delta_is_fresh, record_writes, table_history
 from tidemark.operators.select import keep_requested, requests_frame, select_partitions
-from tidemark.operators.sinks import SinkSpec, append_table, overwrite_all, preview, replace_partitions, write_sink
+from tidemark.operators.sinks import append_table, overwrite_all, preview, replace_partitions, write_sink
 
 __all__ = [
-    "SinkSpec",
     "append_table",
     "delta_is_fresh",
     "keep_requested",

@@ -10,12 +10,10 @@ result because each of these writes is a fixpoint.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def writers_for(spark, rows: int) -> int:
@@ -212,29 +210,20 @@ def preview(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
     df.show(n, truncate=truncate)
 
 
-@dataclass(frozen=True)
-class SinkSpec:
-    """A configured sink: where and how a job writes one table."""
+def write_sink(df: DataFrame, sink: Mapping[str, Any], mode: str = "replace") -> dict[str, Any]:
+    """Write ``df`` to a described sink: ``replace`` (dynamic), ``overwrite`` or ``append``.
 
-    name: str
-    location: str
-    format: str = "parquet"
-    schemas: Mapping[str, StructType] = field(default_factory=dict)
-    partitions: Sequence[str] = ()
-    options: Mapping[str, Any] = field(default_factory=dict)
-    metadata: Mapping[str, Any] = field(default_factory=dict)
-
-
-def write_sink(df: DataFrame, spec: SinkSpec, mode: str = "replace") -> dict[str, Any]:
-    """Write ``df`` as ``spec`` describes: ``replace`` (dynamic), ``overwrite`` or ``append``."""
-    mode = mode.lower()
+    A description has ``location`` and may have ``format``, ``partitions``,
+    ``options`` and ``metadata``.
+    """
+    if unknown := set(sink) - {"name", "location", "format", "partitions", "options", "metadata"}:
+        raise ValueError(f"A sink description has no {sorted(unknown)}.")
+    place, keys = sink["location"], list(sink.get("partitions", ()))
+    how = {"fmt": sink.get("format", "parquet"), "options": sink.get("options")}
     if mode == "replace":
-        return replace_partitions(df, spec.location, spec.partitions, fmt=spec.format, options=spec.options)
+        return replace_partitions(df, place, keys, **how)
     if mode == "overwrite":
-        return overwrite_all(df, spec.location, spec.partitions, fmt=spec.format, options=spec.options)
+        return overwrite_all(df, place, keys, **how)
     if mode == "append":
-        return _write(
-            df, spec.location, spec.partitions, mode="append", overwrite_mode=None,
-            fmt=spec.format, files_per_partition=None, options=spec.options,
-        )
+        return _write(df, place, keys, mode="append", overwrite_mode=None, files_per_partition=None, **how)
     raise ValueError(f"Unknown sink mode {mode!r}; expected replace, overwrite or append.")

@@ -1,22 +1,4 @@
 from tidemark.sources.catalog import load_catalog, read_catalog
-from tidemark.sources.readers import (
-    SourceFormat,
-    SourceSpec,
-    jdbc_options,
-    read_source,
-    register,
-    schema_from_json,
-    spec_from_config,
-)
+from tidemark.sources.readers import jdbc_options, parse_source, read_source, register_format, schema_from_json
 
-__all__ = [
-    "SourceFormat",
-    "SourceSpec",
-    "jdbc_options",
-    "load_catalog",
-    "read_catalog",
-    "read_source",
-    "register",
-    "schema_from_json",
-    "spec_from_config",
-]
+__all__ = ["jdbc_options", "load_catalog", "parse_source", "read_catalog", "read_source", "register_format", "schema_from_json"]

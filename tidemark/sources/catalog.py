@@ -1,4 +1,4 @@
-"""Source catalog: a configuration of many sources, keyed by format then name."""
+"""Source catalog: a configuration of many sources, keyed by format, then by name."""
 
 from __future__ import annotations
 
@@ -9,43 +9,31 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.readers import SourceFormat, SourceSpec, read_source, spec_from_config
+from tidemark.sources.readers import parse_source, read_source
 
-DEFAULTS_KEY = "defaults"
 
-
-def _load_text(path: str | Path) -> Mapping[str, Any]:
+def _parsed(path: str | Path) -> Mapping[str, Any]:
     text = Path(path).read_text()
-    if str(path).endswith((".yaml", ".yml")):
-        try:
-            import yaml
-        except ImportError as exc:  # pragma: no cover - yaml is optional
-            raise ValueError("Reading a YAML catalog needs PyYAML; pass a dict or JSON instead.") from exc
-        return yaml.safe_load(text) or {}
-    return json.loads(text)
+    if Path(path).suffix not in (".yaml", ".yml"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as exc:  # pragma: no cover - yaml is optional
+        raise ValueError("Reading a YAML catalog needs PyYAML; pass a dict or JSON instead.") from exc
+    return yaml.safe_load(text) or {}
 
 
-def load_catalog(config: Mapping[str, Any] | str | Path) -> dict[str, SourceSpec]:
-    """``{name: SourceSpec}`` from ``{format: {name: entry}}``.
+def load_catalog(config: Mapping[str, Any] | str | Path) -> dict[str, dict[str, Any]]:
+    """Sources by name from ``{format: {name: entry}}``, given as a mapping or a YAML or JSON file.
 
-    ``config`` is a mapping, or a YAML / JSON file. The top-level key
-    ``defaults`` is skipped; an unknown format raises ``ValueError``. Names
-    are global across formats, so a later duplicate replaces an earlier one.
+    The top-level key ``defaults`` is skipped; an unknown format raises
+    ``ValueError``. Names are global across formats: the last one counts.
     """
-    raw = config if isinstance(config, Mapping) else _load_text(config)
-    out: dict[str, SourceSpec] = {}
-    for fmt, entries in raw.items():
-        if fmt == DEFAULTS_KEY:
-            continue
-        try:
-            kind = SourceFormat(str(fmt).lower())
-        except ValueError:
-            raise ValueError(f"Unknown source format {fmt!r}; expected one of {[f.value for f in SourceFormat]}.") from None
-        for name, entry in (entries or {}).items():
-            out[name] = spec_from_config(kind, name, entry)
-    return out
+    tree = config if isinstance(config, Mapping) else _parsed(config)
+    flat = [(str(fmt).lower(), name, entry) for fmt, group in tree.items() if fmt != "defaults" for name, entry in (group or {}).items()]
+    return {name: parse_source(fmt, name, entry) for fmt, name, entry in flat}
 
 
 def read_catalog(spark: SparkSession, config: Mapping[str, Any] | str | Path) -> dict[str, DataFrame]:
     """Every source of the catalog as a lazily read DataFrame."""
-    return {name: read_source(spark, spec) for name, spec in load_catalog(config).items()}
+    return {name: read_source(spark, source) for name, source in load_catalog(config).items()}

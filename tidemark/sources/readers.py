@@ -1,12 +1,15 @@
-"""Configured sources: a description in, a lazily read DataFrame out."""
+"""Configured sources: one entry of a configuration in, a lazily read DataFrame out.
+
+A source is a plain mapping: ``name``, ``format``, ``location``, ``schema``,
+``options`` and ``metadata``. ``READERS`` maps each format to the function that
+reads it; :func:`register_format` adds one.
+"""
 
 from __future__ import annotations
 
 import json
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
-from enum import Enum
 from pathlib import Path
 from typing import Any
 
@@ -16,47 +19,12 @@ from pyspark.sql.types import StructType
 log = logging.getLogger(__name__)
 
 
-class SourceFormat(str, Enum):
-    CSV = "csv"
-    PARQUET = "parquet"
-    JDBC = "jdbc"
-    DELTA = "delta"
-
-
-@dataclass(frozen=True)
-class SourceSpec:
-    """Name, format, location (path or JDBC URL), schema, reader options, metadata."""
-
-    name: str
-    format: SourceFormat
-    location: str
-    schema: StructType | None = None
-    options: Mapping[str, Any] = field(default_factory=dict)
-    metadata: Mapping[str, Any] = field(default_factory=dict)
-
-
-Reader = Callable[[SparkSession, SourceSpec], DataFrame]
-_READERS: dict[SourceFormat, Reader] = {}
-
-
-def register(fmt: SourceFormat | str) -> Callable[[Reader], Reader]:
-    """Decorator: make ``fn(spark, spec) -> DataFrame`` the reader of ``fmt``."""
-
-    def wrap(fn: Reader) -> Reader:
-        _READERS[SourceFormat(fmt)] = fn
-        return fn
-
-    return wrap
-
-
 def schema_from_json(source: str | Path | Mapping[str, Any]) -> StructType:
-    """A ``StructType`` from its JSON form: a dict, JSON text or a JSON file."""
+    """A ``StructType`` from its JSON form: a mapping, JSON text or a JSON file."""
     if isinstance(source, Mapping):
         return StructType.fromJson(dict(source))
     text = str(source)
-    if not text.lstrip().startswith("{"):
-        text = Path(text).read_text()
-    return StructType.fromJson(json.loads(text))
+    return StructType.fromJson(json.loads(text if text.lstrip().startswith("{") else Path(text).read_text()))
 
 
 def _schema(value: Any) -> StructType | None:
@@ -67,89 +35,84 @@ def _schema(value: Any) -> StructType | None:
     return schema_from_json(value)
 
 
-def spec_from_config(fmt: SourceFormat | str, name: str, config: Mapping[str, Any]) -> SourceSpec:
-    """Build a ``SourceSpec`` from one configuration entry.
+def _files(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
+    """A file source, read with the declared schema (no inference pass) and the options as given.
 
-    ``path`` and ``schema`` are required for file formats; JDBC takes the URL
-    as ``path`` (or ``url``) and may omit the schema. ``schema`` is a
-    ``StructType`` JSON dict, a JSON file path or a DDL string.
+    Like in Spark itself, a CSV file has no header line unless they say so.
     """
-    fmt = SourceFormat(fmt)
-    location = config.get("path", config.get("url"))
-    if not location:
-        raise ValueError(f"Source {name!r} ({fmt.value}) needs a 'path'.")
-    if fmt in (SourceFormat.CSV, SourceFormat.PARQUET) and config.get("schema") is None:
-        raise ValueError(f"Source {name!r} ({fmt.value}) needs a 'schema'.")
-    return SourceSpec(
-        name=name,
-        format=fmt,
-        location=str(location),
-        schema=_schema(config.get("schema")),
-        options=dict(config.get("options") or {}),
-        metadata=dict(config.get("metadata") or {}),
-    )
-
-
-def _opts(spec: SourceSpec) -> dict[str, str]:
-    return {k: str(v) for k, v in spec.options.items()}
-
-
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Lazily read the source ``spec`` describes."""
-    reader = _READERS.get(spec.format)
-    if reader is None:
-        raise ValueError(f"No reader registered for format {spec.format.value!r}.")
-    return reader(spark, spec)
-
-
-@register(SourceFormat.CSV)
-def _read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    # A declared schema: no inference pass over the files. Options as given: like
-    # Spark itself, a file has no header line unless they say so.
-    return spark.read.schema(spec.schema).options(**_opts(spec)).csv(spec.location)
-
-
-@register(SourceFormat.PARQUET)
-def _read_parquet(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    reader = spark.read.options(**_opts(spec))
-    if spec.schema is not None:
-        reader = reader.schema(spec.schema)
-    return reader.parquet(spec.location)
-
-
-def jdbc_options(spec: SourceSpec) -> dict[str, str]:
+    reader = spark.read.format(source["format"]).options(**source["options"])
+    return (reader.schema(source["schema"]) if source["schema"] is not None else reader).load(source["location"])
+
+
+def jdbc_options(source: Mapping[str, Any]) -> dict[str, str]:
     """Reader options of a JDBC source, checked for a parallel read.
 
     With ``partitionColumn``, ``lowerBound``, ``upperBound`` and
     ``numPartitions`` Spark opens ``numPartitions`` connections, each reading
     one stride of the column; without them one task reads the whole table.
     """
-    opts = {"url": spec.location, **_opts(spec)}
-    if "dbtable" not in opts and "query" not in opts:
-        raise ValueError(f"JDBC source {spec.name!r} needs 'dbtable' or 'query'.")
+    options, name = {"url": source["location"], **source["options"]}, source["name"]
+    if not options.keys() & {"dbtable", "query"}:
+        raise ValueError(f"JDBC source {name!r} needs 'dbtable' or 'query'.")
     bounds = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
-    stride = [k for k in bounds[:3] if k in opts]
-    if stride and any(k not in opts for k in bounds):
-        raise ValueError(f"JDBC source {spec.name!r}: a parallel read needs all of {bounds}.")
+    stride = [k for k in bounds[:3] if k in options]
+    if stride and any(k not in options for k in bounds):
+        raise ValueError(f"JDBC source {name!r}: a parallel read needs all of {bounds}.")
     if not stride:
-        log.warning("JDBC source %s has no partitionColumn: it is read by a single task.", spec.name)
-    if spec.schema is not None:
-        opts.setdefault(
-            "customSchema", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema.fields)
-        )
-    return opts
+        log.warning("JDBC source %s has no partitionColumn: it is read by a single task.", name)
+    if source["schema"] is not None:
+        declared = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source["schema"].fields)
+        options.setdefault("customSchema", declared)
+    return options
 
 
-@register(SourceFormat.JDBC)
-def _read_jdbc(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(spec)).load()
+def _jdbc(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
+    return spark.read.format("jdbc").options(**jdbc_options(source)).load()
 
 
-@register(SourceFormat.DELTA)
-def _read_delta(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def _delta(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
     try:
-        return spark.read.format("delta").options(**_opts(spec)).load(spec.location)
+        return spark.read.format("delta").options(**source["options"]).load(source["location"])
     except Exception as exc:  # the data source class is missing without the package
         if "delta" in str(exc).lower() and ("not find" in str(exc).lower() or "DATA_SOURCE_NOT_FOUND" in str(exc)):
             raise ValueError("The Delta format needs the delta-spark package on the classpath.") from exc
         raise
+
+
+Reader = Callable[[SparkSession, Mapping[str, Any]], DataFrame]
+READERS: dict[str, Reader] = {"csv": _files, "parquet": _files, "jdbc": _jdbc, "delta": _delta}
+_SCHEMA_REQUIRED = {"csv", "parquet"}
+
+
+def register_format(fmt: str, reader: Reader, schema_required: bool = False) -> None:
+    """Make ``reader(spark, source)`` read the sources of format ``fmt``."""
+    READERS[fmt] = reader
+    (_SCHEMA_REQUIRED.add if schema_required else _SCHEMA_REQUIRED.discard)(fmt)
+
+
+def parse_source(fmt: str, name: str, entry: Mapping[str, Any]) -> dict[str, Any]:
+    """The source that one configuration entry describes.
+
+    ``path`` and ``schema`` are required for CSV and Parquet; JDBC takes its URL
+    as ``path`` or ``url`` and may omit the schema. ``schema`` is the JSON form,
+    a JSON file, a DDL string or a ``StructType``.
+    """
+    if fmt not in READERS:
+        raise ValueError(f"Unknown source format {fmt!r}; expected one of {sorted(READERS)}.")
+    location = entry.get("path", entry.get("url"))
+    for key, missing in (("path", not location), ("schema", fmt in _SCHEMA_REQUIRED and entry.get("schema") is None)):
+        if missing:
+            raise ValueError(f"Source {name!r} ({fmt}) needs a {key!r}.")
+    return {
+        "name": name,
+        "format": fmt,
+        "location": str(location),
+        "schema": _schema(entry.get("schema")),
+        "options": {k: str(v) for k, v in (entry.get("options") or {}).items()},
+        "metadata": dict(entry.get("metadata") or {}),
+    }
+
+
+def read_source(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
+    """Lazily read a source, see :func:`parse_source`."""
+    return READERS[source["format"]](spark, source)
