@@ -6,8 +6,19 @@ stage's input. All but the last return the columns of ``documents``; the last
 adds ``copies``, how often the mix takes the document.
 
 A row is told apart by its doc_id and the hash of its text. Rows that are equal
-in both are one document, except that the last stage counts each. ``run`` has no
-SQL form (the language model and the tilted rates are iterative), so it is
+in both are one document to the second stage, and go or stay together in the
+others; the last stage gives each its copies.
+
+Defined results: a null text, or one without letters, goes with the first stage
+(no language); a later stage given such rows keeps them, except that the mix
+takes nothing without words. A null doc_id is a value like any other and the
+last choice among near-duplicates, a null source a source of its own; null
+``lang`` and ``n_chars`` change nothing. Of near-duplicates of one doc_id, the
+text with the smaller hash stays. Columns beside those of ``documents`` are
+carried along, whatever their names, except that the last stage replaces one
+named ``copies``. An empty table stays empty.
+
+``run`` has no SQL form (the language model and the tilted rates are iterative), so it is
 tested against brute force.
 """
 
