@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import shuffle_partitions
 from tidemark.llm.hashing import U64, from_planes, hash_words, mix, planes, rolling
 
+SLICE_BYTES = 8_000_000
 MESSAGE = "slice int, bucket int, keys binary, docs binary, flags binary"
 RESULT = "doc_id long, text string, n_words long, n_removed long, spans array<struct<start: int, end: int>>"
 _MESSAGE_ARROW = pa.schema(
@@ -142,17 +143,19 @@ def _answer(slice_: int, bucket: int, bits: np.ndarray) -> tuple:
 def remove_repeats(docs: DataFrame, window: int = 13, slices: int | None = None, buckets: int | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): kept text, n_words, n_removed, removed word spans.
 
-    Kept words are joined by one space. ``slices`` and ``buckets`` default to
-    twice the session's shuffle partitions: a slice is held in one task's
-    memory, so they have to grow with the data as that setting does.
+    Kept words are joined by one space. A slice, and the messages to a bucket,
+    are held in one task's memory, so both are cut by the size of the texts: by
+    default about ``SLICE_BYTES`` of text a slice, twice that a bucket, and at
+    least two of each per shuffle partition.
     """
     spark = docs.sparkSession
     if window < 3:
         raise ValueError("window must be at least 3 words")
     block = (window + 1) // 2
-    n_slices = slices or 2 * shuffle_partitions(spark)
-    n_buckets = buckets or 2 * shuffle_partitions(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_slices = slices or max(2 * shuffle_partitions(spark), size // SLICE_BYTES)
+    n_buckets = buckets or max(2 * shuffle_partitions(spark), size // (2 * SLICE_BYTES))
     own = own.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).cast("int"))
     by_slice = own.groupBy("slice")
 
