@@ -51,7 +51,7 @@ def test_lexicon_has_words_and_stems(spark):
     entries = learn_lexicon(d, clean_labels(l, F.lit(True)))
     assert {"zounds", "gadzooks", "blat*"} <= entries.keys()
     lexicon = Lexicon(entries)
-    assert lexicon("blatherunseen") > 0 and lexicon("zounds") > 0 and lexicon("w1") == 0
+    assert lexicon["blatherunseen"] > 0 and lexicon["zounds"] > 0 and lexicon["w1"] == 0
 
 
 def test_features():

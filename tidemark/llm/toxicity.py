@@ -62,20 +62,24 @@ _PUNCTUATION = re.compile(r"[^\w\s]")
 _SPAN = 50  # words of the densest stretch
 
 
-class Lexicon:
-    """Weight of a word: the largest of the entries it is, or begins with (those that end in ``*``); 0 if none."""
+class Lexicon(dict):
+    """Word to weight: the largest of the entries it is, or begins with (those that end in ``*``); 0 if none.
+
+    Holds the weights of words asked for, at most ``KEPT`` of them.
+    """
+
+    KEPT = 200_000
 
     def __init__(self, entries: dict[str, float]):
-        self._entries, self._known = entries, {}
-
-    def __call__(self, word: str) -> float:
-        weight = self._known.get(word)
-        if weight is None:
-            get = self._entries.get
-            weight = max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n), 0.0)
-            if len(self._known) > 200_000:  # a cache, of bounded size
-                self._known.clear()
-            self._known[word] = weight
+        super().__init__()
+        self._entries = entries
+
+    def __missing__(self, word: str) -> float:
+        get = self._entries.get
+        weight = max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n), 0.0)
+        if len(self) >= self.KEPT:
+            self.clear()
+        self[word] = weight
         return weight
 
 
@@ -84,7 +88,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     lower = text.lower()
     words = _WORD.findall(lower)
     n = max(1, len(words))
-    weights = list(map(lexicon, words))
+    weights = list(map(lexicon.__getitem__, words))
     hits = [i for i, w in enumerate(weights) if w]
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near, j = 0.0, 0
@@ -101,7 +105,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     upper = sum(map(str.isupper, text)) if lower != text else 0
     shouted = sum(1 for w in _WORD.findall(text) if len(w) > 1 and w.isupper()) if upper else 0
     mixed = _MIXED.findall(lower)
-    disguised = sum(1 for w in _SYMBOLS.findall(lower) if not lexicon(w) and lexicon(w.translate(LOOKALIKES))) if mixed else 0
+    disguised = sum(1 for w in _SYMBOLS.findall(lower) if not lexicon[w] and lexicon[w.translate(LOOKALIKES)]) if mixed else 0
     chars = max(1, len(text))
     return [
         math.log1p(len(words)), len(hits) / n, float(len({words[i] for i in hits})), max(weights, default=0.0),
