@@ -58,7 +58,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose language is identified; learned from those whose crc32(doc_id) modulo 5 is not 0."""
     trainable = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
     model = fit_language_model(docs, trainable)
-    predicted = predict_language(docs.select(_row(docs), F.col("text")), model, keep="row")
+    predicted = predict_language(docs.select(_row(docs)), model, keep="row")
     kept = predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*_columns(kept, docs))
 

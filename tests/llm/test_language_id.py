@@ -79,4 +79,8 @@ def test_fit_does_not_depend_on_row_order(spark):
 @pytest.mark.parametrize("keep", ["doc_id", "text"])
 def test_keeps_a_column(spark, keep):
     model = fit_language_model(frame(spark, corpus(random.Random(5), 60)), F.lit(True))
-    assert predict_language(frame(spark, [(1, "aba", None)]), model, keep=keep).columns == [keep, "lang_pred", "score"]
+    docs = frame(spark, [(1, "aba", None), (2, None, None)])
+    assert predict_language(docs, model, keep=keep).columns == [keep, "lang_pred", "score"]
+    rows = docs.select(F.struct("lang", "text", "doc_id").alias("row"))
+    whole = predict_language(rows, model, keep="row").collect()
+    assert [(r.row.doc_id, r.lang_pred) for r in whole] == [(1, "aa"), (2, "und")]

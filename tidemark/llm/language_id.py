@@ -145,13 +145,19 @@ def fit_language_model(docs: DataFrame, trainable: Column, sample: int = SAMPLE,
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, keep: str = "doc_id") -> DataFrame:
-    """(``keep``, lang_pred, score) for every row of ``docs``; ``keep`` is one of its columns, of any type."""
+    """(``keep``, lang_pred, score) for every row of ``docs``; ``keep`` is one of its columns, of any type.
+
+    A ``keep`` that is a struct with a field ``text`` (a whole row) brings the
+    text itself; otherwise ``docs`` has a column ``text``.
+    """
+    kept = docs.schema[keep].dataType
+    inside = isinstance(kept, StructType) and "text" in kept.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in batches:
             lang, score = [], []
-            texts = batch.column("text")
+            texts = batch.column("kept").field("text") if inside else batch.column("text")
             for at in range(0, len(texts), _BATCH):
                 sets = [grams(t) for t in texts.slice(at, _BATCH).to_pylist()]
                 if not model.classes:
@@ -165,6 +171,6 @@ def predict_language(docs: DataFrame, model: LanguageModel, keep: str = "doc_id"
                     score.append(float(min(1.0, max(0.0, (1.0 + row[b]) / 2.0))) if len(ids) else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [keep, "lang_pred", "score"])
 
-    rows = docs.select(F.col(keep).alias("kept"), F.col("text").cast("string").alias("text"))
-    schema = StructType([StructField(keep, rows.schema["kept"].dataType), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    rows = docs.select(F.col(keep).alias("kept"), *([] if inside else [F.col("text").cast("string").alias("text")]))
+    schema = StructType([StructField(keep, kept), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return rows.mapInArrow(run, schema)
