@@ -33,7 +33,8 @@ def words_of(text: Column) -> Column:
     """Words of a text: A-Z lower-cased, then maximal runs of 0-9, a-z and all characters beyond ASCII."""
     plain = F.coalesce(text.cast("string"), F.lit(""))
     # lower() is the cheaper way where it cannot touch a letter beyond A-Z.
-    lowered = F.when(plain.rlike(r"[^\x00-\x7F]"), F.translate(plain, _UPPER, _UPPER.lower())).otherwise(F.lower(plain))
+    beyond = plain.rlike(r"[^\x00-\x7F]")
+    lowered = F.when(beyond, F.translate(plain, _UPPER, _UPPER.lower())).otherwise(F.lower(plain))
     return F.array_remove(F.split(lowered, _SEPARATORS), "")
 
 
@@ -42,7 +43,8 @@ def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w"))
     length = F.least(F.size("w"), F.lit(size))
     starts = F.sequence(F.lit(1), F.size("w") - length + 1)
-    each = items.where(F.size("w") > 0).select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, length))).alias("window"))
+    windows = F.transform(starts, lambda i: F.slice("w", i, length))
+    each = items.where(F.size("w") > 0).select("item", F.explode(windows).alias("window"))
     return each.groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
@@ -84,7 +86,8 @@ def _verified(entries: Column, words: Column, at: Column) -> Column:
     def holds(e: Column) -> Column:
         start = at - e["offset"]
         inside = (start >= 0) & (start + e["length"] <= F.size(words))
-        return F.when(inside, F.array_join(F.slice(words, F.greatest(start, F.lit(0)) + 1, e["length"]), " ") == e["text"]).otherwise(False)
+        there = F.array_join(F.slice(words, F.greatest(start, F.lit(0)) + 1, e["length"]), " ")
+        return F.when(inside, there == e["text"]).otherwise(False)
 
     return F.transform(
         F.filter(entries, holds),
@@ -99,12 +102,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     """
     spark = docs.sparkSession
     prefixes = prefix_table(docs, benchmark, size)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), words_of(F.col("text")).alias("words"))
+    text_hash = F.xxhash64(F.col("text").cast("string")).alias("text_hash")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_hash, words_of(F.col("text")).alias("words"))
     none = F.lit(None).cast("array<struct<start: int, length: int, items: array<string>>>")
     if table_bytes(prefixes) <= broadcast_limit(spark):
         tokens = rows.select("row", "doc_id", "text_hash", "words", F.posexplode_outer("words").alias("at", "word"))
         # The first word of a text stays whether it matches or not: every text gives a row.
-        kept = tokens.join(F.broadcast(prefixes), "word", "left").where(F.col("entries").isNotNull() | (F.coalesce("at", F.lit(0)) == 0))
+        first = F.coalesce("at", F.lit(0)) == 0
+        kept = tokens.join(F.broadcast(prefixes), "word", "left").where(F.col("entries").isNotNull() | first)
         found = kept.select(
             "row",
             "doc_id",
@@ -118,11 +123,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         candidates = (
             tokens.join(prefixes, "word")
             .select("row", "n", "at", F.explode("entries").alias("e"))
-            .where((F.col("at") >= F.col("e.offset")) & (F.col("at") - F.col("e.offset") + F.col("e.length") <= F.col("n")))
+            .where("at >= e.offset and at - e.offset + e.length <= n")
             .select("row", "at", "e")
         )
-        hits = rows.join(candidates, "row").select("row", "doc_id", "text_hash", F.size("words").alias("n"), _verified(F.array("e"), F.col("words"), F.col("at")).alias("hits"))
-        found = hits.unionByName(rows.select("row", "doc_id", "text_hash", F.size("words").alias("n"), none.alias("hits")))
+        base = ("row", "doc_id", "text_hash", F.size("words").alias("n"))
+        verified = _verified(F.array("e"), F.col("words"), F.col("at"))
+        hits = rows.join(candidates, "row").select(*base, verified.alias("hits"))
+        found = hits.unionByName(rows.select(*base, none.alias("hits")))
     return (
         found.groupBy("row", "doc_id", "text_hash")
         .agg(F.max("n").cast("long").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"))

@@ -70,7 +70,8 @@ def document_sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, source, size): words are runs of characters other than ASCII white space."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size"))
+    text_hash = F.xxhash64(F.col("text").cast("string")).alias("text_hash")
+    return docs.select("doc_id", text_hash, F.col("source").cast("string").alias("source"), words.cast("long").alias("size"))
 
 
 def tilted(base: Column, tilt: Column, size: Column, mean: Column) -> Column:
@@ -91,14 +92,15 @@ def solve_tilts(strata: DataFrame, sources: list[dict]) -> dict:
     for _ in range(_STEPS):
         if not todo:
             break
-        state = spark.createDataFrame([(s, tilt[s], by[s]["base"], by[s]["mean"]) for s in todo], "source string, tilt double, base double, mean double")
+        rows = [(s, tilt[s], by[s]["base"], by[s]["mean"]) for s in todo]
+        state = spark.createDataFrame(rows, "source string, tilt double, base double, mean double")
         r = tilted(F.col("base"), F.col("tilt"), F.col("size"), F.col("mean"))
-        x = F.col("size") / F.col("mean")
+        x, tokens = F.col("size") / F.col("mean"), F.col("n") * r * F.col("size")
         sums = (
             strata.withColumnRenamed("source", "of")
             .join(state, F.col("of").eqNullSafe(F.col("source")))
             .groupBy("source")
-            .agg(F.sum(F.col("n") * r * F.col("size")).alias("tokens"), F.sum(F.when(r < MOST, F.col("n") * r * F.col("size") * x).otherwise(0.0)).alias("slope"))
+            .agg(F.sum(tokens).alias("tokens"), F.sum(F.when(r < MOST, tokens * x).otherwise(0.0)).alias("slope"))
         )
         rest = []
         for row in sums.collect():
@@ -147,7 +149,13 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     totals = strata.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n")).collect()
     target = token_targets({r.source: r["size"] for r in totals}, weights, share)
     sources = [
-        {"source": r.source, "size": r["size"], "target": target[r.source], "mean": r["size"] / r.n or 1.0, "base": target[r.source] / r["size"] if r["size"] else 0.0}
+        {
+            "source": r.source,
+            "size": r["size"],
+            "target": target[r.source],
+            "mean": r["size"] / r.n or 1.0,
+            "base": target[r.source] / r["size"] if r["size"] else 0.0,
+        }
         for r in totals
     ]
     tilts = solve_tilts(strata, sources)
@@ -156,8 +164,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
         "of string, source_size long, target double, base double, mean double, tilt double",
     )
     same = F.col("source").eqNullSafe(F.col("of"))
-    rate = F.when(F.col("tilt") == float("inf"), F.lit(float(MOST))).otherwise(tilted(F.col("base"), F.col("tilt"), F.col("size"), F.col("mean")))
-    rated = strata.join(solved, same).select("source", "size", "n", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"))
+    free = tilted(F.col("base"), F.col("tilt"), F.col("size"), F.col("mean"))
+    rate = F.when(F.col("size") == 0, 0.0).when(F.col("tilt") == float("inf"), float(MOST)).otherwise(free).alias("rate")
+    rated = strata.join(solved, same).select("source", "size", "n", rate)
     # A source's strata are at most as many as it has different sizes.
     copies = materialize(
         rated.groupBy("source").applyInPandas(round_strata, "source string, size long, n long, copies long"), "stratum-copies"
@@ -166,16 +175,12 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     before = Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
     offsets = offsets.join(copies, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")))
-    offsets = materialize(
-        offsets.select(F.col("source").alias("o_source"), F.col("size").alias("o_size"), F.col("salt").alias("o_salt"), "offset", "stratum", "copies"), "stratum-cells"
-    )
+    cell_keys = [F.col(c).alias(f"o_{c}") for c in ("source", "size", "salt")]
+    offsets = materialize(offsets.select(*cell_keys, "offset", "stratum", "copies"), "stratum-cells")
     cell = Window.partitionBy("source", "size", "salt").orderBy("doc_id", "text_hash")
     ranked = sized.withColumn("rank", F.row_number().over(cell))
-    placed = ranked.join(
-        offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("size") == F.col("o_size")) & (F.col("salt") == F.col("o_salt"))
-    )
+    same_cell = F.col("source").eqNullSafe(F.col("o_source")) & F.expr("size = o_size and salt = o_salt")
     extra = F.col("offset") + F.col("rank") <= F.col("copies") % F.col("stratum")
-    counted = placed.select("doc_id", "text_hash", "source", "size", (F.floor(F.col("copies") / F.col("stratum")) + extra.cast("int")).cast("int").alias("copies"))
-    return counted.join(solved, same).select(
-        "doc_id", "source", "size", "source_size", "target", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"), "copies", "text_hash"
-    )
+    each = (F.floor(F.col("copies") / F.col("stratum")) + extra.cast("int")).cast("int").alias("copies")
+    counted = ranked.join(offsets, same_cell).select("doc_id", "text_hash", "source", "size", each)
+    return counted.join(solved, same).select("doc_id", "source", "size", "source_size", "target", rate, "copies", "text_hash")

@@ -87,8 +87,9 @@ def _grow(shapes: DataFrame, level: int, s: TreeSettings) -> DataFrame:
     here = shapes.where(F.size("shape") > level)
     # Continuations of each child: next segment ("" at the end of the path) and label.
     states = F.array(*(F.struct(F.lit(k).alias("label"), F.col(k).alias("n")) for k in ("block", "allow", "none")))
+    following = F.coalesce(F.get("shape", F.lit(level + 1)), F.lit(""))
     events = (
-        here.select("host", "template", F.col("shape")[level].alias("child"), F.coalesce(F.get("shape", F.lit(level + 1)), F.lit("")).alias("next"), F.explode(states).alias("e"))
+        here.select("host", "template", F.col("shape")[level].alias("child"), following.alias("next"), F.explode(states).alias("e"))
         .where("e.n > 0")
         .groupBy("host", "template", "child", "next", F.col("e.label").alias("label"))
         .agg(F.sum("e.n").alias("n"))
@@ -101,17 +102,20 @@ def _grow(shapes: DataFrame, level: int, s: TreeSettings) -> DataFrame:
         .select("host", "template", "child", "n_child", "kinds", F.concat("most.next", F.lit(","), "most.label").alias("cluster"))
     )
     frequent = events.join(children, ["host", "template", "child"])
-    clusters = children.groupBy("host", "template", "cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("n_child").alias("n_cluster"))
+    clusters = children.groupBy("host", "template", "cluster").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n_child").alias("n_cluster")
+    )
     pools = frequent.groupBy("host", "template", "cluster", "next", "label").agg(F.sum("n").alias("n_pool"))
     # Total variation: the sum of what the child has more of than its cluster.
     excess = F.greatest(F.col("n") / F.col("n_child") - F.col("n_pool") / F.col("n_cluster"), F.lit(0.0))
     alone = (F.col("members") == 1) | (F.col("distance") > s.tolerance + s.noise * F.sqrt(F.col("kinds") / F.col("n_child")))
+    wildcard = F.concat(F.lit("*("), "cluster", F.lit(")"))
     branches = (
         frequent.join(pools, ["host", "template", "cluster", "next", "label"])
         .join(clusters, ["host", "template", "cluster"])
         .groupBy("host", "template", "child", "cluster", "n_child", "kinds", "members")
         .agg(F.sum(excess).alias("distance"))
-        .select("host", "template", "child", F.when(alone, F.col("child")).otherwise(F.concat(F.lit("*("), "cluster", F.lit(")"))).alias("branch"))
+        .select("host", "template", "child", F.when(alone, F.col("child")).otherwise(wildcard).alias("branch"))
     )
     grown = shapes.withColumn("child", F.get("shape", F.lit(level))).join(branches, ["host", "template", "child"], "left")
     segment = F.when(F.col("child").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("branch", F.lit("*"))))
@@ -138,7 +142,8 @@ def template_table(urls: DataFrame, settings: TreeSettings = TreeSettings()) ->
     templates = shapes.groupBy("host", "template").agg(
         ((block + settings.prior * settings.strength) / (labelled + settings.strength)).alias("purity"), labelled.alias("labelled")
     )
-    templates = materialize(templates.withColumn("rejected", (F.col("labelled") > 0) & (F.col("purity") >= settings.reject)), "url-templates")
+    rejected = (F.col("labelled") > 0) & (F.col("purity") >= settings.reject)
+    templates = materialize(templates.withColumn("rejected", rejected), "url-templates")
     return shapes.join(templates, ["host", "template"])
 
 
@@ -152,10 +157,10 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...], settings: TreeSett
     extra = F.col(label) if label else F.lit(None).cast("string")
     cut = pages.select("page_id", host.alias("host"), path.alias("path"), extra.alias("label"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    urls = cut.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), F.coalesce(verdict, "label").alias("label"), _shape(F.col("path"), settings.depth).alias("shape"))
-    rejected = materialize(
-        template_table(urls.select("host", "shape", "label"), settings).where("rejected").select("host", "shape", "rejected"), "url-rejected"
-    )
+    known, shape = F.coalesce(verdict, "label").alias("label"), _shape(F.col("path"), settings.depth).alias("shape")
+    urls = cut.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), known, shape)
+    judged = template_table(urls.select("host", "shape", "label"), settings)
+    rejected = materialize(judged.where("rejected").select("host", "shape", "rejected"), "url-rejected")
     judged = urls.join(rejected, ["host", "shape"], "left")
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("rejected"), F.lit("block")), F.lit("allow")).alias("verdict")

@@ -155,7 +155,8 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
     single = queries.groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("q")).select(F.col("vec_id").alias("query_id"), "q.v", "q.norm")
     empty = F.lit(None).cast("double").alias("bound")
     if not sizes:
-        return single.limit(0).select("query_id", F.lit(1).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0).cast("long").alias("score"))
+        nothing = (F.lit(1).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0).cast("long").alias("score"))
+        return single.limit(0).select("query_id", *nothing)
     n_queries = max(1, math.ceil(single.count() / QUERIES))
     table, blocks, seeds, seen = [], 0, 0, 0
     for size in sizes:  # the longest vectors are in the first blocks
@@ -173,11 +174,13 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
         .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     )
     asked = single.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(n_queries)).cast("int"))
-    first = _met(asked.select("*", empty, F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))).alias("block")), candidates.where(F.col("block") < seeds), k)
+    seeded = asked.select("*", empty, F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))).alias("block"))
+    first = _met(seeded, candidates.where(F.col("block") < seeds), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    bounds = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("bound"))
+    kth = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
+    bounds = kth.select("query_id", F.col("score").cast("double").alias("bound"))
     bounded = asked.join(bounds, "query_id", "left")
-    spans = F.array(*(F.struct(F.lit(first).alias("first"), F.lit(parts).alias("parts"), F.lit(longest).alias("longest")) for _, first, parts, longest in table))
+    spans = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(("first", "parts", "longest"), t[1:]))) for t in table))
     reachable = bounded.select("*", F.explode(spans).alias("span")).where(
         F.col("bound").isNull() | (F.col("bound") <= 0) | (F.col("bound") * (1 - _SLACK) <= F.col("norm") * F.col("span.longest"))
     )
