@@ -36,7 +36,6 @@ from tidemark.plans.jobs import (  # noqa: E402
     weekly_table_and_view,
 )
 from tidemark.plans.tables import (  # noqa: E402
-    DAILY_ACTIVITY,
     ensure_tables,
     partition_columns,
     table_definition,

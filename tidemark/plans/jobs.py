@@ -26,7 +26,6 @@ from tidemark.plans.tables import (
     redefine_table,
     sync_partitions,
     table_definition,
-    table_location,
     table_partitions,
     weekly_view,
 )

@@ -180,7 +180,13 @@ def sync_partitions(spark: SparkSession, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
-def ensure_tables(spark: SparkSession, tables: dict[str, str], warehouse: str, definitions: dict[str, TableDef] | None = None, fmt: str = "parquet") -> dict[str, str]:
+def ensure_tables(
+    spark: SparkSession,
+    tables: dict[str, str],
+    warehouse: str,
+    definitions: dict[str, TableDef] | None = None,
+    fmt: str = "parquet",
+) -> dict[str, str]:
     """Create every table of a job (table -> schema) below ``warehouse``.
 
     Schemas live at ``<warehouse>/<schema>.db``, tables inside them.
