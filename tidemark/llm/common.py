@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.paths import fresh_dir
@@ -28,6 +31,13 @@ def broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into smaller ones: whole texts of a full batch, as Python strings, take much memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's shuffle width: its owner sizes it to the data, and so are our group counts."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, slices
 from tidemark.llm.components import connected_components
 from tidemark.llm.hashing import U64, hash_words, mix, rolling
 
@@ -56,7 +56,9 @@ def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return rolling(words, min(size, len(words))) if len(words) else words
 
 
-def _throw(strip: np.ndarray, height: np.ndarray, text: np.ndarray, limit: np.ndarray, k: int, best: np.ndarray, dart: np.ndarray) -> None:
+def _throw(
+    strip: np.ndarray, height: np.ndarray, text: np.ndarray, limit: np.ndarray, k: int, best: np.ndarray, dart: np.ndarray
+) -> None:
     """Throw darts into the strips up to each strip's rank limit; best[text, coordinate] and dart keep the earliest."""
     live, rank, m = np.arange(len(strip)), np.zeros(len(strip)), 0
     while len(live):
@@ -141,11 +143,12 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """(doc_id, h, f1, f2, bands): h hashes the text as it stands, f1 and f2 its words (null: none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             signed = _sign_batch(batch.column("text").to_pylist(), bands, rows)
-            signed_64 = [[None if s is None else np.uint64(s[j] & 0xFFFFFFFFFFFFFFFF).astype(np.int64).item() for s in signed] for j in (0, 1)]
+            signed_64 = [[None if s is None else np.uint64(s[j]).astype(np.int64).item() for s in signed] for j in (0, 1)]
             keys = [None if s is None else s[2].view(np.int64).tolist() for s in signed]
-            columns = [batch.column("doc_id"), batch.column("h"), *(pa.array(x, pa.int64()) for x in signed_64), pa.array(keys, pa.list_(pa.int64()))]
+            hashes = [pa.array(x, pa.int64()) for x in signed_64]
+            columns = [batch.column("doc_id"), batch.column("h"), *hashes, pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "f1", "f2", "bands"])
 
     text = F.col("text").cast("string")
@@ -157,7 +160,7 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, shingles): the distinct shingle hashes of each node (node, h), sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [np.unique(shingles(hash_words([_bytes(t)])[0])).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
@@ -219,11 +222,11 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int =
     components = connected_components(links)
     components = _settle(members.select("key", "node"), pairs, links, components, sets, threshold)
     # Class ids: the smallest doc_id of each component.
-    placed = materialize(
-        texts.select("f1", "f2", "node", "doc_id").join(components, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
-    )
+    placed = texts.select("f1", "f2", "node", "doc_id").join(components, "node", "left")
+    placed = materialize(placed.withColumn("component", F.coalesce("component", "node")), "placed")
     classes = materialize(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "classes")
-    placed = materialize(placed.join(classes, "component").select("f1", "f2", "class_id", F.col("component").alias("class_key")), "class-of-text")
+    placed = placed.join(classes, "component").select("f1", "f2", "class_id", F.col("component").alias("class_key"))
+    placed = materialize(placed, "class-of-text")
     joined = signed.select("doc_id", "h", "f1", "f2").join(placed, ["f1", "f2"], "left")
     class_id = F.when(F.col("f1").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return joined.select("doc_id", F.col("h").alias("text_hash"), class_id.alias("class_id"), "class_key")
@@ -233,14 +236,16 @@ def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, component
     """Find the links between components that meet in a bucket; see 3. above."""
     placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    top = F.max(F.struct("n", "component")).alias("top")
+    largest = parts.groupBy("key").agg(top, F.count(F.lit(1)).alias("parts")).where("parts > 1")
     largest = materialize(largest.select("key", F.col("top.component").alias("largest")), "open-buckets")
     open_rows = placed.join(largest, "key").select("node", "component", (F.col("component") != F.col("largest")).alias("outside"))
     nodes = materialize(open_rows.groupBy("node", "component").agg(F.max("outside").alias("outside")), "open-texts")
     tokens = materialize(sets.join(nodes, "node").select("node", F.explode("shingles").alias("token")), "open-shingles")
     counts = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts")
     # A shingle of one text alone joins nothing, but takes its place in the order of rarity.
-    ranked = tokens.join(counts, "token", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("tokens"))
+    token = F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token")
+    ranked = tokens.join(counts, "token", "left").groupBy("node").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
     size = F.size("tokens")
     prefix = F.slice("tokens", 1, (size - F.ceil(size * threshold) + 1).cast("int"))
     prefixes = ranked.join(nodes, "node").select("node", "component", "outside", size.alias("size"), F.posexplode(prefix).alias("place", "t"))

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tidemark.llm.common import slices
+
 UNKNOWN = "und"
 DIMENSIONS = 1 << 18
 SAMPLE = 300
@@ -136,7 +138,7 @@ def fit_language_model(docs: DataFrame, trainable: Column, sample: int = SAMPLE,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for batch in batches:
+        for batch in slices(batches):
             ids = [grams(t).astype(np.int32).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("draw"), pa.array(ids, pa.binary())], ["lang", "draw", "ids"])
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.llm.common import broadcast_limit, materialize, table_bytes
+from tidemark.llm.common import broadcast_limit, materialize, slices, table_bytes
 
 FINDINGS = "array<struct<kind: string, start: int, end: int>>"
 
@@ -109,7 +109,7 @@ def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, v
     blobs = texts.groupBy("blob").agg(F.first("text").alias("text")).join(unseen, "blob", "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [scan_text(t, rules) for t in batch.column("text").to_pylist()]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(found, kind)], ["blob", "findings"])

@@ -33,7 +33,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, slices
 
 LEXICON_ROWS = 4000
 FIT_ROWS = 20_000
@@ -167,7 +167,7 @@ def text_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Lexicon(lexicon)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [features(t, known) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "features"])
 
