@@ -74,6 +74,27 @@ def test_rates_are_tilted_exponentially(spark):
     assert math.isclose(tokens, rows[0][4], rel_tol=1e-6)
 
 
+def test_tilt_follows_the_target(spark):
+    """Above its own size a source favours long documents, below it short ones; neither rate is flat."""
+    docs = [(i, "w " * (1 + i % 40), "ab"[i % 2]) for i in range(800)]
+    rows = run(spark, docs, weights=(1, 4), share=0.8)
+    for source, sign in (("a", -1), ("b", 1)):
+        mine = [r for r in rows if r[1] == source]
+        assert sign * (mine[0][4] - mine[0][3]) > 0
+        free = sorted({(r[2], math.log(r[5])) for r in mine if 0 < r[5] < 2})
+        slopes = [(y - x) / (d - c) for (c, x), (d, y) in zip(free, free[1:])]
+        assert len(slopes) > 5 and all(sign * s > 1e-3 and math.isclose(s, slopes[0], rel_tol=1e-6) for s in slopes)
+        # nearest to rate 1: the line of log rates goes through 0 at size 0
+        assert all(math.isclose(y, slopes[0] * c, rel_tol=1e-6) for c, y in free)
+        assert math.isclose(sum(r[2] * r[5] for r in mine), mine[0][4], rel_tol=1e-8)
+        assert abs(sum(r[2] * r[6] for r in mine) - mine[0][4]) <= 2
+
+
+def test_a_source_without_weight_is_left_out(spark):
+    rows = run(spark, [(i, "w " * (1 + i % 7), "ab"[i % 2]) for i in range(60)], weights=(0, 1), share=0.5)
+    assert all(r[4] == r[5] == r[6] == 0 for r in rows if r[1] == "a") and sum(r[6] for r in rows) > 0
+
+
 def test_copies_spread_over_a_stratum_of_equal_documents(spark):
     rows = run(spark, [(i, "a b c", "s") for i in range(501)] + [(9999, "a b c", "t")])
     assert sum(r[6] for r in rows if r[1] == "s") in (751, 750) and {r[6] for r in rows if r[1] == "s"} == {1, 2}

@@ -1,10 +1,13 @@
 """Mixing sources to target token weights by entropy balancing.
 
 Every source gets a token target. Document rates r in [0, 2] are chosen that
-meet each source's target and, among all such rates, are nearest to the source's
-average rate in relative entropy. The solution is exponentially tilted,
+meet each source's target and, among all such rates, are nearest in relative
+entropy to rate 1, the corpus as it is. The solution is exponentially tilted,
 
-    r(d) = min(2, base(source) * exp(lambda(source) * size(d) / mean size(source))),
+    r(d) = min(2, exp(lambda(source) * size(d) / mean size(source))),
+
+so a source whose target is above its size takes more of its long documents, one
+below it fewer (a target equal to the size is met as it stands, lambda is 0),
 
 and lambda is the optimum of a convex dual, whose gradient is the token
 constraint. It is found by Newton steps, safeguarded by a bracket: each step is
@@ -74,44 +77,51 @@ def document_sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_hash, F.col("source").cast("string").alias("source"), words.cast("long").alias("size"))
 
 
-def tilted(base: Column, tilt: Column, size: Column, mean: Column) -> Column:
-    return F.least(F.lit(float(MOST)), base * F.exp(F.least(tilt * size / mean, F.lit(700.0))))
+def tilted(tilt: Column, size: Column, mean: Column) -> Column:
+    return F.least(F.lit(float(MOST)), F.exp(F.least(tilt * size / mean, F.lit(700.0))))
+
+
+def exact(value: Column) -> Column:
+    """Sum of doubles as decimals: it does not depend on the order of the rows, so neither do tilts and rates."""
+    return F.sum(value.cast("decimal(38,12)"))
 
 
 def solve_tilts(strata: DataFrame, sources: list[dict]) -> dict:
-    """Source to tilt, from (source, size, n) and the sources' ``target``, ``size``, ``base`` and ``mean``.
+    """Source to tilt, from (source, size, n) and the sources' ``target``, ``size`` and ``mean``.
 
     One aggregation per Newton step serves all sources that have not converged.
-    A source at its limit takes everything: its tilt is infinite.
+    A source at its limit takes everything: its tilt is infinite. One without a
+    target takes nothing: minus infinity.
     """
     spark = strata.sparkSession
-    tilt = {s["source"]: 0.0 if s["target"] < MOST * s["size"] else math.inf for s in sources}
+    start = {s["source"]: 0.0 if s["target"] > 0 else -math.inf for s in sources}
+    tilt = {s["source"]: start[s["source"]] if s["target"] < MOST * s["size"] else math.inf for s in sources}
     low, high = dict.fromkeys(tilt, -math.inf), dict.fromkeys(tilt, math.inf)
     by = {s["source"]: s for s in sources}
-    todo = [s for s in tilt if math.isfinite(tilt[s]) and by[s]["target"] > 0]
+    todo = [s for s in tilt if math.isfinite(tilt[s])]
     for _ in range(_STEPS):
         if not todo:
             break
-        rows = [(s, tilt[s], by[s]["base"], by[s]["mean"]) for s in todo]
-        state = spark.createDataFrame(rows, "source string, tilt double, base double, mean double")
-        r = tilted(F.col("base"), F.col("tilt"), F.col("size"), F.col("mean"))
+        rows = [(s, tilt[s], by[s]["mean"]) for s in todo]
+        state = spark.createDataFrame(rows, "source string, tilt double, mean double")
+        r = tilted(F.col("tilt"), F.col("size"), F.col("mean"))
         x, tokens = F.col("size") / F.col("mean"), F.col("n") * r * F.col("size")
         sums = (
             strata.withColumnRenamed("source", "of")
             .join(state, F.col("of").eqNullSafe(F.col("source")))
             .groupBy("source")
-            .agg(F.sum(tokens).alias("tokens"), F.sum(F.when(r < MOST, tokens * x).otherwise(0.0)).alias("slope"))
+            .agg(exact(tokens).alias("tokens"), exact(F.when(r < MOST, tokens * x).otherwise(0.0)).alias("slope"))
         )
         rest = []
         for row in sums.collect():
-            s, gap = row.source, row.tokens - by[row.source]["target"]
+            s, gap, slope = row.source, float(row.tokens) - by[row.source]["target"], float(row.slope)
             if abs(gap) <= _TOLERANCE * by[s]["target"]:
                 continue
             if gap > 0:
                 high[s] = tilt[s]
             else:
                 low[s] = tilt[s]
-            step = tilt[s] - gap / row.slope if row.slope > 0 else math.nan
+            step = tilt[s] - gap / slope if slope > 0 else math.nan
             if not low[s] < step < high[s]:  # outside the bracket, or flat: bisect, or widen
                 if math.isfinite(low[s]) and math.isfinite(high[s]):
                     step = (low[s] + high[s]) / 2
@@ -154,17 +164,16 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
             "size": r["size"],
             "target": target[r.source],
             "mean": r["size"] / r.n or 1.0,
-            "base": target[r.source] / r["size"] if r["size"] else 0.0,
         }
         for r in totals
     ]
     tilts = solve_tilts(strata, sources)
     solved = spark.createDataFrame(
-        [(s["source"], s["size"], s["target"], s["base"], s["mean"], tilts[s["source"]]) for s in sources],
-        "of string, source_size long, target double, base double, mean double, tilt double",
+        [(s["source"], s["size"], s["target"], s["mean"], tilts[s["source"]]) for s in sources],
+        "of string, source_size long, target double, mean double, tilt double",
     )
     same = F.col("source").eqNullSafe(F.col("of"))
-    free = tilted(F.col("base"), F.col("tilt"), F.col("size"), F.col("mean"))
+    free = tilted(F.col("tilt"), F.col("size"), F.col("mean"))
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("tilt") == float("inf"), float(MOST)).otherwise(free).alias("rate")
     rated = strata.join(solved, same).select("source", "size", "n", rate)
     # A source's strata are at most as many as it has different sizes.
