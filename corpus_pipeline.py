@@ -9,8 +9,8 @@ A row is told apart by its doc_id and the hash of its text. Rows that are equal
 in both are one document to the second stage, and go or stay together in the
 others; the last stage gives each its copies.
 
-Defined results: a null text, or one without letters, goes with the first stage
-(no language); a later stage given such rows keeps them, except that the mix
+Defined results: a null text, one without letters, or one in a language that was
+not learned (or junk) goes with the first stage (no language); a later stage given such rows keeps them, except that the mix
 takes nothing without words. A null doc_id is a value like any other and the
 last choice among near-duplicates, a null source a source of its own; null
 ``lang`` and ``n_chars`` change nothing. Of near-duplicates of one doc_id, the
@@ -35,9 +35,6 @@ from tidemark.llm.secret_ledger import redact
 from tidemark.llm.source_mixing import mix_sources
 from tidemark.paths import fresh_dir
 
-#: A language score under this is no identification.
-LEAST_SCORE = 0.2
-
 
 def _row(docs: DataFrame) -> Column:
     """All columns as one, so that none can clash with a column of ours."""
@@ -58,8 +55,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose language is identified; learned from those whose crc32(doc_id) modulo 5 is not 0."""
     trainable = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
     model = fit_language_model(docs, trainable)
-    predicted = predict_language(docs.select(_row(docs)), model, keep="row")
-    kept = predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    predicted = predict_language(docs.select(_row(docs)), model, keep="row", reject=True)
+    kept = predicted.where(F.col("lang_pred") != UNKNOWN)
     return kept.select(*_columns(kept, docs))
 
 

@@ -111,6 +111,18 @@ def test_stages_against_brute_force(spark, folder):
     assert all(abs(taken.get(s, 0) - target[s]) <= longest for s in sizes)
 
 
+def test_texts_of_no_learned_language_go(spark, folder):
+    r = random.Random(5)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    junk = [" ".join("".join(r.choice("asdfghjklqwertuiop") for _ in range(r.randrange(3, 12))) for _ in range(n)) for n in (3, 40, 2000)]
+    foreign = ["Русский язык является одним из восточнославянских", "漢字日本語の文章です", "ж", "the quick brown fox jumped over lazy dogs"]
+    texts = foreign + junk + ["cab", "abba dada cab 17", "XYZ, zyx!"]
+    more = spark.createDataFrame([(10_000 + i, t, None) for i, t in enumerate(texts)], docs.schema)
+    kept = {x.doc_id for x in cp.identify_language(spark, docs.unionByName(more), folder).collect()}
+    assert {x for x in kept if x is not None and x >= 10_000} == {10_007, 10_008, 10_009}
+    assert len([x for x in kept if x is None or x < 10_000]) == docs.where("text rlike '[a-z]'").select("doc_id").distinct().count()
+
+
 def test_run_is_its_stages_and_reruns_agree(spark, folder):
     assert rows_of(cp.run(spark, folder)) == rows_of(cp.run(spark, folder))
 

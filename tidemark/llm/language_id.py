@@ -14,8 +14,16 @@ with the smallest hashes being landmarks. n-grams are hashed to ``DIMENSIONS``.
 So the model has at most DIMENSIONS x LANDMARKS bytes a language, whatever the
 corpus. Predictions use the whole text and nothing else.
 
+The scores of a text always sum to the same number, so the best cannot tell a
+text of a language that was not learned. Its coverage can: the share of its
+n-grams that stand in a landmark. A language's least coverage is LEEWAY times
+what all but FEW of its held-out examples reach; those that are no landmarks are
+held out, a landmark is compared with the others. With ``reject``, a prediction
+of less coverage is ``und``.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0,
-as is every text when nothing could be learned; rows without language or text
+as is every text when nothing could be learned, and with ``reject`` a text of too
+little coverage; rows without language or text
 are never learned from; letters are compared in lower case, runs of other
 characters count as one space; rows that repeat a doc_id are rows of their own.
 """
@@ -23,7 +31,7 @@ characters count as one space; rows that repeat a doc_id are rows of their own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +46,8 @@ DIMENSIONS = 1 << 18
 SAMPLE = 300
 LANDMARKS = 24
 RIDGE = 1e-2
+FEW = 0.01  # of a language's held-out examples, which may be foreign or junk themselves
+LEEWAY = 0.75
 _BATCH = 128  # texts of a matrix product
 _SPACE = 32
 _IS_LETTER: list[np.ndarray] = []
@@ -78,13 +88,18 @@ class Grams:
 
 @dataclass
 class LanguageModel:
-    """``column`` maps n-gram ids to rows of ``landmarks`` (presence), -1 for those in no landmark."""
+    """``column`` maps n-gram ids to rows of ``landmarks`` (presence), -1 for those in no landmark; ``least``: coverage by class."""
 
     classes: list[str]
     column: np.ndarray
     landmarks: np.ndarray
     sizes: np.ndarray
     weights: np.ndarray
+    least: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def coverage(self, ids: np.ndarray) -> float:
+        """Share of a text's n-grams that stand in a landmark."""
+        return float((self.column[ids] >= 0).mean()) if len(ids) else 0.0
 
     def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
         presence = np.zeros((len(sets), len(self.landmarks)), dtype=np.float32)
@@ -99,6 +114,18 @@ class LanguageModel:
         return np.column_stack((kernel, np.ones(len(kernel)))) @ self.weights
 
 
+def _least_coverage(model: LanguageModel, examples: list[tuple[str, np.ndarray]], landmarks: int) -> np.ndarray:
+    """Per class of ``model``, the coverage under which a text is none of its own."""
+    holders = model.landmarks.sum(axis=1)  # landmarks that hold the n-gram
+    least = []
+    for c in model.classes:
+        own = [ids for lang, ids in examples if lang == c]
+        seen = [float((holders[model.column[ids]] > 1).mean()) for ids in own[:landmarks]]
+        rest = [model.coverage(ids) for ids in own[landmarks:]]
+        least.append(LEEWAY * np.quantile(rest if len(rest) >= landmarks else rest + seen, FEW))
+    return np.array(least)
+
+
 def fit(examples: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
     """A model from (language, n-gram ids), the first ``landmarks`` of each language being its landmarks."""
     classes = sorted({lang for lang, _ in examples})
@@ -122,6 +149,7 @@ def fit(examples: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridg
     penalty[-1, -1] = 0.0  # the intercept is free
     solved = np.linalg.solve(phi.T @ phi + penalty, phi.T @ target)
     model.weights = np.vstack((whiten @ solved[:-1], solved[-1:]))
+    model.least = _least_coverage(model, examples, landmarks)
     return model
 
 
@@ -146,11 +174,12 @@ def fit_language_model(docs: DataFrame, trainable: Column, sample: int = SAMPLE,
     return fit([(lang, np.frombuffer(ids, dtype=np.int32)) for lang, _, ids in examples if ids], landmarks)
 
 
-def predict_language(docs: DataFrame, model: LanguageModel, keep: str = "doc_id") -> DataFrame:
+def predict_language(docs: DataFrame, model: LanguageModel, keep: str = "doc_id", reject: bool = False) -> DataFrame:
     """(``keep``, lang_pred, score) for every row of ``docs``; ``keep`` is one of its columns, of any type.
 
     A ``keep`` that is a struct with a field ``text`` (a whole row) brings the
-    text itself; otherwise ``docs`` has a column ``text``.
+    text itself; otherwise ``docs`` has a column ``text``. ``reject``: texts of a
+    language that was not learned, and junk, are ``und``.
     """
     kept = docs.schema[keep].dataType
     inside = isinstance(kept, StructType) and "text" in kept.names
@@ -169,8 +198,9 @@ def predict_language(docs: DataFrame, model: LanguageModel, keep: str = "doc_id"
                 found = model.scores(sets)
                 best = found.argmax(axis=1)
                 for ids, b, row in zip(sets, best.tolist(), found):
-                    lang.append(model.classes[b] if len(ids) else UNKNOWN)
-                    score.append(float(min(1.0, max(0.0, (1.0 + row[b]) / 2.0))) if len(ids) else 0.0)
+                    known = len(ids) and not (reject and model.coverage(ids) < model.least[b])
+                    lang.append(model.classes[b] if known else UNKNOWN)
+                    score.append(float(min(1.0, max(0.0, (1.0 + row[b]) / 2.0))) if known else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [keep, "lang_pred", "score"])
 
     rows = docs.select(F.col(keep).alias("kept"), *([] if inside else [F.col("text").cast("string").alias("text")]))
