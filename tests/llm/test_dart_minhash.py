@@ -61,6 +61,17 @@ def test_classes_against_brute_force(spark):
     assert run(spark, docs) == brute(docs)
 
 
+def test_a_text_meets_its_repetitions(spark):
+    """Doubled or ten times over, a text has (nearly) the same set of shingles."""
+    r = random.Random(9)
+    docs = []
+    for g in range(12):
+        base = " ".join(f"g{g}w{r.randrange(5000)}" for _ in range(60 + 10 * g))
+        docs += [(10 * g + m, " ".join([base] * m)) for m in (1, 2, 10)]
+    got = run(spark, docs)
+    assert got == brute(docs) and len({c for _, c in got}) == 12
+
+
 def test_one_very_long_text(spark):
     words = [str(i) for i in range(120_000)]
     got = run(spark, [(1, " ".join(words)), (2, " ".join(words[:-5000])), (3, " ".join(words[:60_000]))])

@@ -1,7 +1,7 @@
 """Near-duplicate classes with DartMinHash signatures.
 
-A text is the weighted set of its word shingles (weight 1 + ln of the number of
-occurrences). Every element owns the region weight x rank of a dart board, cut
+A text is the set of its word shingles, each of weight 1, so that candidates are
+found by the similarity they are verified by. Every element owns the region weight x rank of a dart board, cut
 into strips of weight 1; hashed darts fall into a strip as a Poisson process
 along the rank, each with a height in the strip and a coordinate. A text keeps
 the darts inside its own regions up to rank (k ln k + 2k) / total weight, and of
@@ -127,8 +127,8 @@ def _sign_batch(texts: list[str | None], bands: int, rows: int):
             end += 1
         group, sets = order[at:end], []
         for i in group:
-            element, count = np.unique(shingles(words[i]), return_counts=True)
-            sets.append((element, 1.0 + np.log(count)))
+            element = np.unique(shingles(words[i]))
+            sets.append((element, np.ones(len(element))))
         keys = _band_keys(signatures(sets, bands * rows), bands, rows)
         for i, key in zip(group, keys):
             n = len(words[i])
