@@ -58,6 +58,41 @@ def test_redact_keeps_columns_and_masks_overlapping_spans(spark, scratch):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a [REDACTED] z", 2: "clean", 3: None}
 
 
+NEW_LINES = ("\n", "\r\n", "\\n", " ", "\n    ", "\n> ")
+
+
+def test_redact_leaves_nothing_of_a_private_key(spark, scratch):
+    import base64
+    import random
+
+    r = random.Random(3)
+    docs = []
+    for nl in NEW_LINES:
+        for head in ([], ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0011AABB", ""]):
+            for size in (48, 57, 1190, 1192):  # of one line; with a last line of 4; padded
+                code = base64.b64encode(r.randbytes(size)).decode()
+                lines = [code[i : i + 64] for i in range(0, len(code), 64)]
+                begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+                key = nl.join([begin, *head, *lines])
+                docs += [(f"Before {key}{nl}{end} after it", lines, "Before [REDACTED] after it")]
+                docs += [(f"Before {key}", lines, "Before [REDACTED]"), (f"Before {key[:-7]}", lines, "Before [REDACTED]")]
+                docs += [(f"{key}{nl}{end}\nwords between\n{key}{nl}{end}", lines, "[REDACTED]\nwords between\n[REDACTED]")]
+                if nl != " ":
+                    docs += [(f"{key}\n\nNo end, but words.\n{key}{nl}{end}", lines, "[REDACTED]\n\nNo end, but words.\n[REDACTED]")]
+    table = spark.createDataFrame([(i, t, None, None) for i, (t, _, _) in enumerate(docs)], SCHEMA)
+    got = {x.doc_id: x.text for x in redact(table, scratch("ledger")).collect()}
+    for i, (text, lines, want) in enumerate(docs):
+        assert got[i] == want, text
+        assert not any(line[:8] in got[i] for line in lines)
+
+
+def test_private_key_span_takes_no_words_and_linear_time():
+    begin = "-----BEGIN PRIVATE KEY-----"
+    assert spans(scan_text(f"a {begin} in a sentence.")) == [("private_key", 2, 29)]
+    for text in (f"{begin}\n{'a' * 50}\n" * 5000, begin + "+" * 500_000, begin + "\n" * 500_000, begin + "a " * 250_000):
+        assert len(scan_text(text)) >= 1
+
+
 def test_empty_table_and_long_text(spark, scratch):
     assert find_secrets(spark.createDataFrame([], SCHEMA), scratch("ledger")).count() == 0
     long = spark.createDataFrame([(1, "word " * 400_000 + "secret=abcdefgh", None, None)], SCHEMA)

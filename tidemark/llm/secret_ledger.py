@@ -12,6 +12,11 @@ run. A scan
 A second scan of the same rows reads no rule at all; a new rule version scans
 every blob once more and leaves the older findings in place.
 
+A private key is found from its BEGIN line to the END line. Where another BEGIN
+line or the end of the text comes first, it ends with its key lines: header
+fields, base64 of 20 characters or more, and one last, shorter piece. Line ends may
+be written as \\n, and lines be quoted or indented.
+
 Defined results: a null text counts as empty; rows with any ``doc_id`` (null or
 repeated) get the findings of their own text; an empty table gives no rows.
 Appending is not transactional across concurrent scans: two scans that run at
@@ -57,6 +62,19 @@ class Rule:
                 yield m.span()
 
 
+_BASE64 = r"(?:[A-Za-z0-9+/]|\\/)"
+_BETWEEN = r"(?:[\s>#*|\"',]|\\+[nrt])*+"  # key lines
+_LINE_END = r"(?:\r?\n|(?:\\+r)?\\+n)"
+_PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+    r"(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----|"
+    rf"(?:{_BETWEEN}(?:Proc-Type|DEK-Info):\x20?[A-Za-z0-9,-]*+)*+"
+    rf"(?:{_BETWEEN}{_BASE64}{{20,}}+=*+)*+"
+    rf"(?:{_BETWEEN}{_BASE64}++=*+(?=\s*\Z)"  # the text ends within the key
+    rf"|{_BETWEEN}(?:{_BASE64}{{4}})*+{_BASE64}{{2,3}}=+"
+    rf"|{_LINE_END}[\x20\t>]*+(?:{_BASE64}{{4}})++(?={_LINE_END}))?)"
+)
+
 # The formats to find, in the order in which kinds that start together are listed.
 RULES = (
     Rule(
@@ -68,12 +86,12 @@ RULES = (
     ),
     Rule("access", re.compile(r"AKIA[A-Z0-9]+"), least=20, hints=("akia",)),
     Rule("hex", re.compile(r"[0-9a-f]{24,}")),
-    Rule("private_key", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), hints=("-----begin",)),
+    Rule("private_key", re.compile(_PRIVATE_KEY), hints=("-----begin",)),
     Rule("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), hints=("eyj",)),
     Rule("forge_token", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), hints=("gh",)),
 )
 BASE_KINDS = ("assign", "access", "hex")
-VERSION = "1"
+VERSION = "1.1"
 
 
 def scan_text(text: str, rules: tuple[Rule, ...] = RULES) -> list[dict]:
