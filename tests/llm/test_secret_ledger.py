@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.secret_ledger import RULES, Rule, find_secrets, redact, scan_text, scan_unseen
+from tidemark.llm.secret_ledger import RULES, VERSION, Rule, find_secrets, redact, scan_text, scan_unseen
 
 SCHEMA = "doc_id long, text string, _blob string, version string"
 
@@ -37,6 +37,18 @@ def test_ledger_scans_each_blob_once_per_version(spark, scratch):
     assert found == {(1, (("assign", 0, 13),)), (2, (("assign", 0, 13),)), (2, ()), (None, ()), (3, (("access", 0, 20),))}
 
 
+def test_a_blob_that_two_scans_added_counts_once(spark, scratch):
+    one, two = scratch("ledger"), scratch("ledger")
+    docs = spark.createDataFrame([(1, "token=abcdef1", "x", "y"), (2, "token=abcdef1", None, None), (3, "clean", None, None)], SCHEMA)
+    for ledger in (one, two):
+        scan_unseen(docs, ledger)
+    version = f"version={VERSION}"
+    spark.read.parquet(f"{two}/{version}").write.mode("append").parquet(f"{one}/{version}")
+    assert spark.read.parquet(f"{one}/{version}").count() == 4
+    assert sorted((r.doc_id, len(r.findings)) for r in find_secrets(docs, one).collect()) == [(1, 1), (2, 1), (3, 0)]
+    assert sorted(r.text for r in redact(docs, one).collect()) == ["[REDACTED]", "[REDACTED]", "clean"]
+
+
 def test_small_increment_goes_through_the_broadcast_filter(spark, scratch):
     ledger = scratch("ledger")
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("token=abcdef"), "id").alias("text"))

@@ -137,8 +137,9 @@ def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, v
 
 
 def _join_findings(rows: DataFrame, ledger: str, version: str) -> DataFrame:
-    """``rows`` with ``findings`` in place of ``blob``; only blobs with findings are joined."""
+    """``rows`` with ``findings`` in place of ``blob``; only blobs with findings are joined, each once."""
     known = _read_ledger(rows, ledger, version).where(F.size("findings") > 0)
+    known = known.groupBy("blob").agg(F.first("findings").alias("findings"))
     found = F.coalesce("findings", F.expr(f"cast(array() as {FINDINGS})")).alias("findings")
     return rows.join(known, "blob", "left").select(*(c for c in rows.columns if c != "blob"), found)
 
