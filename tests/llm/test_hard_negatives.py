@@ -1,0 +1,90 @@
+import math
+
+import numpy as np
+import pytest
+
+from tidemark.llm import hard_negatives as mining
+from tidemark.llm.hard_negatives import hard_negatives, labelled_vectors, value_ranges
+
+# Extra columns named like those the operator makes.
+SCHEMA = "vec_id long, label int, embedding array<float>, v string, norm string, bucket string, anchor_id string, slot string"
+
+
+def run(spark, rows, every=1, **settings):
+    vectors = labelled_vectors(spark.createDataFrame([(*r, "c", "c", "c", "c", "c") for r in rows], SCHEMA))
+    return sorted(tuple(r) for r in hard_negatives(vectors.where(f"vec_id % {every} = 0"), vectors, **settings).collect())
+
+
+def brute(rows, every=1, positives=5, negatives=10, low=30, high=90):
+    single = lambda x: float(np.float32(x))
+    ok = [
+        (i, lab, [math.floor(256 * single(x)) for x in e])
+        for i, lab, e in rows
+        if i is not None and lab is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)
+    ]
+    out = []
+    for i in sorted({i for i, _, _ in ok if i % every == 0}):
+        lab, q = min((lab, e) for j, lab, e in ok if j == i)
+        scored = sorted((-sum(a * b for a, b in zip(q, e)), j, other) for j, other, e in ok if j != i)
+        for s, j, _ in [x for x in scored if x[2] == lab][:positives]:
+            fits = [(t, n) for t, n, other in scored if other != lab and low * -s <= 100 * -t <= high * -s][:negatives]
+            out += [(i, j, r + 1, n, -s, -t) for r, (t, n) in enumerate(fits)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0, 3.0])
+def test_against_brute_force(spark, monkeypatch, spread):
+    for name, value in (("BLOCK", 30), ("ANCHORS", 15), ("SEED", 40)):
+        monkeypatch.setattr(mining, name, value)
+    r = np.random.default_rng(int(spread))
+    base = r.normal(size=(9, 8))
+    rows = [(int(i), int(i % 5), (base[i % 9] * math.exp(spread * r.normal()) + 0.2 * r.normal(size=8)).tolist()) for i in range(260)]
+    rows += [(300 + i, i % 3, rows[0][2]) for i in range(40)]  # ties across labels
+    rows += [
+        (6, 1, rows[9][2]), (6, 4, rows[9][2]),  # an id that stands in several rows
+        (400, 0, [0.0] * 8), (401, 0, []), (402, 0, [1.0]), (403, 0, None), (404, 0, [None] + [1.0] * 7),
+        (405, 0, [math.nan] * 8), (406, 0, [math.inf] * 8), (407, None, rows[0][2]), (None, 0, rows[0][2]), (408, 77, rows[0][2]),
+    ]
+    assert run(spark, rows, 3) == brute(rows, 3)
+
+
+def test_few_rows_and_empty(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(0, 1, [1.0, 2.0])]) == []
+    assert run(spark, [(0, 1, [1.0]), (1, 1, [1.0]), (2, 2, [1.0]), (3, 2, [0.5])], every=4) == [(0, 1, 1, 3, 65536, 32768)]
+    # Negative and zero scores of the positive.
+    rows = [(0, 1, [1.0, 0.0]), (1, 1, [-1.0, 0.0]), (2, 1, [0.0, 1.0]), (3, 2, [0.0, 2.0]), (4, 2, [-0.5, 0.0])]
+    assert run(spark, rows, every=5) == brute(rows, 5) == [(0, 2, 1, 3, 0, 0)]
+
+
+def test_other_shares_and_large_values(spark):
+    r = np.random.default_rng(7)
+    rows = [(i, i % 2, (r.choice([-1e6, 1e6], size=5) * r.uniform(0.1, 1)).tolist()) for i in range(60)]
+    assert run(spark, rows, 7, positives=2, negatives=3, low=1, high=80) == brute(rows, 7, 2, 3, 1, 80)
+
+
+def test_value_ranges_hold_every_row_that_reaches_the_cosine():
+    r = np.random.default_rng(0)
+    c = r.normal(size=(4000, 6))
+    c /= np.linalg.norm(c, axis=1)[:, None]
+    for t in (0.0, 0.3, 0.8, 0.95, 1.0):
+        q = c[r.integers(4000)]
+        low, high = value_ranges(q, np.full(6, t))
+        inside = ((c >= low) & (c <= high)).all(axis=1)
+        assert inside[c @ q >= t].all()
+        assert t < 0.8 or inside.sum() < 2000
+
+
+def test_only_reached_blocks_are_sent(spark, monkeypatch):
+    """Rows far too short to reach any anchor's bound never meet an anchor in the second pass."""
+    for name, value in (("BLOCK", 50), ("ANCHORS", 4), ("SEED", 50)):
+        monkeypatch.setattr(mining, name, value)
+    seen = []
+    met = mining._met
+    monkeypatch.setattr(mining, "_met", lambda a, rows, k, same: seen.append(rows) or met(a, rows, k, same))
+    r = np.random.default_rng(1)
+    long = [(i, 0, (100 + r.uniform(0, 1, size=4)).tolist()) for i in range(40)]
+    short = [(100 + i, 0, r.uniform(0, 0.1, size=4).tolist()) for i in range(400)]
+    rows = long + short
+    assert run(spark, rows, 10) == brute(rows, 10)
+    assert seen[1].where("vec_id < 100").count() >= 40 and seen[1].where("vec_id >= 100").isEmpty()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.paths import fresh_dir
@@ -38,6 +40,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into runs of rows whose ``column`` holds about ``limit`` bytes; a longer row is alone."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum([n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()])
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + limit, side="right"))))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's shuffle width: its owner sizes it to the data, and so are our group counts."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

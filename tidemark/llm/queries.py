@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat_format import format_conversations, read_back
 from tidemark.llm.dart_minhash import near_duplicate_classes
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.hard_negatives import hard_negatives, labelled_vectors
 from tidemark.llm.language_id import fit_language_model, predict_language
+from tidemark.llm.piece_codec import decode_documents, encode_documents, read_model
 from tidemark.llm.secret_ledger import BASE_KINDS, find_secrets
+from tidemark.llm.source_divergence import audit_sources
 from tidemark.llm.source_mixing import mix_sources
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.toxicity import score_toxicity
@@ -270,6 +273,82 @@ def _url_sql() -> str:
     )
 
 
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = labelled_vectors(rows.withColumn("label", shifted), scale=256)
+    return hard_negatives(vectors.where("vec_id % 100 = 0"), vectors, positives=5, negatives=10, low=30, high=90)
+
+
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS i FROM s WHERE same) WHERE i <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def q_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query's model is found through it
+
+    model = read_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    decoded = decode_documents(encode_documents(_table(spark, sf_dir, "documents"), model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def q_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(_table(spark, sf_dir, "documents"), least=3, top=200)
+
+
+_SOURCE_DIVERGENCE = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t WHERE (lang, term) IN (SELECT lang, term FROM k) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gt AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+lt AS (SELECT lang, sum(n) AS total, count(*) AS v FROM k GROUP BY lang),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    CAST(1 + (1000000000 * (CAST(coalesce(c.n, 0) AS HUGEINT) + 1)) // (coalesce(gt.total, 0) + lt.v) AS BIGINT) AS p,
+    CAST(1 + (1000000000 * (CAST(k.n AS HUGEINT) + 1)) // (lt.total + lt.v) AS BIGINT) AS q
+  FROM g JOIN k USING (lang) JOIN lt USING (lang) LEFT JOIN gt USING (lang, source)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": q_substring_dedup,
     "op2_toxicity": q_toxicity,
@@ -281,6 +360,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_topk": q_vector_topk,
     "op9_url_templates": q_url_templates,
     "op10_chat_format": q_chat_format,
+    "op11_hard_negatives": q_hard_negatives,
+    "op12_piece_codec": q_piece_codec,
+    "op13_source_divergence": q_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -289,4 +371,6 @@ ORACLES: dict[str, str] = {
     "op8_vector_topk": _VECTOR_TOPK,
     "op9_url_templates": _url_sql(),
     "op10_chat_format": _CHAT_FORMAT,
+    "op11_hard_negatives": _HARD_NEGATIVES,
+    "op13_source_divergence": _SOURCE_DIVERGENCE,
 }
