@@ -12,6 +12,7 @@ from tidemark.sources import (
     read_source,
     register_format,
     schema_from_json,
+    stage_source,
 )
 
 
@@ -92,3 +93,44 @@ def test_registered_format(spark, scratch):
     spark.range(5).write.orc(path)
     register_format("orc_table", lambda session, source: session.read.orc(source["location"]))
     assert read_catalog(spark, {"orc_table": {"o": {"path": path}}})["o"].count() == 5
+
+
+def _stage(spark, scratch, fmt, lines, schema, **options):
+    path = scratch("raw")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    source = parse_source(fmt, "raw", {"path": path, "schema": schema, "options": options})
+    return stage_source(spark, source, scratch("staged"))
+
+
+def test_malformed_csv_records_are_kept_apart(spark, scratch):
+    lines = ["1,a,2024-01-01", "x,b,2024-01-02", "3,c,not a date", "4,d", "5,e,2024-01-05,more", ",,", "7,g,2024-01-07"]
+    staged = _stage(spark, scratch, "csv", lines, "id long, name string, day date", mode="DROPMALFORMED")
+    assert (staged["rows"], staged["rejected"]) == (3, 4)
+    assert [r.id for r in staged["good"].orderBy("id").collect()] == [None, 1, 7]
+    assert sorted(r.record for r in staged["bad"].collect()) == sorted(lines[1:5])
+    assert all("/raw-" in r.file for r in staged["bad"].collect())
+    # A count over no column, which would parse nothing, agrees.
+    assert staged["good"].count() == 3 and staged["bad"].count() == 4
+
+
+def test_staging_without_good_or_bad_records(spark, scratch):
+    none = _stage(spark, scratch, "csv", ["1,a"], "id long, name string")
+    assert none["bad"].collect() == [] and none["good"].count() == 1
+    every = _stage(spark, scratch, "csv", ["x,a"], "id long, name string")
+    assert every["good"].collect() == [] and every["good"].columns == ["id", "name"] and every["bad"].count() == 1
+    empty = _stage(spark, scratch, "csv", [], "id long, name string")
+    assert (empty["rows"], empty["rejected"]) == (0, 0) and empty["good"].count() == 0
+
+
+def test_malformed_json_records(spark, scratch):
+    lines = ['{"id": 1, "name": "a"}', '{"id": "x"}', "{broken", '{"id": 4}']
+    staged = _stage(spark, scratch, "json", lines, "id long, name string")
+    assert (staged["rows"], staged["rejected"]) == (2, 2)
+    assert sorted(r.id for r in staged["good"].collect()) == [1, 4]
+
+
+def test_staging_refuses_other_sources(spark, scratch):
+    with pytest.raises(ValueError, match="CSV and JSON"):
+        stage_source(spark, parse_source("parquet", "p", {"path": "/x", "schema": "id long"}), scratch())
+    with pytest.raises(ValueError, match="malformed records"):
+        stage_source(spark, parse_source("csv", "p", {"path": "/x", "schema": "id long, _malformed boolean"}), scratch())

@@ -13,8 +13,9 @@ from collections.abc import Callable, Mapping
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 log = logging.getLogger(__name__)
 
@@ -80,8 +81,8 @@ def _delta(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
 
 
 Reader = Callable[[SparkSession, Mapping[str, Any]], DataFrame]
-READERS: dict[str, Reader] = {"csv": _files, "parquet": _files, "jdbc": _jdbc, "delta": _delta}
-_SCHEMA_REQUIRED = {"csv", "parquet"}
+READERS: dict[str, Reader] = {"csv": _files, "json": _files, "parquet": _files, "jdbc": _jdbc, "delta": _delta}
+_SCHEMA_REQUIRED = {"csv", "json", "parquet"}
 
 
 def register_format(fmt: str, reader: Reader, schema_required: bool = False) -> None:
@@ -116,3 +117,46 @@ def parse_source(fmt: str, name: str, entry: Mapping[str, Any]) -> dict[str, Any
 def read_source(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
     """Lazily read a source, see :func:`parse_source`."""
     return READERS[source["format"]](spark, source)
+
+
+_RECORD, _FILE, _BAD = "_malformed_record", "_malformed_file", "_malformed"
+
+
+def stage_source(spark: SparkSession, source: Mapping[str, Any], staging: str) -> dict[str, Any]:
+    """Read a CSV or JSON source once, parting good rows from malformed records.
+
+    A record is malformed when it does not parse as the declared schema: a value of
+    another type, too few or too many fields, broken quoting or braces. One pass parses
+    every column of every record, counts both kinds and writes them below ``staging``,
+    which must be new; nothing is dropped.
+
+    Returns ``good`` (the declared columns), ``bad`` (the raw record and its file) and
+    the counts ``rows`` and ``rejected``. An option ``mode`` of the source is not used.
+    """
+    if source["format"] not in ("csv", "json"):
+        raise ValueError(f"Source {source['name']!r}: malformed records exist in CSV and JSON, not in {source['format']}.")
+    declared = source["schema"]
+    if declared is None:
+        raise ValueError(f"Source {source['name']!r} needs a schema to tell malformed records.")
+    if clash := {_RECORD, _FILE, _BAD} & set(declared.fieldNames()):
+        raise ValueError(f"Source {source['name']!r}: the columns {sorted(clash)} are used for malformed records.")
+    options = {k: v for k, v in source["options"].items() if k.lower() not in ("mode", "columnnameofcorruptrecord", "columnpruning")}
+    # A nullable copy: a file can hold a null anywhere. Without column pruning every value is parsed.
+    schema = StructType([*(StructField(f.name, f.dataType) for f in declared.fields), StructField(_RECORD, StringType())])
+    reader = spark.read.format(source["format"]).options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD)
+    rows = reader.option("columnPruning", "false").schema(schema).load(source["location"])
+    bad = F.col(_RECORD).isNotNull()
+    flagged = rows.withColumns({_FILE: F.when(bad, F.col("_metadata.file_path")), _BAD: bad})
+    seen = Observation()
+    counted = flagged.observe(seen, F.count_if(~F.col(_BAD)).alias("rows"), F.count_if(_BAD).alias("rejected"))
+    counted.write.partitionBy(_BAD).parquet(staging)
+    counts = {k: int(v or 0) for k, v in seen.get.items()}
+    back = StructType([*schema.fields, StructField(_FILE, StringType())])
+
+    def part(flag: bool) -> DataFrame:
+        if not counts["rejected" if flag else "rows"]:
+            return spark.createDataFrame([], back)
+        return spark.read.schema(back).parquet(f"{staging.rstrip('/')}/{_BAD}={str(flag).lower()}")
+
+    good = part(False).select(*(f.name for f in declared.fields))
+    return {"good": good, "bad": part(True).select(F.col(_RECORD).alias("record"), F.col(_FILE).alias("file")), **counts}
