@@ -10,8 +10,8 @@ def plan_text(df, mode="formatted"):
     return buf.getvalue()
 
 
-def files_scanned(df):
-    """Files that the file scans of the executed plan of ``df`` read (collect it first)."""
+def files_scanned(df, below=""):
+    """Files that the file scans of the executed plan of ``df`` read (collect it first); only those of a table whose path holds ``below``."""
     def scans(plan):
         name = plan.getClass().getSimpleName()
         if name == "AdaptiveSparkPlanExec":
@@ -19,7 +19,7 @@ def files_scanned(df):
         if name.endswith("QueryStageExec"):
             return scans(plan.plan())
         if name == "FileSourceScanExec":
-            return plan.metrics().get("numFiles").get().value()
+            return plan.metrics().get("numFiles").get().value() if below in plan.relation().location().rootPaths().mkString(",") else 0
         children = plan.children()
         return sum(scans(children.apply(i)) for i in range(children.size()))
 
