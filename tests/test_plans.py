@@ -9,7 +9,7 @@ from tidemark.functions.predicates import cherry_pick, latest
 from tidemark.functions.weeks import STORED_WEEK, WEEK, orders_activity
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users
 from tidemark.operators.select import keep_requested, requests_frame
-from tidemark.operators.sinks import overwrite_all
+from tidemark.operators.sinks import overwrite_all, scan_roots
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,19 @@ def test_tuple_request_reads_only_its_weeks(stored, tuples):
     for picked in (rows.where(cherry_pick(request)), keep_requested(rows, requests_frame(rows.sparkSession, request), [WEEK, "activity_type"])):
         counted = picked.groupBy(WEEK).count()  # an exchange: the scan is planned, and its files counted, while it runs
         counted.collect()
-        assert files_scanned(counted) == stored.where(F.col(STORED_WEEK).isin(weeks)).select(F.input_file_name()).distinct().count()
+        files = stored.where(F.col(STORED_WEEK).isin(weeks)).select(F.input_file_name()).distinct().count()
+        assert files_scanned(counted, scan_roots(stored)[0]) == files
+
+
+def test_request_as_data_reads_only_its_weeks(stored):
+    """Two weeks far apart, requested as a DataFrame: dynamic pruning reads their files, and none of the years between."""
+    rows = stored.withColumnRenamed(STORED_WEEK, WEEK)
+    request = requests_frame(rows.sparkSession, {WEEK: ["1995_01", "2001_20"]})
+    counted = keep_requested(rows, request, [WEEK]).groupBy(WEEK).count()
+    assert {r[WEEK] for r in counted.collect()} == {"1995_01", "2001_20"}
+    files = stored.where(F.col(STORED_WEEK).isin("1995_01", "2001_20")).select(F.input_file_name()).distinct().count()
+    assert files_scanned(counted, scan_roots(stored)[0]) == files == 2
+    assert "dynamicpruning" in plan_text(counted)
 
 
 def test_latest_reads_no_data_columns(spark, stored):
