@@ -1,0 +1,234 @@
+"""What a run costs in the catalog and the file system follows what it writes, not what is there."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF
+from tidemark.functions.weeks import STORED_WEEK, WEEK, activity_frame, orders_activity
+from tidemark.operators.aggregate import weekly_distinct_users
+from tidemark.operators.sinks import replace_partitions
+from tidemark.paths import fresh_dir
+from tidemark.plans import jobs, tables
+from tidemark.plans.jobs import due_weeks, load_scenario, maintain_weekly_views, run_overwrite
+from tidemark.plans.tables import ensure_table, quoted, register_partitions, table_location, table_partitions
+from tidemark.plans.versions import adopt_version, current_version, drop_versions, publish_version, versions
+from tidemark.storage import partition_folder, subfolders
+
+
+def _weekly(df):
+    return {r.year_woy: r.distinct_daily_users for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    """Landing data of every scenario over all ISO weeks of ``orders``."""
+    path = fresh_dir(spark, "landing")
+    orders_activity(spark.read.parquet(f"{SF}/orders.parquet")).repartitionByRange(2, "activity_date").write.parquet(path)
+    return path
+
+
+@pytest.fixture()
+def place(spark):
+    path = fresh_dir(spark, "warehouse")
+    return {"warehouse": path, "schema": "tm_" + path.rpartition("-")[2]}
+
+
+def _statements(spark, monkeypatch):
+    said = []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or sql(self, text, *a, **k))
+    return said
+
+
+def test_one_week_repair_touches_one_partition(spark, orders, place, monkeypatch):
+    run_overwrite(spark, landing=orders, scenario=0, backfill=True, **place)
+    weeks = table_partitions(spark, f"{place['schema']}.daily_activity").count()
+    assert weeks > 200
+    said = _statements(spark, monkeypatch)
+    metrics = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics
+    metrics.reset()
+    done = run_overwrite(spark, landing=orders, scenario=None, partitions={WEEK: ["1997_05"]}, **place)
+    assert done["rows"] == 1 and done["partitions_after"] == weeks
+    changes = [s for s in said if "PARTITION (" in s]
+    assert len(changes) == 1 and changes[0].count("PARTITION (") == 1 and "1997_05" in changes[0]
+    assert not any("MSCK" in s or "RECOVER" in s for s in said)
+    # The activity table was read through the catalog: one folder listed, with its files.
+    week = subfolders_files(spark, table_location(place["warehouse"], place["schema"], "user_activity"), "1997_05")
+    assert metrics.METRIC_FILES_DISCOVERED().getCount() <= week
+
+
+def subfolders_files(spark, location, week):
+    return len(spark.read.parquet(f"{location}/{partition_folder(spark, {STORED_WEEK: week})}").inputFiles())
+
+
+def test_no_run_lists_all_folders(spark, orders, place, monkeypatch):
+    said = _statements(spark, monkeypatch)
+    run_overwrite(spark, landing=orders, scenario=0, backfill=True, **place)
+    run_overwrite(spark, landing=orders, scenario=1, load_mode="replace", partitions={WEEK: ["1997_05"]}, **place)
+    assert not any("MSCK" in s for s in said)
+    for table in ("user_activity", "daily_activity"):
+        folders = subfolders(spark, table_location(place["warehouse"], place["schema"], table))
+        assert table_partitions(spark, f"{place['schema']}.{table}").count() == len(folders) > 200
+
+
+def test_manifest_names_the_partitions_written(spark, scratch):
+    path = scratch()
+    rows = spark.createDataFrame([(1, "a", 1), (2, None, 1), (3, "", 2), (4, "a b/=", None)], "v int, k string, n int")
+    assert replace_partitions(rows, path, ["k", "n"], manifest=True) == {"rows": 4, "partitions": [("a b/=", None), ("a", 1), (None, 1), (None, 2)]}
+    assert replace_partitions(rows.limit(0), path, ["k", "n"], manifest=True) == {"rows": 0, "partitions": []}
+    assert replace_partitions(rows, path, ["k", "n"]) == {"rows": 4}
+
+
+def test_registered_partitions_read_back(spark, scratch):
+    path, schema = scratch(), "tm_register"
+    rows = spark.createDataFrame([(1, "it's", 1), (2, None, 2), (3, "x\\y", 3)], "v int, k string, n int")
+    ensure_table(spark, schema, "t", path, tables.TableDef(rows.schema, ("k", "n")))
+    written = replace_partitions(rows, path, ["k", "n"], manifest=True)
+    register_partitions(spark, quoted(schema, "t"), ["k", "n"], written["partitions"])
+    assert sorted(map(tuple, spark.table(f"{schema}.t").collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    spark.sql(f"DROP TABLE {schema}.t")
+
+
+def test_table_over_data_of_an_earlier_catalog(spark, orders, place):
+    run_overwrite(spark, landing=orders, scenario=0, backfill=True, **place)
+    before = _weekly(spark.table(f"{place['schema']}.daily_activity"))
+    for table in ("user_activity", "daily_activity"):
+        spark.sql(f"DROP TABLE {place['schema']}.{table}")
+    run_overwrite(spark, landing=orders, scenario=None, partitions={WEEK: ["1997_05"]}, **place)
+    assert _weekly(spark.table(f"{place['schema']}.daily_activity")) == before
+
+
+# Published versions
+
+
+def _activity(spark, **columns):
+    return activity_frame(spark.read.parquet(f"{SF}/events.parquet")).withColumns(columns)
+
+
+def test_failed_load_leaves_the_published_table(spark, place):
+    name = f"{place['schema']}.user_activity"
+    publish_version(spark, _activity(spark), place["schema"], "user_activity", place["warehouse"], [STORED_WEEK])
+    before = sorted(map(tuple, spark.table(name).collect()), key=repr)
+    failing = _activity(spark, extra=F.when(F.col("user_id") % 5 == 4, F.raise_error(F.lit("broken row"))).otherwise(F.lit("x")))
+    with pytest.raises(Exception, match="broken row"):
+        publish_version(spark, failing, place["schema"], "user_activity", place["warehouse"], [STORED_WEEK])
+    assert sorted(map(tuple, spark.table(name).collect()), key=repr) == before
+    # The next load brings other columns, under the same name, which was there all the time.
+    done = publish_version(spark, _activity(spark, extra=F.lit("x")).drop("scenario"), place["schema"], "user_activity", place["warehouse"], [STORED_WEEK])
+    assert spark.table(name).columns == ["user_id", "activity_date", "activity_type", STORED_WEEK, "extra"]
+    assert current_version(spark, place["schema"], "user_activity") == done["version"]
+    assert len(versions(spark, place["schema"], "user_activity")) == 2
+    assert len(drop_versions(spark, place["schema"], "user_activity", place["warehouse"])) == 1
+    assert spark.table(name).count() == len(before)
+
+
+def test_a_version_may_read_the_one_it_replaces(spark, place):
+    for _ in range(3):
+        name = f"{place['schema']}.user_activity"
+        rows = spark.table(name).unionByName(_activity(spark)) if spark.catalog.tableExists(name) else _activity(spark)
+        publish_version(spark, rows, place["schema"], "user_activity", place["warehouse"], [STORED_WEEK])
+    assert spark.table(name).count() == 3 * _activity(spark).count()
+    assert len(drop_versions(spark, place["schema"], "user_activity", place["warehouse"], keep=2)) == 1
+    # Another catalog finds the folder again.
+    last = current_version(spark, place["schema"], "user_activity")
+    spark.sql(f"DROP VIEW {name}")
+    spark.sql(f"DROP TABLE {place['schema']}.{last}")
+    adopt_version(spark, place["schema"], "user_activity", last, table_location(place["warehouse"], place["schema"], last), tables.TableDef(rows.schema, (STORED_WEEK,)))
+    assert spark.table(name).count() == 3 * _activity(spark).count()
+
+
+def test_a_table_is_not_replaced_by_a_view(spark, place):
+    ensure_table(spark, place["schema"], "user_activity", table_location(place["warehouse"], place["schema"], "user_activity"), tables.table_definition("idempotent", "user_activity"))
+    with pytest.raises(ValueError, match="not a published name"):
+        publish_version(spark, _activity(spark), place["schema"], "user_activity", place["warehouse"], [STORED_WEEK])
+
+
+def test_job_with_published_loads(spark, orders, place):
+    for scenario in (0, 1):
+        done = run_overwrite(spark, landing=orders, scenario=scenario, backfill=True, load_mode="publish", **place)
+    rows = spark.read.parquet(orders).where("scenario = 1")
+    got, want = _weekly(spark.table(f"{place['schema']}.daily_activity")), _weekly(weekly_distinct_users(rows))
+    assert {w: got[w] for w in want} == want and done["rows"] == len(want)
+    run_overwrite(spark, landing=orders, scenario=None, load_mode="publish", partitions={WEEK: ["1997_05"]}, **place)
+    assert _weekly(spark.table(f"{place['schema']}.daily_activity")) == got
+
+
+# Unchanged weeks
+
+
+def _files(spark, path):
+    return {f: None for f in spark.read.parquet(path).inputFiles()}.keys()
+
+
+def test_a_rerun_over_the_same_landing_data_writes_no_file(spark, place, monkeypatch):
+    landing = fresh_dir(spark, "landing")
+    activity = _activity(spark)
+    activity.write.parquet(landing)
+    job = {"landing": landing, "scenario": 0, "load_mode": "changed", **place}
+    first = run_overwrite(spark, **job)
+    assert first["mode"] == "changed" and first["rows"] == 5
+    spots = [table_location(place["warehouse"], place["schema"], t) for t in ("user_activity", "daily_activity")]
+    files = [_files(spark, p) for p in spots]
+    again = run_overwrite(spark, **job)
+    assert (again["rows_loaded"], again["rows"]) == (0, 0) and [_files(spark, p) for p in spots] == files
+    # The same rows in other files and another order are the same content.
+    activity.orderBy(F.desc("user_id")).repartition(3).write.mode("overwrite").parquet(landing)
+    assert run_overwrite(spark, **job)["rows"] == 0
+    # One changed row rewrites one week.
+    one = (F.col(STORED_WEEK) == "2024_02") & (F.col("scenario") == 0) & (F.col("user_id") == activity.where("scenario = 0 and __year_week_of_year__ = '2024_02'").first().user_id)
+    changed = activity.withColumn("user_id", F.when(one, F.lit(-5)).otherwise(F.col("user_id")))
+    changed.write.mode("overwrite").parquet(landing)
+    assert run_overwrite(spark, **job)["rows"] == 1
+    after = [_files(spark, p) for p in spots]
+    for a, b in zip(files, after):
+        assert {f for f in a ^ b} and all("2024_02" in f for f in a ^ b)
+    want = _weekly(weekly_distinct_users(changed.where("scenario = 0")))
+    assert _weekly(spark.table(f"{place['schema']}.daily_activity")) == want
+    # A load in another mode forgets the fingerprints, and a lost folder is loaded again.
+    run_overwrite(spark, **job | {"load_mode": "replace", "scenario": 1, "backfill": True})
+    assert run_overwrite(spark, **job)["rows"] == 5
+
+
+def test_fingerprints_tell_nulls_and_repeated_rows_apart(spark, scratch):
+    from tidemark.operators.fingerprints import changed_partitions, fingerprints, last_fingerprints, log_fingerprints
+
+    schema = "a string, b string, w string"
+    base = [("x", None, "1"), (None, "x", "2"), ("y", "y", None), ("z", "z", "4")]
+    log = scratch()
+    assert last_fingerprints(spark, log, ["w"]) is None
+    log_fingerprints(fingerprints(spark.createDataFrame(base, schema), ["w"]), log)
+    moved = [(None, "x", "1"), (None, "x", "2"), ("y", "y", None), ("y", "y", None), ("y", "y", None), ("z", "z", "4")]
+    found = changed_partitions(fingerprints(spark.createDataFrame(moved, schema), ["w"]), last_fingerprints(spark, log, ["w"]), ["w"])
+    assert sorted(r.w or "" for r in found.collect()) == ["", "1"]
+
+
+def test_unknown_load_mode(spark, orders, scratch):
+    with pytest.raises(ValueError, match="Unknown load mode"):
+        load_scenario(spark, orders, scratch(), 0, mode="merge")
+
+
+# Views of the due weeks
+
+
+def test_views_follow_the_due_weeks(spark, place):
+    landing = [fresh_dir(spark, "landing") for _ in range(2)]
+    activity = _activity(spark)
+    activity.where(F.col(STORED_WEEK) <= "2024_03").write.parquet(landing[0])
+    activity.where(F.col(STORED_WEEK) != "2024_02").write.parquet(landing[1])
+    job = {"scenario": 0, "backfill": True, **place}
+    due = due_weeks(activity)
+    run_overwrite(spark, landing=landing[0], **job)
+    views = {"schema": place["schema"], "table": "user_activity", "due": due}
+    first = maintain_weekly_views(spark, **views)
+    assert first == {"created": ["weekly_2024_01", "weekly_2024_02", "weekly_2024_03"], "dropped": []}
+    assert maintain_weekly_views(spark, **views) == {"created": [], "dropped": []}
+    run_overwrite(spark, landing=landing[1], **job)
+    second = maintain_weekly_views(spark, **views)
+    assert second == {"created": ["weekly_2024_04", "weekly_2024_05"], "dropped": ["weekly_2024_02"]}
+    assert spark.table(f"{place['schema']}.weekly_2024_04").count() == activity.where(f"{STORED_WEEK} = '2024_04' AND scenario = 0").count()
+    # A week without a roll-over day is not due.
+    one = spark.createDataFrame([(dt.date(2024, 1, 9),)], "activity_date date")
+    assert due_weeks(one).count() == 0
+    assert jobs.rollover_days(activity).count() >= 5

@@ -104,11 +104,15 @@ def _write(
     options: Mapping[str, Any] | None,
     writers: int | None = None,
     rebalance: bool = False,
+    manifest: bool = False,
 ) -> dict[str, Any]:
-    """Write ``df``; returns the number of rows, counted in the write pass (one number per task)."""
+    """Write ``df``; returns what the write pass itself counted: the rows and, if asked for, the keys of the partitions."""
     obs = Observation()
     laid_out = _layout(df, partition_cols, files_per_partition, writers, rebalance)
-    counted = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if manifest and partition_cols:
+        metrics.append(F.collect_set(F.struct(*partition_cols)).alias("partitions"))
+    counted = laid_out.observe(obs, *metrics)
     writer = counted.write.format(fmt).mode(mode)
     if overwrite_mode:
         writer = writer.option("partitionOverwriteMode", overwrite_mode)
@@ -118,14 +122,18 @@ def _write(
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)
     try:
-        rows = int(obs.get["rows"])
+        found = obs.get
+        rows, keys = int(found["rows"]), found.get("partitions", [])
     except Exception:
         # AQE replaces an input that turns out empty, and the count with it.
         # Any other reason for a missing count is an error.
         if not df.isEmpty():
             raise
-        rows = 0
-    return {"rows": rows}
+        rows, keys = 0, []
+    if not manifest:
+        return {"rows": rows}
+    # An empty string is stored as the null partition.
+    return {"rows": rows, "partitions": sorted({tuple(None if v == "" else v for v in k) for k in keys}, key=repr)}
 
 
 def overwrite_all(
@@ -139,6 +147,7 @@ def overwrite_all(
     reads_from: Sequence[str] | None = None,
     writers: int | None = None,
     rebalance: bool = False,
+    manifest: bool = False,
 ) -> dict[str, Any]:
     """Replace every partition and the schema of the table at ``path``.
 
@@ -146,14 +155,16 @@ def overwrite_all(
     that ``df`` itself reads: Spark would delete the input before reading it.
     ``reads_from`` names the roots ``df`` was read from, which makes that
     check a path comparison. Returns ``{"rows": rows written}``, counted in
-    the write pass itself.
+    the write pass itself; with ``manifest`` also ``partitions``, the key tuples
+    of the partitions written, taken from the same pass (one value per partition
+    and task).
     """
     if _reads_path(df, path, reads_from):
         raise ValueError(f"Refusing to overwrite {path}: the DataFrame reads from it.")
     return _write(
         df, path, partition_cols, mode="overwrite", overwrite_mode="static",
         fmt=fmt, files_per_partition=files_per_partition, options=options,
-        writers=writers, rebalance=rebalance,
+        writers=writers, rebalance=rebalance, manifest=manifest,
     )
 
 
@@ -167,6 +178,7 @@ def replace_partitions(
     options: Mapping[str, Any] | None = None,
     writers: int | None = None,
     rebalance: bool = False,
+    manifest: bool = False,
 ) -> dict[str, Any]:
     """Replace exactly the partitions present in ``df``; keep all others.
 
@@ -174,14 +186,15 @@ def replace_partitions(
     once, an empty ``df`` changes nothing, and a partition that vanished from
     the source stays in the table. The overwrite mode is set on this write
     only, never on the session. ``files_per_partition``, ``writers`` and
-    ``rebalance`` choose the file layout (see ``_layout``).
+    ``rebalance`` choose the file layout (see ``_layout``); ``manifest`` adds
+    the key tuples of the partitions written to the result.
     """
     if not partition_cols:
         raise ValueError("replace_partitions needs partition columns.")
     return _write(
         df, path, partition_cols, mode="overwrite", overwrite_mode="dynamic",
         fmt=fmt, files_per_partition=files_per_partition, options=options,
-        writers=writers, rebalance=rebalance,
+        writers=writers, rebalance=rebalance, manifest=manifest,
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql.types import DateType, IntegerType, LongType, StringType, Struc
 
 from tidemark.functions.weeks import STORED_WEEK, WEEK
 from tidemark.operators.sinks import same_path
+from tidemark.storage import subfolders
 
 USER_ACTIVITY = StructType(
     [
@@ -154,24 +156,86 @@ def ensure_table(
     if spark.catalog.tableExists(f"{schema}.{table}"):
         check_table(spark, schema, table, location, definition, fmt)
         return False
+    create_table(spark, schema, table, location, definition, fmt)
+    if definition.partition_cols and subfolders(spark, location):  # data of an earlier catalog: its partitions are listed once, here
+        sync_partitions(spark, quoted(schema, table))
+    return True
+
+
+def create_table(spark: SparkSession, schema: str, table: str, location: str, definition: TableDef, fmt: str = "parquet") -> None:
+    """``CREATE TABLE IF NOT EXISTS`` of a partitioned external table; its catalog entry starts without partitions."""
     parts = ", ".join(f"`{c}`" for c in definition.partition_cols)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(schema, table)} ({definition.ddl()}) USING {fmt}"
         + (f" PARTITIONED BY ({parts})" if parts else "")
         + f" LOCATION {_sql_string(location)}"
     )
-    return True
 
 
-def redefine_table(spark: SparkSession, schema: str, table: str, location: str, definition: TableDef, fmt: str = "parquet") -> None:
+def redefine_table(
+    spark: SparkSession,
+    schema: str,
+    table: str,
+    location: str,
+    definition: TableDef,
+    fmt: str = "parquet",
+    partitions: Sequence[tuple] | None = None,
+) -> None:
     """After a full overwrite by path: give the catalog table the new columns and exactly the partitions that are there.
 
-    The table is external, so dropping its entry leaves the data.
+    ``partitions`` is the manifest of the write; without it the folder is listed.
+    With the columns it had, the table stays and only its partitions change;
+    other columns mean a new entry, between dropping the old one and
+    creating it the name is gone (:func:`tidemark.plans.versions.publish_version`
+    has no such gap). The table is external, so dropping its entry leaves the data.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, table)}")
-    ensure_table(spark, schema, table, location, definition, fmt)
-    if definition.partition_cols:
-        sync_partitions(spark, quoted(schema, table))
+    name, keys = quoted(schema, table), list(definition.partition_cols)
+    if spark.catalog.tableExists(f"{schema}.{table}") and _same_columns(spark, f"{schema}.{table}", definition):
+        if keys and partitions is not None:
+            had = {tuple(r) for r in table_partitions(spark, name).select(*keys).collect()}
+            drop_partitions(spark, name, keys, had - set(partitions))
+            register_partitions(spark, name, keys, partitions)
+        elif keys:
+            sync_partitions(spark, name)
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_table(spark, schema, table, location, definition, fmt)
+    if keys and partitions is not None:
+        register_partitions(spark, name, keys, partitions)
+    elif keys:
+        sync_partitions(spark, name)
+
+
+def _same_columns(spark: SparkSession, name: str, definition: TableDef) -> bool:
+    keys = list(definition.partition_cols)
+    declared = [f for f in definition.schema.fields if f.name not in keys] + [definition.schema[k] for k in keys]
+    return [(c.name, c.dataType) for c in spark.catalog.listColumns(name)] == [(f.name, f.dataType.simpleString()) for f in declared]
+
+
+def _partition_clauses(keys: Sequence[str], partitions: Iterable[tuple]) -> list[str]:
+    def literal(v: Any) -> str:
+        return "null" if v is None else _sql_string(str(v))
+
+    return ["PARTITION (" + ", ".join(f"`{k}`={literal(v)}" for k, v in zip(keys, values)) + ")" for values in partitions]
+
+
+_PER_STATEMENT = 200
+
+
+def register_partitions(spark: SparkSession, name: str, keys: Sequence[str], partitions: Iterable[tuple]) -> None:
+    """Tell the catalog of these partitions (key tuples), and of no other: no folder is listed."""
+    clauses = _partition_clauses(keys, partitions)
+    for at in range(0, len(clauses), _PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(clauses[at : at + _PER_STATEMENT]))
+    spark.catalog.refreshTable(name)
+
+
+def drop_partitions(spark: SparkSession, name: str, keys: Sequence[str], partitions: Iterable[tuple]) -> None:
+    """Take these partitions out of the catalog; the table is external, so files stay where they are."""
+    clauses = _partition_clauses(keys, partitions)
+    for at in range(0, len(clauses), _PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(clauses[at : at + _PER_STATEMENT]))
+    spark.catalog.refreshTable(name)
 
 
 def sync_partitions(spark: SparkSession, name: str) -> None:
@@ -211,7 +275,12 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-_WEEK = re.compile(r"^\d{4}_\d{2}$")
+_WEEK = re.compile(r"\d{4}_\d{2}")
+
+
+def is_week(text: str) -> bool:
+    """``text`` has the form YYYY_WW."""
+    return bool(_WEEK.fullmatch(text))
 
 
 def weekly_view(
@@ -226,7 +295,7 @@ def weekly_view(
 
     The view reads one week directory through partition pruning.
     """
-    if not _WEEK.match(week):
+    if not is_week(week):
         raise ValueError(f"Week {week!r} is not of the form YYYY_WW.")
     cols = ", ".join(f"`{c}`" for c in columns)
     spark.sql(
