@@ -26,10 +26,14 @@ from tidemark.functions.predicates import cherry_pick, everything, latest, strat
 from tidemark.functions.weeks import STORED_WEEK, WEEK, activity_frame, orders_activity  # noqa: E402
 from tidemark.operators.aggregate import latest_partition, weekly_distinct_users  # noqa: E402
 from tidemark.operators.audit import table_history  # noqa: E402
+from tidemark.operators.bitmaps import add_to_bitmaps, bitmap_counts  # noqa: E402
 from tidemark.operators.select import keep_requested, requests_frame, select_partitions  # noqa: E402
 from tidemark.operators.sinks import overwrite_all, replace_partitions, write_sink, writers_for  # noqa: E402
 from tidemark.paths import fresh_dir  # noqa: E402
+from tidemark.plans.bucketed import write_bucketed  # noqa: E402
 from tidemark.plans.jobs import (  # noqa: E402
+    due_weeks,
+    maintain_weekly_views,
     read_preview_append,
     rollover_days,
     run_overwrite,
@@ -43,8 +47,17 @@ from tidemark.plans.tables import (  # noqa: E402
     table_location,
     table_partitions,
 )
+from tidemark.sources import parse_source, stage_source  # noqa: E402
 from tidemark.sources.catalog import read_catalog  # noqa: E402
-from tidemark.streaming.replace import start_replace_stream  # noqa: E402
+from tidemark.streaming.replace import (  # noqa: E402
+    batch_pairs,
+    compact_weeks,
+    new_pairs,
+    recount_weeks,
+    replace_batch,
+    start_replace_stream,
+    write_pairs,
+)
 
 ACTIVITY_COLS = ["user_id", "activity_date", "activity_type", STORED_WEEK, "scenario"]
 
@@ -520,6 +533,110 @@ def q_stream_two_checkpoints(spark, sf_dir):
     return _weekly(spark.read.parquet(target))
 
 
+def q_stream_interleaved(spark, sf_dir):
+    # Two runs take turns, each with two thirds of the events. In every round both compare
+    # with the store before either writes, so both add the pairs they share; then both
+    # write, count, and (in between) a week is compacted. The first run's first batch is
+    # replayed at the end.
+    store, target = fresh_dir(spark, "stream_store"), fresh_dir(spark, "stream_weekly")
+    activity = _activity(spark, sf_dir)
+    third = F.pmod(F.xxhash64("user_id", "activity_date", "activity_type"), F.lit(3))
+    batches = [activity.where((third != part) & (F.col(STORED_WEEK) <= "2024_03" if i == 0 else F.col(STORED_WEEK) > "2024_02")) for i in (0, 1) for part in (0, 1)]
+    for i in (0, 1):
+        turn = []
+        for run, batch in zip("ab", batches[2 * i : 2 * i + 2]):
+            pairs = batch_pairs(batch)
+            weeks = [r[0] for r in pairs.select(WEEK).distinct().collect()]
+            turn.append((weeks, new_pairs(spark, pairs, weeks, i, run=run, store=store)))
+        for _, rows in turn:
+            write_pairs(rows, store)
+        for weeks, _ in turn:
+            recount_weeks(spark, weeks, store=store, target=target)
+        compact_weeks(spark, store, ["2024_02", "2024_03"])
+    replace_batch(spark, batches[0], 0, run="a", store=store, target=target)
+    return _weekly(spark.read.parquet(target))
+
+
+# --------------------------------------------------------------------------
+# Partition-scoped cost: dynamic pruning, bitmaps, buckets, versions, fingerprints, views, rejects
+
+
+def q_request_as_data(spark, sf_dir):
+    # Two weeks of the stored table, requested as data: their folders are the only ones read.
+    request = requests_frame(spark, {WEEK: ["1995_10", "2001_20"]})
+    return _count_pairs(keep_requested(_stored_orders(spark, sf_dir), request, [WEEK]))
+
+
+def q_weekly_users_bitmaps(spark, sf_dir):
+    # The bitmaps of one scenario, then the rows of the others merged in, one of them twice.
+    store, activity = fresh_dir(spark, "bitmaps"), _orders_activity(spark, sf_dir)
+    for scenario in (0, 1, 2, 1):
+        add_to_bitmaps(spark, activity.where(F.col("scenario") == scenario), store)
+    return bitmap_counts(spark.read.parquet(store))
+
+
+def q_weekly_users_bucketed(spark, sf_dir):
+    path = fresh_dir(spark, "bucketed")
+    name = f"tm_{os.path.basename(path).replace('-', '_')}"
+    write_bucketed(_activity(spark, sf_dir), name, path, 8)
+    return weekly_distinct_users(spark.table(name))
+
+
+def q_published_loads(spark, sf_dir):
+    # Each load is a version of its own; the name moves from one to the next. The second
+    # landing holds fewer weeks, so the activity table does too, and the weekly table keeps the others.
+    warehouse, schema = _warehouse(spark)
+    job = {"warehouse": warehouse, "schema": schema, "backfill": True, "load_mode": "publish"}
+    run_overwrite(spark, landing=_landing(spark, sf_dir), scenario=0, **job)
+    run_overwrite(spark, landing=_landing(spark, sf_dir, F.col(STORED_WEEK) <= "2024_03"), scenario=1, **job)
+    activity = spark.table(f"{schema}.user_activity").groupBy(F.col(STORED_WEEK).alias(WEEK)).agg(F.count(F.lit(1)).alias("events"))
+    return spark.table(f"{schema}.daily_activity").join(activity, WEEK, "left").select(WEEK, "distinct_daily_users", "events")
+
+
+def q_changed_weeks(spark, sf_dir):
+    # Four loads: all weeks; the same again, in other files; one week changed; the same again.
+    warehouse, schema = _warehouse(spark)
+    activity = _activity(spark, sf_dir)
+    changed = activity.withColumn("user_id", F.when(F.col(STORED_WEEK) == "2024_04", F.col("user_id") % 10).otherwise(F.col("user_id")))
+    written = []
+    for rows in (activity, activity.orderBy("user_id"), changed, changed):
+        landing = fresh_dir(spark, "landing")
+        rows.write.parquet(landing)
+        done = run_overwrite(spark, landing=landing, warehouse=warehouse, schema=schema, scenario=0, load_mode="changed")
+        written.append(done["rows"])
+    return _daily(spark, warehouse, schema).withColumn("weeks_written", F.lit(",".join(map(str, written[1:]))))
+
+
+def q_due_views(spark, sf_dir):
+    # Views of the due weeks after two runs: the second landing lacks a week that the first had.
+    warehouse, schema = _warehouse(spark)
+    job = {"warehouse": warehouse, "schema": schema, "scenario": 0, "backfill": True}
+    due = due_weeks(_activity(spark, sf_dir))
+    for where in (F.col(STORED_WEEK) <= "2024_03", F.col(STORED_WEEK) != "2024_02"):
+        run_overwrite(spark, landing=_landing(spark, sf_dir, where), **job)
+        maintain_weekly_views(spark, schema=schema, table="user_activity", due=due)
+    names = sorted(r.viewName for r in spark.sql(f"SHOW VIEWS IN {schema}").collect())
+    counts = [spark.table(f"{schema}.{n}").agg(F.count(F.lit(1)).alias("events")).withColumn("view", F.lit(n)) for n in names]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def q_source_rejects(spark, sf_dir):
+    # All of events as CSV lines, every tenth with a user that is no number: good rows,
+    # raw bad ones, and both counts from the one pass that read them.
+    path = fresh_dir(spark, "raw_csv")
+    user = F.concat(F.when(F.col("event_id") % 10 == 0, F.lit("x")).otherwise(F.lit("")), F.col("user_id"))
+    _events(spark, sf_dir).select(F.concat_ws(",", "event_id", user, "event_type")).write.text(path)
+    source = parse_source("csv", "raw", {"path": path, "schema": "event_id long, user_id long, event_type string"})
+    staged = stage_source(spark, source, fresh_dir(spark, "staged"))
+    counts = {k: F.lit(staged[k]).cast("long") for k in ("rows", "rejected")}
+    good = staged["good"].withColumn("record", F.lit(None).cast("string"))
+    bad = staged["bad"].select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in staged["good"].schema.fields), "record")
+    return good.unionByName(bad).withColumns(counts)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_scenario": q_scan_scenario,
     "weekly_users_backfill": q_weekly_users_backfill,
@@ -561,6 +678,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_replace": q_stream_replace,
     "stream_replace_orders": q_stream_replace_orders,
     "stream_two_checkpoints": q_stream_two_checkpoints,
+    "stream_interleaved": q_stream_interleaved,
+    "request_as_data": q_request_as_data,
+    "weekly_users_bitmaps": q_weekly_users_bitmaps,
+    "weekly_users_bucketed": q_weekly_users_bucketed,
+    "published_loads": q_published_loads,
+    "changed_weeks": q_changed_weeks,
+    "due_views": q_due_views,
+    "source_rejects": q_source_rejects,
 }
 
 
@@ -702,6 +827,21 @@ _ORACLES: dict[str, str] = {
     "stream_replace": _wau("TRUE"),
     "stream_replace_orders": _wau("TRUE", _UO),
     "stream_two_checkpoints": _wau("TRUE"),
+    "stream_interleaved": _wau("TRUE"),
+    "request_as_data": _UO + "SELECT year_woy, activity_type, COUNT(*) AS events FROM ua WHERE year_woy IN ('1995_10', '2001_20') GROUP BY ALL",
+    "weekly_users_bitmaps": _wau("TRUE", _UO),
+    "weekly_users_bucketed": _wau("TRUE"),
+    "published_loads": _UA + "SELECT year_woy, CAST(COUNT(DISTINCT user_id) AS INTEGER) AS distinct_daily_users, "
+    "CASE WHEN year_woy <= '2024_03' THEN COUNT(*) END AS events "
+    "FROM ua WHERE scenario = CASE WHEN year_woy <= '2024_03' THEN 1 ELSE 0 END GROUP BY year_woy",
+    "changed_weeks": _UA + "SELECT year_woy, CAST(COUNT(DISTINCT CASE WHEN year_woy = '2024_04' THEN user_id % 10 ELSE user_id END) AS INTEGER) "
+    "AS distinct_daily_users, '0,1,0' AS weeks_written FROM ua WHERE scenario = 0 GROUP BY year_woy",
+    "due_views": _UA + "SELECT 'weekly_' || year_woy AS view, COUNT(*) AS events FROM ua WHERE scenario = 0 AND year_woy <> '2024_02' "
+    "AND year_woy IN (SELECT year_woy FROM ua WHERE isodow(activity_date) = 1 OR (month(activity_date) = 1 AND day(activity_date) = 1)) GROUP BY year_woy",
+    "source_rejects": "WITH n AS (SELECT COUNT(*) FILTER (event_id % 10 <> 0) AS rows, COUNT(*) FILTER (event_id % 10 = 0) AS rejected FROM events) "
+    "SELECT CASE WHEN event_id % 10 <> 0 THEN event_id END AS event_id, CASE WHEN event_id % 10 <> 0 THEN user_id END AS user_id, "
+    "CASE WHEN event_id % 10 <> 0 THEN event_type END AS event_type, "
+    "CASE WHEN event_id % 10 = 0 THEN event_id || ',x' || user_id || ',' || event_type END AS record, rows, rejected FROM events, n",
 }
 
 
@@ -722,8 +862,10 @@ def _training_data():
         found["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             sql["pipeline"] = corpus_pipeline.ORACLE_SQL
-    except ModuleNotFoundError as e:
-        if e.name not in ("corpus_pipeline", "tidemark.llm"):
+    except ImportError as e:
+        # Not installed: the module is missing, or its folder has been left with nothing but compiled files.
+        left = os.path.join(os.path.dirname(os.path.abspath(__file__)), "tidemark", "llm", "__init__.py")
+        if os.path.exists(left) and not (isinstance(e, ModuleNotFoundError) and e.name == "corpus_pipeline"):
             raise  # it is there but broken
     return found, sql
 
