@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.secret_ledger import RULES, VERSION, Rule, find_secrets, redact, scan_text, scan_unseen
+from tidemark.llm.secret_ledger import RULES, Rule, find_secrets, redact, rules_version, scan_text, scan_unseen
 
 SCHEMA = "doc_id long, text string, _blob string, version string"
 
@@ -32,17 +32,29 @@ def test_ledger_scans_each_blob_once_per_version(spark, scratch):
     assert scan_unseen(docs, ledger).count() == 0
     more = docs.unionByName(spark.createDataFrame([(3, "AKIA" + "B" * 16, None, None)], SCHEMA))
     assert scan_unseen(more, ledger).count() == 1
-    assert scan_unseen(more, ledger, version="2").count() == 3
+    # Other rules are another version by themselves: what an added rule finds is there, and the first findings stay.
+    added = (*RULES, Rule("clean", re.compile("AKIAB+")))
+    assert scan_unseen(more, ledger, added).count() == 3
+    assert {s.kind for r in find_secrets(more, ledger, added).collect() for s in r.findings} == {"assign", "access", "clean"}
+    assert scan_unseen(more, ledger, added).count() == scan_unseen(more, ledger).count() == 0
     found = {(r.doc_id, tuple(spans(r.findings))) for r in find_secrets(more, ledger).collect()}
     assert found == {(1, (("assign", 0, 13),)), (2, (("assign", 0, 13),)), (2, ()), (None, ()), (3, (("access", 0, 20),))}
 
 
+def test_the_version_is_a_digest_of_the_rules():
+    base = Rule("k", re.compile("a+"))
+    others = [Rule("l", re.compile("a+")), Rule("k", re.compile("a*")), Rule("k", re.compile("a+", re.I)), Rule("k", re.compile("a+"), least=2)]
+    others += [Rule("k", re.compile("(a)+"), group=1), Rule("k", re.compile("a+"), hints=("a",))]
+    assert len({rules_version((r,)) for r in [base, *others]} | {rules_version((base, others[0])), rules_version((others[0], base))}) == 9
+    assert rules_version((base,)) == rules_version((Rule("k", re.compile("a+")),))
+
+
 def test_a_blob_that_two_scans_added_counts_once(spark, scratch):
     one, two = scratch("ledger"), scratch("ledger")
     docs = spark.createDataFrame([(1, "token=abcdef1", "x", "y"), (2, "token=abcdef1", None, None), (3, "clean", None, None)], SCHEMA)
     for ledger in (one, two):
         scan_unseen(docs, ledger)
-    version = f"version={VERSION}"
+    version = f"version={rules_version()}"
     spark.read.parquet(f"{two}/{version}").write.mode("append").parquet(f"{one}/{version}")
     assert spark.read.parquet(f"{one}/{version}").count() == 4
     assert sorted((r.doc_id, len(r.findings)) for r in find_secrets(docs, one).collect()) == [(1, 1), (2, 1), (3, 0)]

@@ -2,15 +2,16 @@
 
 A *blob* is a distinct text, addressed by its SHA-256. The ledger is a Parquet
 table of (blob, findings), partitioned by the version of the rules that were
-run. A scan
+run: a digest of everything that decides what they find (:func:`rules_version`), so
+other rules are another version by themselves. A scan
 
 1. content-addresses every row of ``docs`` (each historical version of each
    path is a row) and keeps the blobs the ledger lacks for this rule version,
 2. runs the rules over one copy of each of those, and appends them,
 3. joins the findings back to every row that holds the blob.
 
-A second scan of the same rows reads no rule at all; a new rule version scans
-every blob once more and leaves the older findings in place.
+A second scan of the same rows with the same rules runs none of them; a changed, added
+or removed rule scans every blob once more and leaves the older findings in place.
 
 A private key is found from its BEGIN line to the END line. Where another BEGIN
 line or the end of the text comes first, it ends with its key lines: header
@@ -25,6 +26,8 @@ once may both add a blob, which the read side removes again.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -91,7 +94,12 @@ RULES = (
     Rule("forge_token", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), hints=("gh",)),
 )
 BASE_KINDS = ("assign", "access", "hex")
-VERSION = "1.1"
+
+
+def rules_version(rules: tuple[Rule, ...] = RULES) -> str:
+    """A digest of kind, pattern, flags, group, least length and hints of every rule, in their order."""
+    said = [[r.kind, r.pattern.pattern, int(r.pattern.flags), r.group, r.least, list(r.hints)] for r in rules]
+    return hashlib.sha256(json.dumps(said).encode()).hexdigest()[:16]
 
 
 def scan_text(text: str, rules: tuple[Rule, ...] = RULES) -> list[dict]:
@@ -115,9 +123,9 @@ def _blob():
     return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("blob")
 
 
-def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str = VERSION) -> DataFrame:
+def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Scan the blobs of ``docs`` that the ledger lacks, append them; returns the blobs scanned now."""
-    spark = docs.sparkSession
+    spark, version = docs.sparkSession, rules_version(rules)
     seen = _read_ledger(docs, ledger, version).select("blob")
     unseen = materialize(docs.select(_blob()).distinct().join(seen, "blob", "left_anti"), "unseen-blobs")
     texts = docs.select(_blob(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -144,10 +152,10 @@ def _join_findings(rows: DataFrame, ledger: str, version: str) -> DataFrame:
     return rows.join(known, "blob", "left").select(*(c for c in rows.columns if c != "blob"), found)
 
 
-def find_secrets(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str = VERSION) -> DataFrame:
+def find_secrets(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, findings) for every row of ``docs``; unseen blobs are scanned and added to the ledger first."""
-    scan_unseen(docs, ledger, rules, version)
-    return _join_findings(docs.select("doc_id", _blob()), ledger, version)
+    scan_unseen(docs, ledger, rules)
+    return _join_findings(docs.select("doc_id", _blob()), ledger, rules_version(rules))
 
 
 @F.pandas_udf(StringType())
@@ -167,12 +175,12 @@ def _masked(text: pd.Series, findings: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str = VERSION) -> DataFrame:
+def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by ``[REDACTED]``; other columns as they are."""
-    scan_unseen(docs, ledger, rules, version)
+    scan_unseen(docs, ledger, rules)
     # The row travels as a struct, so no column of it can clash with ours.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    found = _join_findings(docs.select(_blob(), row), ledger, version)
+    found = _join_findings(docs.select(_blob(), row), ledger, rules_version(rules))
     text = F.col("row.text")
     masked = F.when(F.size("findings") > 0, _masked(text, F.col("findings"))).otherwise(text)
     return found.select(*(masked.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
