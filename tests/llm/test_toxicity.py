@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.toxicity import NAMES, Lexicon, clean_labels, features, learn_lexicon, score_toxicity
+from tidemark.llm.toxicity import NAMES, Lexicon, clean_labels, draw_rows, features, learn_lexicon, score_toxicity, with_folds
 
 DOCS = "doc_id long, text string, label string, score string, features string, weight string"
 LABELS = "doc_id long, quality int, toxic int, label string"
@@ -75,3 +75,58 @@ def test_labels_of_one_class_none_and_empty(spark):
 def test_largest_label_of_a_document_counts(spark):
     _, l = frames(spark, [], [(1, 0), (1, 1), (2, None), (2, 0), (3, None)])
     assert sorted(tuple(r) for r in clean_labels(l, F.lit(True)).collect()) == [(1, 1.0), (2, 0.0)]
+
+
+def test_folds_are_cut_within_each_class(spark):
+    _, l = frames(spark, [], [(i, int(i < toxic)) for toxic in (3,) for i in range(60)])
+    folded = with_folds(draw_rows(clean_labels(l, F.lit(True)), 1000, 2)).groupBy("label", "fold").count().collect()
+    assert {(r.label, r.fold): r["count"] for r in folded} == {(0.0, "trees"): 40, (0.0, "calibration"): 17, (1.0, "trees"): 2, (1.0, "calibration"): 1}
+
+
+@pytest.mark.parametrize("toxic", [1, 2, 3, 8])
+def test_few_labels_of_a_class(spark, toxic):
+    """One toxic label is nothing to calibrate with; from two on the scores are the model's."""
+    docs = [(i, f"w{i % 7} common words {'zounds gadzooks !!' if i < toxic else ''}") for i in range(60)]
+    d, l = frames(spark, docs, [(i, int(i < toxic)) for i in range(60)])
+    scores = {r.doc_id: r.score for r in score_toxicity(d, l, F.lit(True)).collect()}
+    if toxic == 1:
+        assert set(scores.values()) == {1 / 60}
+    else:
+        assert min(scores[i] for i in range(toxic)) > 0.7 > 0.3 > max(scores[i] for i in range(toxic, 60))
+
+
+def test_scores_are_calibrated_on_unseen_rows(spark):
+    """Words that only lean towards toxic: on held-out rows the mean score of a group is near its share of toxic labels."""
+    r = random.Random(11)
+    docs, truth = [], {}
+    for i in range(4000):
+        hits = r.randrange(4)
+        truth[i] = int(r.random() < (0.02, 0.3, 0.7, 0.95)[hits])
+        words = [f"w{r.randrange(200)}" for _ in range(20)] + [r.choice(["zounds", "gadzooks", "blather"]) for _ in range(hits)]
+        r.shuffle(words)
+        docs.append((i, " ".join(words)))
+    d, l = frames(spark, docs, [(i, truth[i]) for i in range(4000) if i % 3 != 1])
+    scores = {x.doc_id: x.score for x in score_toxicity(d, l, F.lit(True)).collect()}
+    held = [i for i in range(4000) if i % 3 == 1]
+    groups = [[i for i in held if low <= scores[i] < low + 0.25 or low == 0.75 and scores[i] == 1] for low in (0, 0.25, 0.5, 0.75)]
+    error = sum(abs(sum(scores[i] - truth[i] for i in g)) for g in groups) / len(held)
+    assert error < 0.05
+
+
+def test_features_against_brute_force():
+    """Counts and densities by a plain loop over the words."""
+    r = random.Random(4)
+    lexicon = {"idiot": 3.0, "fool": 2.0, "moro*": 1.5}
+    for _ in range(200):
+        words = [r.choice(["you", "YOUR", "idiot", "Fool", "moron", "tree", "house!!", "id1ot", "sooo", "a", "?", "du"]) for _ in range(r.randrange(30))]
+        text = " ".join(words)
+        got = dict(zip(NAMES, features(text, Lexicon(lexicon))))
+        plain = [w.lower().strip("!") for w in words if w != "?"]
+        hit = [i for i, w in enumerate(plain) if w in ("idiot", "fool", "moron")]
+        second = [i for i, w in enumerate(plain) if w in ("you", "your", "du")]
+        n = max(1, len(plain))
+        assert got["hit_density"] == len(hit) / n and got["hit_words"] == len({plain[i] for i in hit}) and got["second_density"] == len(second) / n
+        assert got["near_second"] == max((1 / (1 + abs(i - j)) for i in hit for j in second), default=0.0)
+        assert got["densest"] == max((sum(1 for j in hit if i <= j < i + 50) for i in hit), default=0)
+        assert got["capitals"] == sum(c.isupper() for c in text) / max(1, len(text))
+        assert got["disguised_hits"] == plain.count("id1ot") and got["repeated_marks"] == words.count("house!!") / n

@@ -10,14 +10,20 @@
 3. Boosted trees are fitted on one part of the labelled rows, and isotonic
    regression maps their margin to a probability on the other part.
 
-Steps 1 and 3 use at most ``LEXICON_ROWS`` and ``FIT_ROWS`` labelled rows a class
-on average, drawn by a hash of the doc_id and weighted back; features and scores
-cover whole texts of all rows. Only the text is an input of a score.
+The parts are cut within each class, by rank of a hash, so both hold both classes
+as soon as each class has two rows; the lexicon is learned from the trees' part
+only, so that the other part sees it as any unseen text does. Steps 1 and 3 use at
+most ``LEXICON_ROWS`` and ``FIT_ROWS`` labelled rows a class on average, drawn by a
+hash of the doc_id and weighted back; features and scores cover whole texts of all
+rows. Only the text is an input of a score.
 
 Defined results: null texts count as empty, and empty texts are scored like any
 other; null labels are ignored, and of several labels of a doc_id the largest
-counts; with labels of one class only, every score is that class (0 without
-labels); rows that repeat a doc_id are scored each.
+counts; where a class has fewer than two labelled rows with a text there is nothing
+to calibrate with, and every score is the share of label 1 among them (0 without
+labels); a very long text is one text like any other, equal texts score equally,
+and rows that repeat a doc_id are scored each; other columns of the input,
+whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, slices
@@ -42,6 +48,7 @@ LEAST_TEXTS = 3  # toxic texts that an entry stands in
 LOG_ODDS, LIKELIHOOD = 2.0, 12.0  # that it reaches at least
 STEMS = (4, 5, 6)
 TREES, DEPTH = 20, 3
+TREES_SHARE = 0.7  # of the labelled rows; the others calibrate
 
 # Second person pronouns of English, German, French and Spanish.
 SECOND_PERSON = frozenset(
@@ -135,6 +142,14 @@ def draw_rows(labels: DataFrame, rows: int, salt: int) -> DataFrame:
     return labels.where(_draw(salt) < share).withColumn("weight", 1.0 / F.greatest(share, F.lit(1e-12)))
 
 
+def with_folds(sample: DataFrame) -> DataFrame:
+    """``sample`` (at most about ``FIT_ROWS`` rows a class) with ``fold``: trees for TREES_SHARE of each class, calibration for the rest."""
+    of_class = Window.partitionBy("label")
+    rank, n = F.row_number().over(of_class.orderBy(_draw(3), "doc_id")), F.count(F.lit(1)).over(of_class)
+    last = F.greatest(F.lit(1), F.least(n - 1, F.round(n * TREES_SHARE).cast("long")))
+    return sample.withColumn("fold", F.when(rank <= last, "trees").otherwise("calibration"))
+
+
 def learn_lexicon(docs: DataFrame, labels: DataFrame, size: int = LEXICON) -> dict[str, float]:
     """Entry to log odds, from the texts of ``docs`` that ``labels`` (doc_id, label) names."""
     named = materialize(labels.select("doc_id", "label"), "lexicon-labels")  # small: Spark broadcasts it, by its size
@@ -180,16 +195,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, trainable: Column) -> Dat
 
     ``labels`` has (doc_id, toxic); ``trainable`` is a condition on its doc_id.
     """
-    known = materialize(clean_labels(labels, trainable), "toxic-labels")
-    lexicon = learn_lexicon(docs, draw_rows(known, LEXICON_ROWS, 1))
+    known = materialize(clean_labels(labels, trainable).join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "toxic-labels")
+    sample = materialize(with_folds(draw_rows(known, FIT_ROWS, 2)), "toxic-sample")
+    lexicon = learn_lexicon(docs, draw_rows(sample.where("fold = 'trees'").select("doc_id", "label"), LEXICON_ROWS, 1))
     table = materialize(text_features(docs, lexicon), "toxic-features")
-    sample = draw_rows(known, FIT_ROWS, 2)
     # By doc_id, also where rows repeat one: each of them is an example.
-    rows = materialize(table.join(sample, "doc_id").withColumn("fold", F.when(_draw(3) < 0.7, "trees").otherwise("calibration")), "toxic-rows")
-    classes = {(r.fold, r.label) for r in rows.select("fold", "label").distinct().collect()}
-    if len(classes) < 4:  # a class is missing in one of the parts: nothing to tell apart
-        only = max((label for _, label in classes), default=0.0) if len({label for _, label in classes}) < 2 else 0.5
-        return table.select("doc_id", F.lit(float(only)).alias("score"))
+    rows = materialize(table.join(sample, "doc_id"), "toxic-rows")
+    found = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(found.get(0.0, 0), found.get(1.0, 0)) < 2:
+        share = found.get(1.0, 0) / max(1, sum(found.values()))
+        return table.select("doc_id", F.lit(float(share)).alias("score"))
     vector = array_to_vector("features").alias("vector")
     trees = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
     model = trees.fit(rows.where("fold = 'trees'").select(vector, "label", "weight"))
