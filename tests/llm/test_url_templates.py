@@ -56,7 +56,7 @@ def test_similar_branches_merge_and_unlike_ones_stay(spark):
     table = template_table(spark.createDataFrame(rows, "host string, shape array<string>, label string"))
     got = {(tuple(r["shape"]), r.template) for r in table.select("shape", "template").collect()}
     merged = {t.split("/")[1] for s, t in got if s[0] in ("en", "fr", "de")}
-    assert merged == {"*(<n>,none)"}
+    assert merged == {"*(<n>)"}
     assert [t.split("/")[1] for s, t in got if s[0] == "shop"] == ["shop"]
 
 
@@ -64,7 +64,27 @@ def test_a_branch_with_other_labels_stays_apart(spark):
     rows = [("h", [lang, "<n>"], "block" if lang == "de" else None) for lang in ("en", "fr", "de") for _ in range(50)]
     table = template_table(spark.createDataFrame(rows, "host string, shape array<string>, label string"))
     got = {r["shape"][0]: (r.template.split("/")[1], r.rejected) for r in table.collect()}
-    assert got == {"en": ("*(<n>,none)", False), "fr": ("*(<n>,none)", False), "de": ("de", True)}
+    assert got == {"en": ("*(<n>)", False), "fr": ("*(<n>)", False), "de": ("de", True)}
+
+
+def test_an_unlabelled_branch_takes_the_verdict_of_its_siblings(spark):
+    """Nineteen of twenty branches alike are blocked by rule: so is the twentieth, but not one that is labelled allow."""
+    names = [f"branch{c}" for c in "abcdefghijklmnopqrst"]
+    rules = tuple(UrlRule("h.test", f"/{n}/", "block") for n in names[:19])
+    urls = [(f"http://h.test/{n}/item/{i}", None) for n in names for i in range(10)]
+    urls += [(f"http://h.test/fine/item/{i}", "allow" if i < 8 else None) for i in range(10)]
+    urls += [(f"http://other.test/{n}/item/{i}", None) for n in names for i in range(10)]
+    got = judge(spark, urls, rules, "label")
+    by = {}
+    for host, path, _, verdict in got.values():
+        by.setdefault((host, path.split("/")[1]), set()).add(verdict)
+    assert by == {("h.test", n): {"block"} for n in names} | {("h.test", "fine"): {"allow"}} | {("other.test", n): {"allow"} for n in names}
+
+
+def test_one_labelled_branch_does_not_decide_for_many(spark):
+    urls = [(f"http://h.test/{lang}/item/{i}", None) for lang in ("en", "fr", "es", "de") for i in range(40)]
+    got = judge(spark, urls, (UrlRule("h.test", "/de/", "block"),))
+    assert all(verdict == ("block" if path.startswith("/de/") else "allow") for _, path, _, verdict in got.values())
 
 
 def test_empty_table_and_native_plan(spark):

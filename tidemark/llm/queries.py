@@ -229,6 +229,9 @@ def _url_sql() -> str:
             f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'" for r in rules
         ) + " END"
 
+    def purity(block, labelled, free):
+        return f"({block} + CAST({s.prior} AS DOUBLE) * ({free} + CAST({s.strength} AS DOUBLE))) / ({labelled} + {free} + CAST({s.strength} AS DOUBLE))"
+
     shape = (
         "list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: "
         "regexp_replace(regexp_replace(x, '[0-9a-f]{12,}', '<hex>', 'g'), '[0-9]+', '<n>', 'g'))"
@@ -245,26 +248,27 @@ def _url_sql() -> str:
     ]
     for k in range(s.depth):
         ctes += [
-            f"e{k} AS (SELECT host, template, child, next, label, sum(n) AS n FROM (SELECT host, template, shape[{k + 1}] AS child, "
-            f"coalesce(shape[{k + 2}], '') AS next, unnest(['block', 'allow', 'none']) AS label, unnest([block, allow, free]) AS n "
-            f"FROM s{k} WHERE len(shape) > {k}) WHERE n > 0 GROUP BY ALL)",
-            f"c{k} AS (SELECT host, template, child, sum(n) AS n_child, count(*) AS kinds, "
-            f"first(next || ',' || label ORDER BY n DESC, next DESC, label DESC) AS cluster FROM e{k} "
-            f"GROUP BY host, template, child HAVING sum(n) >= {s.support})",
-            f"f{k} AS (SELECT * FROM e{k} JOIN c{k} USING (host, template, child))",
-            f"m{k} AS (SELECT host, template, cluster, count(*) AS members, sum(n_child) AS n_cluster FROM c{k} GROUP BY ALL)",
-            f"p{k} AS (SELECT host, template, cluster, next, label, sum(n) AS n_pool FROM f{k} GROUP BY ALL)",
+            f"e{k} AS (SELECT host, template, shape[{k + 1}] AS child, coalesce(shape[{k + 2}], '') AS next, sum(block + allow + free) AS n, "
+            f"sum(block) AS b, sum(block + allow) AS l, sum(free) AS u FROM s{k} WHERE len(shape) > {k} GROUP BY ALL)",
+            f"c{k} AS (SELECT host, template, child, sum(n) AS n_child, count(*) AS kinds, sum(b) AS b, sum(l) AS l, sum(u) AS u, "
+            f"first(next ORDER BY n DESC, next DESC) AS cluster FROM e{k} GROUP BY host, template, child HAVING sum(n) >= {s.support})",
+            f"f{k} AS (SELECT e.host, e.template, e.child, e.next, e.n, c.n_child, c.kinds, c.b, c.l, c.u, c.cluster "
+            f"FROM e{k} e JOIN c{k} c USING (host, template, child))",
+            f"m{k} AS (SELECT host, template, cluster, count(*) AS members, sum(n_child) AS n_cluster, "
+            f"{purity('sum(b)', 'sum(l)', 'sum(u)')} AS cluster_purity FROM c{k} GROUP BY ALL)",
+            f"p{k} AS (SELECT host, template, cluster, next, sum(n) AS n_pool FROM f{k} GROUP BY ALL)",
             f"l{k} AS (SELECT host, template, child, CASE WHEN members = 1 OR sum(greatest(n / n_child - n_pool / n_cluster, 0)) > "
-            f"{s.tolerance} + {s.noise} * sqrt(kinds / n_child) THEN child ELSE '*(' || cluster || ')' END AS branch "
-            f"FROM f{k} JOIN p{k} USING (host, template, cluster, next, label) JOIN m{k} USING (host, template, cluster) "
-            f"GROUP BY host, template, child, cluster, n_child, kinds, members)",
+            f"{s.tolerance} + {s.noise} * sqrt(kinds / n_child) OR (l > 0 AND abs({purity('b', 'l', 'u')} - cluster_purity) > {s.apart}) "
+            f"THEN child ELSE '*(' || cluster || ')' END AS branch "
+            f"FROM f{k} JOIN p{k} USING (host, template, cluster, next) JOIN m{k} USING (host, template, cluster) "
+            f"GROUP BY host, template, child, cluster, n_child, kinds, members, b, l, u, cluster_purity)",
             f"s{k + 1} AS (SELECT s.host, s.shape, s.template || CASE WHEN len(s.shape) <= {k} THEN '' ELSE "
             f"'/' || coalesce(l.branch, '*') END AS template, block, allow, free FROM s{k} s LEFT JOIN l{k} l "
             f"ON s.host = l.host AND s.template = l.template AND s.shape[{k + 1}] = l.child)",
         ]
     ctes.append(
         f"r AS (SELECT host, template FROM s{s.depth} GROUP BY ALL HAVING sum(block + allow) > 0 "
-        f"AND (sum(block) + {s.prior * s.strength}) / (sum(block + allow) + {s.strength}) >= {s.reject})"
+        f"AND {purity('sum(block)', 'sum(block + allow)', 'sum(free)')} >= {s.reject})"
     )
     ctes.append(f"x AS (SELECT DISTINCT host, shape FROM s{s.depth} JOIN r USING (host, template))")
     return (

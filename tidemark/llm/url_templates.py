@@ -10,13 +10,18 @@ judged by templates learned per host:
    become the wildcard ``*``. Frequent children with the same most common
    continuation form a cluster; those that do not differ statistically from the
    cluster merge into its wildcard ``*(continuation)``, the others stay literal
-   branches. What is compared is the joint distribution of next segment and
-   label (block, allow, none), by total variation against a tolerance plus the
-   child's sampling noise; each child is compared with its cluster, never with
-   single siblings, so the work is linear;
-3. **rejection**: a template is rejected if its smoothed share of block among
-   its labelled URLs is high enough. Labels are the verdicts of the rules (and
-   any that the caller adds); a template without labels is allowed.
+   branches. Next segments are compared always, by total variation against a
+   tolerance plus the child's sampling noise; labels only where the child has
+   any: its purity must be near its cluster's. Each child is compared with
+   its cluster, never with single siblings, so the work is linear;
+3. **rejection**: a template is rejected if its purity is high enough. Labels are
+   the verdicts of the rules (and any that the caller adds); a template without
+   labels is allowed.
+
+The *purity* is the smoothed share of block among the labelled URLs; to the smoothing
+each unlabelled URL adds one at the prior, so a branch without labels takes the
+verdict of its siblings where most of them are labelled, and one labelled
+branch among many without does not decide for the others.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and
 is a row like any other; repeated rows are counted and returned each; segments
@@ -51,11 +56,17 @@ class UrlRule:
 class TreeSettings:
     depth: int = 6  # levels of the tree
     support: int = 5  # URLs that a literal branch has at least
+    apart: float = 0.2  # difference of purity from which a labelled branch is unlike its cluster
     tolerance: float = 0.1  # total variation that still counts as similar, beside noise
     noise: float = 0.5  # times sqrt(number of kinds of continuation / URLs)
     prior: float = 0.5  # share of block that a template without labels is taken to have
     strength: float = 4.0  # labelled URLs that the prior counts as
-    reject: float = 0.8  # smoothed share of block from which a template is rejected
+    reject: float = 0.8  # purity from which a template is rejected
+
+
+def purity(block: Column, labelled: Column, none: Column, s: TreeSettings) -> Column:
+    """Share of block, smoothed by ``strength`` URLs and all unlabelled ones at the prior."""
+    return (block + F.lit(s.prior) * (none + F.lit(s.strength))) / (labelled + none + F.lit(s.strength))
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -85,35 +96,41 @@ def _shape(path: Column, depth: int) -> Column:
 def _grow(shapes: DataFrame, level: int, s: TreeSettings) -> DataFrame:
     """``shapes`` with one more segment of the template: a literal or a wildcard."""
     here = shapes.where(F.size("shape") > level)
-    # Continuations of each child: next segment ("" at the end of the path) and label.
-    states = F.array(*(F.struct(F.lit(k).alias("label"), F.col(k).alias("n")) for k in ("block", "allow", "none")))
+    # Continuations of each child: next segment ("" at the end of the path).
     following = F.coalesce(F.get("shape", F.lit(level + 1)), F.lit(""))
+    labelled = F.col("block") + F.col("allow")
     events = (
-        here.select("host", "template", F.col("shape")[level].alias("child"), following.alias("next"), F.explode(states).alias("e"))
-        .where("e.n > 0")
-        .groupBy("host", "template", "child", "next", F.col("e.label").alias("label"))
-        .agg(F.sum("e.n").alias("n"))
+        here.select("host", "template", F.col("shape")[level].alias("child"), following.alias("next"), "block", labelled.alias("labelled"), "none")
+        .groupBy("host", "template", "child", "next")
+        .agg(F.sum(F.col("labelled") + F.col("none")).alias("n"), *(F.sum(c).alias(c) for c in ("block", "labelled", "none")))
     )
-    most = F.max(F.struct("n", "next", "label"))
     children = (
         events.groupBy("host", "template", "child")
-        .agg(F.sum("n").alias("n_child"), F.count(F.lit(1)).alias("kinds"), most.alias("most"))
+        .agg(
+            F.sum("n").alias("n_child"), F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "next"))["next"].alias("cluster"),
+            *(F.sum(c).alias(f"child_{c}") for c in ("block", "labelled", "none")),
+        )
         .where(F.col("n_child") >= s.support)
-        .select("host", "template", "child", "n_child", "kinds", F.concat("most.next", F.lit(","), "most.label").alias("cluster"))
-    )
-    frequent = events.join(children, ["host", "template", "child"])
+    )
+    frequent = events.drop("block", "labelled", "none").join(children, ["host", "template", "child"])
     clusters = children.groupBy("host", "template", "cluster").agg(
-        F.count(F.lit(1)).alias("members"), F.sum("n_child").alias("n_cluster")
+        F.count(F.lit(1)).alias("members"),
+        F.sum("n_child").alias("n_cluster"),
+        purity(F.sum("child_block"), F.sum("child_labelled"), F.sum("child_none"), s).alias("cluster_purity"),
     )
-    pools = frequent.groupBy("host", "template", "cluster", "next", "label").agg(F.sum("n").alias("n_pool"))
+    pools = frequent.groupBy("host", "template", "cluster", "next").agg(F.sum("n").alias("n_pool"))
     # Total variation: the sum of what the child has more of than its cluster.
     excess = F.greatest(F.col("n") / F.col("n_child") - F.col("n_pool") / F.col("n_cluster"), F.lit(0.0))
-    alone = (F.col("members") == 1) | (F.col("distance") > s.tolerance + s.noise * F.sqrt(F.col("kinds") / F.col("n_child")))
+    own = purity(F.col("child_block"), F.col("child_labelled"), F.col("child_none"), s)
+    other_labels = (F.col("child_labelled") > 0) & (F.abs(own - F.col("cluster_purity")) > s.apart)
+    unlike = F.col("distance") > s.tolerance + s.noise * F.sqrt(F.col("kinds") / F.col("n_child"))
+    alone = (F.col("members") == 1) | unlike | other_labels
     wildcard = F.concat(F.lit("*("), "cluster", F.lit(")"))
+    of_child = ("n_child", "kinds", "members", "child_block", "child_labelled", "child_none", "cluster_purity")
     branches = (
-        frequent.join(pools, ["host", "template", "cluster", "next", "label"])
+        frequent.join(pools, ["host", "template", "cluster", "next"])
         .join(clusters, ["host", "template", "cluster"])
-        .groupBy("host", "template", "child", "cluster", "n_child", "kinds", "members")
+        .groupBy("host", "template", "child", "cluster", *of_child)
         .agg(F.sum(excess).alias("distance"))
         .select("host", "template", "child", F.when(alone, F.col("child")).otherwise(wildcard).alias("branch"))
     )
@@ -140,7 +157,7 @@ def template_table(urls: DataFrame, settings: TreeSettings = TreeSettings()) ->
         shapes = materialize(_grow(shapes, level, settings), f"url-tree-{level}")
     block, labelled = F.sum("block"), F.sum(F.col("block") + F.col("allow"))
     templates = shapes.groupBy("host", "template").agg(
-        ((block + settings.prior * settings.strength) / (labelled + settings.strength)).alias("purity"), labelled.alias("labelled")
+        purity(block, labelled, F.sum("none"), settings).alias("purity"), labelled.alias("labelled")
     )
     rejected = (F.col("labelled") > 0) & (F.col("purity") >= settings.reject)
     templates = materialize(templates.withColumn("rejected", rejected), "url-templates")
