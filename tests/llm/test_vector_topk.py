@@ -59,3 +59,16 @@ def test_coordinate_pruning_keeps_all_that_reach_the_cosine():
         kept = feasible(q, [None] * 6, c, cosine)
         assert set(np.flatnonzero(c @ q >= cosine)) <= set(kept)
         assert cosine < 0.8 or len(kept) < 1500
+
+
+def test_pruned_blocks_are_not_sent(spark, monkeypatch):
+    """Several query blocks; candidates too short for any query's bound never reach the second pass."""
+    for name, value in (("BLOCK", 40), ("QUERIES", 8), ("SEED", 60)):
+        monkeypatch.setattr(vector_topk, name, value)
+    sent = []
+    met = vector_topk._met
+    monkeypatch.setattr(vector_topk, "_met", lambda q, c, k: sent.append(c) or met(q, c, k))
+    r = np.random.default_rng(5)
+    rows = [(i, (50 + r.uniform(0, 1, size=6)).tolist()) for i in range(200)] + [(1000 + i, r.uniform(0, 0.05, size=6).tolist()) for i in range(400)]
+    assert run(spark, rows, 5, 5) == brute(rows, 5, 5)
+    assert sent[1].where("vec_id < 1000").count() >= 200 and sent[1].where("vec_id >= 1000").isEmpty()

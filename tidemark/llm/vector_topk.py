@@ -20,7 +20,8 @@ Defined results: rows with a null id, a null vector, or null or non-finite
 components take no part; a shorter vector counts as padded with zeros; rows
 that repeat a vec_id are candidates each (never of the query of that id), and
 the smallest of their vectors is the query; ties go to the smaller vec_id;
-products beyond 64 bits wrap around.
+products beyond 64 bits wrap around; empty tables give no rows; other columns
+of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import materialize
+
 RATIO = 1.1  # of the lengths that a bucket spans
 BLOCK = 8192  # candidates of a block, about
 QUERIES = 1024  # queries of a block, about
@@ -168,23 +171,22 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
     spark = vectors.sparkSession
     plan = spark.createDataFrame(table, "bucket int, first int, parts int, longest double")
     block = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int")
-    candidates = (
-        bucketed.join(F.broadcast(plan), "bucket")
-        .select("vec_id", "v", "norm", block.alias("block"))
-        .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
-    )
+    candidates = bucketed.join(F.broadcast(plan), "bucket").select("vec_id", "v", "norm", block.alias("block"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))).alias("q_block")
     asked = single.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(n_queries)).cast("int"))
     seeded = asked.select("*", empty, F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))).alias("block"))
-    first = _met(seeded, candidates.where(F.col("block") < seeds), k)
+    first = _met(seeded, candidates.where(F.col("block") < seeds).select("*", every), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
     bounds = kth.select("query_id", F.col("score").cast("double").alias("bound"))
-    bounded = asked.join(bounds, "query_id", "left")
+    bounded = materialize(asked.join(bounds, "query_id", "left"), "topk-bounds")
     spans = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(("first", "parts", "longest"), t[1:]))) for t in table))
     reachable = bounded.select("*", F.explode(spans).alias("span")).where(
         F.col("bound").isNull() | (F.col("bound") <= 0) | (F.col("bound") * (1 - _SLACK) <= F.col("norm") * F.col("span.longest"))
     )
     reachable = reachable.withColumn("block", F.explode(F.sequence("span.first", F.col("span.first") + F.col("span.parts") - 1))).drop("span")
-    found = _met(reachable, candidates, k)
+    # A candidate goes to the blocks of queries that reach its block, and to no other.
+    pairs = reachable.select(F.col("q_block").alias("q_block"), F.col("block").alias("block")).distinct()
+    found = _met(reachable, candidates.join(pairs, "block"), k)
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
