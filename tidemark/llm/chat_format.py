@@ -13,7 +13,9 @@ Defined results: turns are ordered by turn, then role, then text (nulls first);
 a null text is empty and a null role is the empty role; a role that the template
 lacks is written by the template's ``other`` form and never passes the state
 machine; rows with a null conv_id form one conversation; repeated rows are
-turns of their own; an empty table gives no rows.
+turns of their own; a conversation of any length, and any text, is one row of
+output; other columns of the input, whatever their names, are not read; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

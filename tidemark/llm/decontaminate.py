@@ -14,8 +14,10 @@ prefix tokens, and the candidates back to the texts (written once).
 
 Defined results: a null text has no words and an item without words no window;
 rows that repeat a doc_id are judged each by itself; items that share a window
-are all listed; an item_id of null marks words as hit but is not listed; empty
-tables give no rows, or rows without hits.
+are all listed; of words equally rare in a window the first in it is its prefix;
+very long texts are handled whole; an item_id of null marks words as hit but is
+not listed; empty tables give no rows, or rows without hits; other columns of the
+input, whatever their names, are not read.
 """
 
 from __future__ import annotations

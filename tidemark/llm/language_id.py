@@ -11,8 +11,8 @@ kernel x weights).
 The model is fitted on a bounded sample of labelled rows: ``SAMPLE`` rows a
 language on average, drawn by a hash of the doc_id, the ``LANDMARKS`` a language
 with the smallest hashes being landmarks. n-grams are hashed to ``DIMENSIONS``.
-So the model has at most DIMENSIONS x LANDMARKS bytes a language, whatever the
-corpus. Predictions use the whole text and nothing else.
+So the model has at most 4 x DIMENSIONS x LANDMARKS bytes a language (float32),
+whatever the corpus. Predictions use the whole text and nothing else.
 
 The scores of a text always sum to the same number, so the best cannot tell a
 text of a language that was not learned. Its coverage can: the share of its
@@ -24,7 +24,9 @@ of less coverage is ``und``.
 Defined results: a null text, or one without a letter, is ``und`` with score 0,
 as is every text when nothing could be learned, and with ``reject`` a text of too
 little coverage; rows without language or text
-are never learned from; letters are compared in lower case, runs of other
+are never learned from; of equal scores the language that is first in order of
+name counts; a very long text is predicted whole; an empty table gives no rows, and
+no model; other columns of the input, whatever their names, are not read; letters are compared in lower case, runs of other
 characters count as one space; rows that repeat a doc_id are rows of their own.
 """
 

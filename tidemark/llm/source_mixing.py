@@ -131,6 +131,8 @@ def solve_tilts(strata: DataFrame, sources: list[dict]) -> dict:
                 tilt[s] = step
                 rest.append(s)
         todo = rest
+    if todo:
+        raise RuntimeError(f"The tilts of {len(todo)} sources did not converge in {_STEPS} steps.")
     return tilt
 
 

@@ -23,7 +23,9 @@ which comes from a second hash.
 
 Defined results: a null text has no words; a null ``doc_id`` is neither
 reference nor cleaned (its words stay); rows that repeat a doc_id are judged
-each by itself, against smaller ids only; texts of under ``window`` words stay.
+each by itself, against smaller ids only; texts of under ``window`` words stay;
+a very long text is handled whole, in the task of its slice; an empty table gives
+no rows; other columns of the input, whatever their names, do not matter.
 """
 
 from __future__ import annotations
