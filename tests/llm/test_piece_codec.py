@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -67,6 +68,15 @@ def test_any_ids_decode_as_the_library(model, library):
     for _ in range(3000):
         ids = [r.choice(kinds)() for _ in range(r.randrange(12))]
         assert model.decode(ids) == library.decode(ids), ids
+    lists = [[r.choice(kinds)() for _ in range(r.choice([0, 1, 5]))] for _ in range(3000)]
+    flat, bounds = np.array([i for x in lists for i in x]), np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+    assert model.decode_lists(flat, bounds).to_pylist() == [library.decode(x) for x in lists]
+    plain = [[i for i in x if i > 258] + [2] for x in lists]
+    flat, bounds = np.array([i for x in plain for i in x]), np.concatenate(([0], np.cumsum([len(x) for x in plain])))
+    assert model.decode_lists(flat, bounds).to_pylist() == [library.decode(x) for x in plain]
+    assert model.decode_lists(flat[:0], np.zeros(3, dtype=np.int64)).to_pylist() == ["", ""]
+    with pytest.raises(IndexError):
+        model.decode_lists(np.array([32000]), np.array([0, 1]))
     with pytest.raises(IndexError):
         model.decode([32000])
     with pytest.raises(IndexError):

@@ -35,6 +35,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -115,9 +116,14 @@ class PieceModel:
         self.end = trainer.get(42, 2)
         self.byte_id = {int(self.pieces[i][1:-1], 16): i for i in byte.tolist()}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
-        #: The text of a piece inside a text, and that of the pieces that stand for themselves (control ids: none).
+        #: The text of a piece inside a text.
         self.surface = [self.unknown_text if kind == 2 else text.replace(SPACE, " ") for text, kind in zip(self.pieces, kinds)]
-        self.plain = [{1: text, 3: ""}.get(kind) for text, kind in zip(self.surface, kinds)]
+        raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control else text.encode() for i, text in enumerate(self.surface)]
+        self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.raw_size = np.array([len(x) for x in raw], dtype=np.int64)
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        self.is_byte, self.is_control = self.kinds == 6, self.kinds == 3
+        self.spaced = np.array([text[:1] == SPACE for text in self.pieces])
 
         # Symbols: normal pieces by id, other single characters behind all ids.
         number = {self.pieces[i]: i for i in normal.tolist()}
@@ -276,14 +282,6 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``; an id outside the vocabulary raises ``IndexError``."""
-        if not ids:
-            return ""
-        if 0 <= min(ids) and max(ids) < len(self.pieces):
-            try:
-                text = "".join(map(self.plain.__getitem__, ids))
-                return text[1:] if self.prefix and text[:1] == " " else text
-            except TypeError:  # it holds bytes
-                pass
         parts: list[str] = []
         run = bytearray()  # ids of bytes next to each other are one run of UTF-8
         at_start = self.prefix
@@ -304,6 +302,39 @@ class PieceModel:
             at_start = False
         return "".join(parts) + _utf8(bytes(run))
 
+    def decode_lists(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts of many lists at once: list i is ids[bounds[i]:bounds[i + 1]]."""
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.pieces)):
+            raise IndexError("an id is not in the vocabulary")
+        size, start = self.raw_size[ids], self.raw_start[ids]
+        control, starts = self.is_control[ids], bounds[:-1]
+        if self.prefix and len(ids):  # the space in front of a text
+            first = np.flatnonzero(~control)
+            first = first[np.minimum(np.searchsorted(first, starts), len(first) - 1)] if len(first) else starts[:0]
+            own = first[(first >= starts[: len(first)]) & (first < bounds[1:][: len(first)])]
+            own = own[self.spaced[ids[own]]]
+            size[own] -= 1
+            start[own] += 1
+        ends = np.concatenate(([0], np.cumsum(size)))
+        data = self.raw[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+        at = ends[bounds]
+        # Lists with bytes: they are UTF-8 as a whole, or go through decode() one by one.
+        inner = control.copy()
+        inner[bounds[1:][bounds[1:] > starts] - 1] = False
+        texts = {}
+        with_bytes = np.searchsorted(bounds, np.flatnonzero(self.is_byte[ids]), side="right") - 1
+        split = set((np.searchsorted(bounds, np.flatnonzero(inner), side="right") - 1).tolist())
+        for i in np.unique(with_bytes).tolist():
+            try:
+                if i in split:
+                    raise ValueError
+                data[at[i] : at[i + 1]].tobytes().decode()
+            except ValueError:
+                texts[i] = self.decode(ids[bounds[i] : bounds[i + 1]].tolist())
+        if texts:
+            return pa.array([texts[i] if i in texts else data[a:b].tobytes().decode() for i, (a, b) in enumerate(zip(at[:-1], at[1:]))], pa.string())
+        return pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+
 
 def _utf8(data: bytes) -> str:
     """``data`` decoded, with one U+FFFD for each byte that is not part of a character."""
@@ -346,7 +377,7 @@ def encode_documents(docs: DataFrame, model: bytes, end: bool = True) -> DataFra
         ids, sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in byte_slices(batches, "text", SLICE):
             texts = [codec.words(t) for t in batch.column("text").to_pylist()]
-            own = dict.fromkeys(w for words in texts for w in words)
+            own = dict.fromkeys(chain.from_iterable(texts))
             new = [w for w in own if w not in known]
             if len(known) + len(new) > WORDS:
                 known, ids, sizes, new = {}, ids[:0], sizes[:0], list(own)
@@ -359,7 +390,7 @@ def encode_documents(docs: DataFrame, model: bytes, end: bool = True) -> DataFra
             stored = np.append(ids, tail).astype(np.int32)
             for words in texts:
                 words.append("")
-            word = np.fromiter((known[w] for words in texts for w in words), dtype=np.int64, count=sum(map(len, texts)))
+            word = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=sum(map(len, texts)))
             n = np.append(sizes, len(tail))[word]
             before = np.concatenate(([0], np.cumsum(n)))
             flat = stored[np.repeat(ends[word] - before[1:], n) + np.arange(before[-1])]
@@ -379,8 +410,10 @@ def decode_documents(encoded: DataFrame, model: bytes) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_model(model)
         for part in slices(batches, 256):
-            texts = [codec.decode(x or []) for x in part.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], schema=_TEXT_ARROW)
+            lists = part.column("ids").fill_null([]) if part.column("ids").null_count else part.column("ids")
+            offsets = lists.offsets.to_numpy()
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, codec.decode_lists(ids, (offsets - offsets[0]).astype(np.int64))], schema=_TEXT_ARROW)
 
     read = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids"))
     return read.mapInArrow(decoded, "doc_id long, ids array<int>, decoded string")
