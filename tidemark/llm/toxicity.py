@@ -11,8 +11,9 @@
    regression maps their margin to a probability on the other part.
 
 The parts are cut within each class, by rank of a hash, so both hold both classes
-as soon as each class has two rows; the lexicon is learned from the trees' part
-only, so that the other part sees it as any unseen text does. Steps 1 and 3 use at
+as soon as each class has two rows. The lexicon is learned from both, so the part
+that calibrates knows it a little better than an unseen text would; learned from
+the trees' part alone it misses too much where labels are few (README). Steps 1 and 3 use at
 most ``LEXICON_ROWS`` and ``FIT_ROWS`` labelled rows a class on average, drawn by a
 hash of the doc_id and weighted back; features and scores cover whole texts of all
 rows. Only the text is an input of a score.
@@ -197,7 +198,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, trainable: Column) -> Dat
     """
     known = materialize(clean_labels(labels, trainable).join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "toxic-labels")
     sample = materialize(with_folds(draw_rows(known, FIT_ROWS, 2)), "toxic-sample")
-    lexicon = learn_lexicon(docs, draw_rows(sample.where("fold = 'trees'").select("doc_id", "label"), LEXICON_ROWS, 1))
+    lexicon = learn_lexicon(docs, draw_rows(known, LEXICON_ROWS, 1))
     table = materialize(text_features(docs, lexicon), "toxic-features")
     # By doc_id, also where rows repeat one: each of them is an example.
     rows = materialize(table.join(sample, "doc_id"), "toxic-rows")
