@@ -109,6 +109,38 @@ def test_signatures_estimate_weighted_jaccard(n):
     assert (alone == two).all()
 
 
+def test_texts_of_one_template_do_not_meet_by_its_words(spark, monkeypatch):
+    """Like enough to share buckets, too unlike to be duplicates: the join's rows grow with the texts, not with their square."""
+    r = random.Random(11)
+    template = [f"t{i}" for i in range(200)]
+    docs = [(i, " ".join(template + [f"d{i}w{r.randrange(9**9)}" for _ in range(25 + i % 20)])) for i in range(120)]
+    docs += [(200 + i, docs[i][1] + " more") for i in range(3)]
+    joined, sides = [], dart_minhash._sides
+
+    def counting(ranked, threshold):
+        one, two = sides(ranked, threshold)
+        joined.append(one.join(two, ["token", "length"]).count())
+        return one, two
+
+    monkeypatch.setattr(dart_minhash, "_sides", counting)
+    # One bucket for all: hubs link nothing, so every text is an open component.
+    monkeypatch.setattr(dart_minhash, "_band_keys", lambda s, bands, rows: np.zeros((len(s), 1), dtype=np.uint64))
+    assert run(spark, docs) == brute(docs)
+    assert joined[0] <= 20 * len(docs)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_settled_pairs_of_all_lengths(spark, monkeypatch, seed):
+    """Cut, lengthened and edited texts about the threshold, all in one bucket."""
+    r = random.Random(seed)
+    monkeypatch.setattr(dart_minhash, "_band_keys", lambda s, bands, rows: np.zeros((len(s), 1), dtype=np.uint64))
+    docs = []
+    for g in range(25):
+        base = [f"g{g}w{i}" for i in range(r.choice([5, 9, 30, 60, 200]))]
+        for c in range(4):
+            cut = base[: max(1, int(len(base) * r.uniform(0.78, 1)))]
+            docs.append((len(docs), edited(r, cut, r.choice([0, 0, 1, 2]))))
+    assert run(spark, docs) == brute(docs)
 
 
 def test_components_of_a_long_path(spark):

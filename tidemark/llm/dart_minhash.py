@@ -17,9 +17,12 @@ Then, on distinct texts only (copies collapse by a 128-bit hash of their words):
 2. pairs are verified: exact Jaccard similarity of the shingle sets;
 3. verified links form components. Buckets that still hold several components
    are settled exactly: their texts outside the largest component are joined
-   with the texts of all such buckets on the rarest shingles (a prefix filter
-   with length and positional bounds inside the join), texts of one component
-   never with each other, and what passes is verified.
+   with the texts of all such buckets on the rarest shingles (a prefix filter:
+   the place of a shingle tells the lengths a text can reach by it, the shorter
+   text is sent to the length classes it reaches, the longer to its own), texts
+   of one component never with each other, and what passes is verified. A text
+   reaches its own length only by the rarest ninth of its shingles (at 0.8), so
+   texts of one template meet by it only where they are that much alike.
 
 Defined results: words are cut at white space of the lower-cased text; a text of
 fewer words than a shingle is one shingle; a null text or one without words is
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, slices
@@ -232,6 +235,34 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int =
     return joined.select("doc_id", F.col("h").alias("text_hash"), class_id.alias("class_id"), "class_key")
 
 
+def _length_class(size: Column) -> Column:
+    """Number of the class of sizes, each 5 % wider than the one before."""
+    return F.floor(F.log(F.greatest(size.cast("double"), F.lit(1.0))) / float(np.log(1.05))).cast("int")
+
+
+def _sides(ranked: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The shorter and the longer texts of the prefix join on (token, length), of (node, component, outside, tokens).
+
+    At the rarest shingle that two texts share, they share no more than what is
+    left of either: ``reach`` is the length up to which a text can be similar to
+    this one if that shingle stands here.
+    """
+    size = F.size("tokens")
+    # Behind this prefix a shingle reaches no text that is long enough to be similar.
+    prefix = F.slice("tokens", 1, (F.floor(size * (1 - threshold) + 1e-6) + 1).cast("int"))
+    placed = ranked.select("node", "component", "outside", size.alias("size"), F.posexplode(prefix).alias("place", "t"))
+    reach = (F.col("size") - F.col("place")) * ((1 + threshold) / threshold) - F.col("size")
+    placed = placed.where("t.n > 1").select("node", "component", "outside", "size", "t.token", reach.alias("reach"))
+    longer = materialize(placed, "shingle-prefixes")
+    farthest = _length_class(F.least(F.col("reach"), F.col("size") / threshold) + 1e-6)
+    shorter = longer.where(F.col("reach") >= F.col("size") - 1e-6)
+    shorter = shorter.withColumn("length", F.explode(F.sequence(_length_class(F.col("size")), farthest)))
+    longer = longer.withColumn("length", _length_class(F.col("size")))
+    columns = ("node", "component", "outside", "size", "reach")
+    one, two = (side.select("token", "length", *(F.col(c).alias(f"{c}_{k}") for c in columns)) for side, k in ((shorter, "a"), (longer, "b")))
+    return one, two
+
+
 def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, components: DataFrame, sets: DataFrame, threshold: float):
     """Find the links between components that meet in a bucket; see 3. above."""
     placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -246,16 +277,16 @@ def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, component
     # A shingle of one text alone joins nothing, but takes its place in the order of rarity.
     token = F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token")
     ranked = tokens.join(counts, "token", "left").groupBy("node").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
-    size = F.size("tokens")
-    prefix = F.slice("tokens", 1, (size - F.ceil(size * threshold) + 1).cast("int"))
-    prefixes = ranked.join(nodes, "node").select("node", "component", "outside", size.alias("size"), F.posexplode(prefix).alias("place", "t"))
-    prefixes = materialize(prefixes.where("t.n > 1").select("node", "component", "outside", "size", "place", "t.token"), "shingle-prefixes")
-    one, two = (prefixes.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "outside", "size", "place"))) for k in "ab")
-    # At the first shingle that two texts share, they share no more than what is left of either.
-    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    enough = left * (1 + threshold) >= threshold * (F.col("size_a") + F.col("size_b")) - 1e-6
-    once = ~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))
-    met = one.where("outside_a").join(two, (one["token"] == two["token"]) & F.expr("component_a != component_b") & enough & once)
+    one, two = _sides(ranked.join(nodes, "node"), threshold)
+    near = (F.col("size_b") <= F.col("reach_a") + 1e-6) & (F.col("size_a") <= F.col("reach_b") + 1e-6)
+    order = F.expr("size_a < size_b or (size_a = size_b and node_a < node_b)")
+    apart = F.expr("component_a != component_b")
+
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.join(b, ["token", "length"]).where(apart & near & order).select("node_a", "node_b")
+
+    # At least one of the two is outside the largest component of a bucket.
+    met = meet(one.where("outside_a"), two).union(meet(one.where("not outside_a"), two.where("outside_b")))
     new = met.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
     new = materialize(new.join(compared, ["a", "b"], "left_anti"), "pairs")
     found = materialize(_verify(new, sets, threshold), "links")
