@@ -59,6 +59,15 @@ def test_against_brute_force(spark, way, seed):
     assert run(spark, docs, items, 4) == brute(docs, items, 4)
 
 
+def test_windows_across_pieces_of_a_long_text(spark, way):
+    """A hit may start in one piece and end in the next, at any offset, and a short item may stand everywhere."""
+    item = "k0 k1 k2 k3 k4 k5 k6 k7 k8 k9 k10 k11"
+    docs = [(n, " ".join(["f"] * n + [item] + ["f"] * (200 - n))) for n in range(50, 70)]
+    docs += [(0, "f " * 64 + item), (1, item), (2, "f " * 116 + item), (3, "f " * 127 + "g")]
+    items = [(1, item), (2, "g"), (3, "f f f f f f f f f f")]
+    assert run(spark, docs, items, 10) == brute(docs, items, 10)
+
+
 def test_empty_tables(spark, way):
     assert run(spark, [], [(1, "a b c")], 10) == []
     assert run(spark, [(1, "a b c"), (2, None)], [], 10) == [(1, 3, 0, []), (2, 0, 0, [])]

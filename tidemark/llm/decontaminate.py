@@ -10,7 +10,9 @@ and length bounds); what is left is verified word by word.
 The prefix table is written out, so its size is known. Under Spark's broadcast
 threshold the words of a document are exploded, joined and verified in one
 stage, and no word is ever shuffled. Beyond it, words are shuffled to the
-prefix tokens, and the candidates back to the texts (written once).
+prefix tokens, and each candidate to the piece of the text (written once) in
+which it starts, so that it carries some PIECE words however long the text is,
+and a long text's candidates are spread over its pieces.
 
 Defined results: a null text has no words and an item without words no window;
 rows that repeat a doc_id are judged each by itself; items that share a window
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import broadcast_limit, materialize, table_bytes
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+PIECE = 64  # words a candidate meets, beside those of its window
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -97,6 +100,13 @@ def _verified(entries: Column, words: Column, at: Column) -> Column:
     )
 
 
+def _pieces(rows: DataFrame, size: int) -> DataFrame:
+    """(row, piece, part): the words of each text in pieces, each long enough for a window that starts in its first PIECE words."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size("words") - 1) / PIECE).cast("int"))
+    parts = F.transform(numbers, lambda k: F.slice("words", k * PIECE + 1, PIECE + size - 1))
+    return rows.where(F.size("words") > 0).select("row", F.posexplode(parts).alias("piece", "part"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_words, n_hit, items (sorted ids of the items found), n_occurrences.
 
@@ -121,16 +131,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         )
     else:
         rows = materialize(rows, "decontaminate-words")
-        tokens = rows.select("row", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+        base = ("row", "doc_id", "text_hash", F.size("words").alias("n"))
+        tokens = rows.select(*base, F.posexplode("words").alias("at", "word"))
+        start = F.col("at") - F.col("e.offset")
         candidates = (
             tokens.join(prefixes, "word")
-            .select("row", "n", "at", F.explode("entries").alias("e"))
-            .where("at >= e.offset and at - e.offset + e.length <= n")
-            .select("row", "at", "e")
+            .select("row", "doc_id", "text_hash", "n", "at", F.explode("entries").alias("e"))
+            .where((start >= 0) & (start + F.col("e.length") <= F.col("n")))
+            .select("row", "doc_id", "text_hash", "n", "e", start.alias("start"), F.floor(start / PIECE).cast("int").alias("piece"))
         )
-        base = ("row", "doc_id", "text_hash", F.size("words").alias("n"))
-        verified = _verified(F.array("e"), F.col("words"), F.col("at"))
-        hits = rows.join(candidates, "row").select(*base, verified.alias("hits"))
+        pieces = _pieces(rows, size)
+        there = F.array_join(F.slice("part", F.col("start") - F.col("piece") * PIECE + 1, F.col("e.length")), " ")
+        met = candidates.join(pieces, ["row", "piece"]).where(there == F.col("e.text"))
+        hit = F.struct("start", F.col("e.length").alias("length"), F.col("e.items").alias("items"))
+        hits = met.select("row", "doc_id", "text_hash", "n", F.array(hit).alias("hits"))
         found = hits.unionByName(rows.select(*base, none.alias("hits")))
     return (
         found.groupBy("row", "doc_id", "text_hash")
