@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.secret_ledger import RULES, Rule, find_secrets, redact, rules_version, scan_text, scan_unseen
+from tidemark.llm.secret_ledger import RULES, SLICE_BYTES, Rule, find_secrets, redact, rules_version, scan_text, scan_unseen
 
 SCHEMA = "doc_id long, text string, _blob string, version string"
 
@@ -143,3 +143,13 @@ def test_query_against_brute_force(spark, seed):
 def test_custom_rule():
     rule = Rule("pin", re.compile(r"pin=(\d+)"), group=1, least=4)
     assert spans(scan_text("pin=12 pin=1234", (rule,))) == [("pin", 7, 15)]
+
+
+def test_redact_takes_texts_of_any_length_among_others(spark, scratch):
+    """Slices are cut by bytes: a text beyond a slice's size is scanned and masked whole, its neighbours as they are."""
+    long = "ä b " * (SLICE_BYTES // 4) + "token=abcdef1 end"
+    texts = ["", None, "plain", long, "secret: abcdefg!", "plain", "x" * SLICE_BYTES]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.text for r in redact(docs, scratch("ledger")).collect()}
+    want = {**dict(enumerate(texts)), 3: long.replace("token=abcdef1", "[REDACTED]"), 4: "[REDACTED]!"}
+    assert got == want

@@ -39,9 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.llm.common import broadcast_limit, materialize, slices, table_bytes
+from tidemark.llm.common import broadcast_limit, byte_slices, materialize, table_bytes
 
 FINDINGS = "array<struct<kind: string, start: int, end: int>>"
+SLICE_BYTES = 4 << 20  # texts that a task holds as Python strings at a time
 
 
 @dataclass(frozen=True)
@@ -135,7 +136,7 @@ def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -
     blobs = texts.groupBy("blob").agg(F.first("text").alias("text")).join(unseen, "blob", "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in byte_slices(batches, "text", SLICE_BYTES):
             found = [scan_text(t, rules) for t in batch.column("text").to_pylist()]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(found, kind)], ["blob", "findings"])
@@ -182,5 +183,7 @@ def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Dat
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     found = _join_findings(docs.select(_blob(), row), ledger, rules_version(rules))
     text = F.col("row.text")
-    masked = F.when(F.size("findings") > 0, _masked(text, F.col("findings"))).otherwise(text)
+    # Only texts with findings go to Python: the function is evaluated for every row, whatever stands around it.
+    holds = F.size("findings") > 0
+    masked = F.when(holds, _masked(F.when(holds, text), F.col("findings"))).otherwise(text)
     return found.select(*(masked.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
