@@ -110,3 +110,16 @@ def test_all_at_their_limit_no_words_and_empty(spark):
 def test_one_very_long_document(spark):
     rows = run(spark, [(1, "w " * 300_000, "x"), (2, "w " * 10, "x"), (3, "w " * 300_000, "y")])
     assert sum(r[6] * r[2] for r in rows) >= 300_000
+
+
+def test_rows_of_one_id_and_empty_ones_are_whole(spark):
+    """Most rows share an id (or have none): each is a row of the result, targets are met, empty ones are never taken."""
+    r = random.Random(8)
+    docs = [(r.choice([None, None, 7, i]), " ".join(f"w{i}x{k}" for k in range(r.choice([0, 4, 4, 9]))), r.choice("ab")) for i in range(600)]
+    docs += [(None, None, "a")] * 40 + [(7, "same words here", "b")] * 30
+    got = run(spark, docs)
+    assert len(got) == len(docs) and got == run(spark, docs[::-1])
+    for source in "ab":
+        rows = [x for x in got if x[1] == source]
+        taken = sum(x[2] * x[6] for x in rows)
+        assert abs(taken - rows[0][4]) <= 9 and all(x[6] == 0 for x in rows if x[2] == 0) and all(0 <= x[6] <= 2 for x in rows)

@@ -18,7 +18,7 @@ Rates are then rounded into whole copies (0, 1 or 2 of each document). Documents
 of equal source and size have equal rates, so each such stratum gets a number
 of copies, running over sizes from large to small and carrying the rounding
 error on; which documents of the stratum get one more follows a hash of their
-id. Ranking in a stratum goes through salted cells, so a source, or a stratum,
+id and text. Ranking in a stratum goes through salted cells, so a source, or a stratum,
 with a third of all rows is spread over all tasks.
 
 What reaches the driver is one row per source; sources are the entries of a
@@ -154,7 +154,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     """
     spark = docs.sparkSession
     salts = shuffle_partitions(spark)
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
+    # By id and text: rows of one id (or none) spread over the cells too.
+    salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(salts)).cast("int")
     sized = materialize(document_sizes(docs).withColumn("salt", salt), "document-sizes")
     cells = materialize(sized.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "size-cells")
     strata = materialize(cells.groupBy("source", "size").agg(F.sum("n").alias("n")), "size-strata")
@@ -189,9 +190,11 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     cell_keys = [F.col(c).alias(f"o_{c}") for c in ("source", "size", "salt")]
     offsets = materialize(offsets.select(*cell_keys, "offset", "stratum", "copies"), "stratum-cells")
     cell = Window.partitionBy("source", "size", "salt").orderBy("doc_id", "text_hash")
-    ranked = sized.withColumn("rank", F.row_number().over(cell))
+    ranked = sized.where("size > 0").withColumn("rank", F.row_number().over(cell))
     same_cell = F.col("source").eqNullSafe(F.col("o_source")) & F.expr("size = o_size and salt = o_salt")
     extra = F.col("offset") + F.col("rank") <= F.col("copies") % F.col("stratum")
     each = (F.floor(F.col("copies") / F.col("stratum")) + extra.cast("int")).cast("int").alias("copies")
-    counted = ranked.join(offsets, same_cell).select("doc_id", "text_hash", "source", "size", each)
+    taken = ranked.join(offsets, same_cell).select("doc_id", "text_hash", "source", "size", each)
+    empty = sized.where("size = 0").select("doc_id", "text_hash", "source", "size", F.lit(0).alias("copies"))
+    counted = taken.unionByName(empty)  # empty documents are never taken, so none of them is ranked
     return counted.join(solved, same).select("doc_id", "source", "size", "source_size", "target", rate, "copies", "text_hash")
