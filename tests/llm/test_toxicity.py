@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +131,22 @@ def test_features_against_brute_force():
         assert got["densest"] == max((sum(1 for j in hit if i <= j < i + 50) for i in hit), default=0)
         assert got["capitals"] == sum(c.isupper() for c in text) / max(1, len(text))
         assert got["disguised_hits"] == plain.count("id1ot") and got["repeated_marks"] == words.count("house!!") / n
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_counts_of_a_text_against_plain_patterns(seed):
+    """Words, capitals, marks, stretched and mixed words are what their definitions find, in any script."""
+    r = random.Random(seed)
+    for _ in range(400):
+        text = "".join(r.choice("aAbB1@$!|*#_ .?\n\x1c\x85\u00a0\u00e9\u00c9\u00df\u0130\u0131\u24b6\u01c5\u03a3\u6f22\U0001f642\u0663'") for _ in range(r.randrange(60)))
+        if r.random() < 0.5:
+            text = text.encode("ascii", "ignore").decode()
+        got, lower = dict(zip(NAMES, features(text, Lexicon({"ab": 1.0})))), text.lower()
+        words, chars = re.findall(r"\w+", lower), max(1, len(text))
+        n = max(1, len(words))
+        assert got["hit_density"] == words.count("ab") / n and got["mean_word"] == sum(map(len, words)) / n
+        assert got["capitals"] == sum(c.isupper() for c in text) / chars
+        assert got["capital_words"] == sum(len(w) > 1 and w.isupper() for w in re.findall(r"\w+", text)) / n
+        assert got["punctuation"] == len(re.findall(r"[^\w\s]", text)) / chars
+        assert got["stretched"] == len(re.findall(r"([^\W\d_])\1\1", lower)) / n
+        assert got["mixed_words"] == len(re.findall(r"[^\W\d_][\d@$!|*#][\w@$!|*#]*[^\W\d_]", lower)) / n

@@ -31,8 +31,10 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -58,8 +60,9 @@ SECOND_PERSON = frozenset(
 # Symbols read as letters.
 LOOKALIKES = str.maketrans("013457@$!|", "oieastasii")
 _WORD = re.compile(r"\w+")
-_MIXED = re.compile(r"[^\W\d_][\d@$!|*#][\w@$!|*#]*[^\W\d_]")
-_STRETCHED = re.compile(r"([^\W\d_])\1\1")
+_MIXED = re.compile(r"[\d@$!|*#](?<=[^\W\d_].)[\w@$!|*#]*[^\W\d_]")  # a letter stands before; the symbol is sought first, as it is rarer
+_TRIPLED = re.compile(r"(.)\1\1")
+_LETTER = re.compile(r"[^\W\d_]")
 _SYMBOLS = re.compile(r"[\w@$!|]+")
 NAMES = (
     "log_words", "hit_density", "hit_words", "hit_weight", "densest", "second_density", "near_second", "capitals", "capital_words",
@@ -67,6 +70,9 @@ NAMES = (
 )
 _MARKS = re.compile(r"[!?]{2,}")
 _PUNCTUATION = re.compile(r"[^\w\s]")
+_CAPITAL, _MARK = 1, 2  # classes of characters
+_CLASS_OF: list[np.ndarray] = []
+_ASCII_SPACES = "".join(c if _WORD.match(c) else " " for c in map(chr, range(128)))
 _SPAN = 50  # words of the densest stretch
 
 
@@ -81,6 +87,12 @@ class Lexicon(dict):
     def __init__(self, entries: dict[str, float]):
         super().__init__()
         self._entries = entries
+        self._heads = {entry[: STEMS[0]] for entry in entries if entry.endswith("*")}
+
+    def hits(self, words: list[str]) -> set[str]:
+        """The different words that have a weight; one that is no entry and begins like none is not looked up."""
+        entries, heads, head = self._entries, self._heads, STEMS[0]
+        return {w for w in set(words) if (w in entries or w[:head] in heads) and self[w]}
 
     def __missing__(self, word: str) -> float:
         get = self._entries.get
@@ -91,14 +103,30 @@ class Lexicon(dict):
         return weight
 
 
+def _capitals_and_punctuation(text: str) -> tuple[int, int]:
+    """How many characters are capitals, and how many neither words' nor spaces."""
+    if not _CLASS_OF:
+        every = map(chr, range(sys.maxunicode + 1))
+        _CLASS_OF.append(np.fromiter((_CAPITAL * c.isupper() + _MARK * bool(_PUNCTUATION.match(c)) for c in every), np.uint8))
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    found = _CLASS_OF[0][codes]
+    # A circled capital is both.
+    return int(np.count_nonzero(found & _CAPITAL)), int(np.count_nonzero(found & _MARK))
+
+
+def _words(text: str) -> list[str]:
+    """The matches of ``\\w+``."""
+    return text.translate(_ASCII_SPACES).split() if text.isascii() else _WORD.findall(text)
+
+
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
     text = text or ""
     lower = text.lower()
-    words = _WORD.findall(lower)
+    words = _words(lower)
     n = max(1, len(words))
-    weights = list(map(lexicon.__getitem__, words))
-    hits = [i for i, w in enumerate(weights) if w]
-    second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
+    hot = lexicon.hits(words)
+    hits = [i for i, w in enumerate(words) if w in hot] if hot else []
+    second = [] if SECOND_PERSON.isdisjoint(words) else [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near, j = 0.0, 0
     for i in hits:  # nearness of the closest pronoun to any hit
         while j + 1 < len(second) and abs(second[j + 1] - i) <= abs(second[j] - i):
@@ -110,15 +138,15 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
         while i - hits[a] >= _SPAN:
             a += 1
         densest = max(densest, b - a + 1)
-    upper = sum(map(str.isupper, text)) if lower != text else 0
-    shouted = sum(1 for w in _WORD.findall(text) if len(w) > 1 and w.isupper()) if upper else 0
+    upper, punctuation = _capitals_and_punctuation(text)
+    shouted = sum(1 for w in _words(text) if len(w) > 1 and w.isupper()) if upper else 0
     mixed = _MIXED.findall(lower)
     disguised = sum(1 for w in _SYMBOLS.findall(lower) if not lexicon[w] and lexicon[w.translate(LOOKALIKES)]) if mixed else 0
     chars = max(1, len(text))
     return [
-        math.log1p(len(words)), len(hits) / n, float(len({words[i] for i in hits})), max(weights, default=0.0),
+        math.log1p(len(words)), len(hits) / n, float(len(hot)), max(map(lexicon.__getitem__, hot), default=0.0),
         float(densest), len(second) / n, near, upper / chars, shouted / n, text.count("!") / n, text.count("?") / n,
-        len(_PUNCTUATION.findall(text)) / chars, len(_MARKS.findall(text)) / n, len(mixed) / n, sum(1 for _ in _STRETCHED.finditer(lower)) / n,
+        punctuation / chars, len(_MARKS.findall(text)) / n, len(mixed) / n, len(list(filter(_LETTER.match, _TRIPLED.findall(lower)))) / n,
         float(disguised), sum(map(len, words)) / n,
     ]
 
