@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, narrowed, table_bytes
 from tidemark.llm.dart_minhash import near_duplicate_classes
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.language_id import UNKNOWN, fit_language_model, predict_language
@@ -64,24 +64,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each class of near-duplicates: that of the smallest doc_id. Texts without words all stay."""
     classes = near_duplicate_classes(docs).where("class_key is not null")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("first")
-    kept = materialize(classes.groupBy("class_key").agg(first).select(_key("first.doc_id", F.col("first.text_hash"))), "class-firsts")
+    kept = materialize(classes.groupBy("class_key").agg(first).select(_key("first.doc_id", F.col("first.text_hash"))), "class-firsts", table_bytes(docs))
     worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     rows = docs.where(worded).select(_row(docs), _key())
     one = rows.join(kept, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
-    return one.select(*_columns(one, docs)).unionByName(docs.where(~worded))
+    return narrowed(one.select(*_columns(one, docs)), table_bytes(docs)).unionByName(docs.where(~worded))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten consecutive words of a benchmark item (nor all words of a shorter one)."""
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10).where("n_hit > 0")
-    hit = materialize(found.select(_key(text_hash=F.col("text_hash"))).distinct(), "contaminated")
+    hit = materialize(found.select(_key(text_hash=F.col("text_hash"))).distinct(), "contaminated", table_bytes(docs))
     rows = docs.select(_row(docs), _key()).join(hit, "key", "left_anti")
     return rows.select(*_columns(rows, docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced; ``n_chars`` follows the text."""
-    clean = redact(docs, fresh_dir(spark, "pipeline-ledger"))
+    clean = narrowed(redact(docs, fresh_dir(spark, "pipeline-ledger")), table_bytes(docs))
     if "n_chars" not in docs.columns:
         return clean
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
@@ -90,12 +90,13 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes at least once, with ``copies``."""
     mixed = mix_sources(docs).select(_key(text_hash=F.col("text_hash")), F.col("copies").alias("n"))
-    counted = materialize(mixed.groupBy("key").agg(F.array_sort(F.collect_list("n")).alias("each")), "mixed-copies")
+    counted = materialize(mixed.groupBy("key").agg(F.array_sort(F.collect_list("n")).alias("each")), "mixed-copies", table_bytes(docs))
     joined = docs.select(_row(docs), _key()).join(counted, "key")
     # Rows alike in id and text take the copies of their kind in turn.
     turn = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     taken = joined.withColumn("copies", F.get("each", turn - 1)).where("copies > 0")
-    return taken.select(*(c for c, name in zip(_columns(taken, docs), docs.columns) if name != "copies"), "copies")
+    taken = taken.select(*(c for c, name in zip(_columns(taken, docs), docs.columns) if name != "copies"), "copies")
+    return narrowed(taken, table_bytes(docs))
 
 
 STAGES = [

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, slices
+from tidemark.llm.common import materialize, narrowed, slices, table_bytes
 from tidemark.llm.components import connected_components
 from tidemark.llm.hashing import U64, hash_words, mix, rolling
 
@@ -210,26 +210,29 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, bands: int =
         .groupBy("f1", "f2")
         .agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.first("h").alias("h"), F.first("bands").alias("bands")),
         "distinct-texts",
+        table_bytes(signed),
     )
     members = texts.select("node", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(members.join(materialize(shared, "buckets"), "key"), "bucket-members")
-    company = materialize(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    members = materialize(members.join(materialize(shared, "buckets", table_bytes(texts)), "key"), "bucket-members", 2 * table_bytes(texts))
+    size = table_bytes(members)
+    company = materialize(members.groupBy("node").agg(F.sum("n").alias("company")), "company", size)
     hubs = members.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
-    paired = members.join(materialize(hubs, "hubs"), "key").where("node != hub")
-    pairs = materialize(paired.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
+    paired = members.join(materialize(hubs, "hubs", size), "key").where("node != hub")
+    paired = paired.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+    pairs = materialize(paired, "pairs", size)
     # Every text that can be compared is a member of a shared bucket.
     needed = texts.select("node", "h").join(members.select("node").distinct(), "node", "left_semi")
-    sets = materialize(_shingle_sets(docs, needed), "shingle-sets")
-    links = materialize(_verify(pairs, sets, threshold), "links")
+    sets = materialize(_shingle_sets(docs, needed), "shingle-sets", 2 * table_bytes(docs))
+    links = materialize(_verify(pairs, sets, threshold), "links", table_bytes(pairs) + table_bytes(sets))
     components = connected_components(links)
     components = _settle(members.select("key", "node"), pairs, links, components, sets, threshold)
     # Class ids: the smallest doc_id of each component.
     placed = texts.select("f1", "f2", "node", "doc_id").join(components, "node", "left")
     placed = materialize(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-    classes = materialize(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "classes")
+    classes = materialize(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "classes", table_bytes(placed))
     placed = placed.join(classes, "component").select("f1", "f2", "class_id", F.col("component").alias("class_key"))
-    placed = materialize(placed, "class-of-text")
+    placed = materialize(placed, "class-of-text", table_bytes(signed))
     joined = signed.select("doc_id", "h", "f1", "f2").join(placed, ["f1", "f2"], "left")
     class_id = F.when(F.col("f1").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return joined.select("doc_id", F.col("h").alias("text_hash"), class_id.alias("class_id"), "class_key")
@@ -269,15 +272,15 @@ def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, component
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     top = F.max(F.struct("n", "component")).alias("top")
     largest = parts.groupBy("key").agg(top, F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    largest = materialize(largest.select("key", F.col("top.component").alias("largest")), "open-buckets")
+    largest = materialize(largest.select("key", F.col("top.component").alias("largest")), "open-buckets", table_bytes(members))
     open_rows = placed.join(largest, "key").select("node", "component", (F.col("component") != F.col("largest")).alias("outside"))
-    nodes = materialize(open_rows.groupBy("node", "component").agg(F.max("outside").alias("outside")), "open-texts")
+    nodes = materialize(open_rows.groupBy("node", "component").agg(F.max("outside").alias("outside")), "open-texts", table_bytes(members))
     tokens = materialize(sets.join(nodes, "node").select("node", F.explode("shingles").alias("token")), "open-shingles")
-    counts = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts")
+    counts = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts", table_bytes(tokens))
     # A shingle of one text alone joins nothing, but takes its place in the order of rarity.
     token = F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token")
     ranked = tokens.join(counts, "token", "left").groupBy("node").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
-    one, two = _sides(ranked.join(nodes, "node"), threshold)
+    one, two = _sides(narrowed(ranked.join(nodes, "node"), table_bytes(sets)), threshold)
     near = (F.col("size_b") <= F.col("reach_a") + 1e-6) & (F.col("size_a") <= F.col("reach_b") + 1e-6)
     order = F.expr("size_a < size_b or (size_a = size_b and node_a < node_b)")
     apart = F.expr("component_a != component_b")
@@ -289,7 +292,7 @@ def _settle(members: DataFrame, compared: DataFrame, links: DataFrame, component
     met = meet(one.where("outside_a"), two).union(meet(one.where("not outside_a"), two.where("outside_b")))
     new = met.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
     new = materialize(new.join(compared, ["a", "b"], "left_anti"), "pairs")
-    found = materialize(_verify(new, sets, threshold), "links")
+    found = materialize(_verify(new, sets, threshold), "links", table_bytes(new) + table_bytes(sets))
     if found.isEmpty():
         return components
     return connected_components(links.unionByName(found))

@@ -63,10 +63,10 @@ def _word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def prefix_table(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     """(word, entries): the windows whose rarest word this is, with its offset in each."""
-    windows = materialize(item_windows(benchmark, size), "item-windows")
+    windows = materialize(item_windows(benchmark, size), "item-windows", size * table_bytes(benchmark))
     tokens = windows.select("window", "items", F.posexplode("window").alias("offset", "word"))
-    vocabulary = materialize(tokens.select("word").distinct(), "item-words")
-    counts = materialize(_word_counts(docs, vocabulary), "item-word-counts")
+    vocabulary = materialize(tokens.select("word").distinct(), "item-words", size * table_bytes(windows))
+    counts = materialize(_word_counts(docs, vocabulary), "item-word-counts", table_bytes(docs))
     rarest = (
         tokens.join(counts, "word", "left")
         .groupBy("window")
@@ -82,7 +82,7 @@ def prefix_table(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
         "items",
     )
     grouped = rarest.groupBy(F.col("least.word").alias("word")).agg(F.collect_list(entry).alias("entries"))
-    return materialize(grouped, "item-prefixes")
+    return materialize(grouped, "item-prefixes", size * table_bytes(windows))
 
 
 def _verified(entries: Column, words: Column, at: Column) -> Column:

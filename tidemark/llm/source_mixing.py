@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, shuffle_partitions
+from tidemark.llm.common import materialize, shuffle_partitions, table_bytes
 
 MOST = 2  # copies of a document, and of a source's tokens
 _TOLERANCE = 1e-9  # of a target, at which Newton's iteration ends
@@ -108,7 +108,7 @@ def solve_tilts(strata: DataFrame, sources: list[dict]) -> dict:
         x, tokens = F.col("size") / F.col("mean"), F.col("n") * r * F.col("size")
         sums = (
             strata.withColumnRenamed("source", "of")
-            .join(state, F.col("of").eqNullSafe(F.col("source")))
+            .join(F.broadcast(state), F.col("of").eqNullSafe(F.col("source")))
             .groupBy("source")
             .agg(exact(tokens).alias("tokens"), exact(F.when(r < MOST, tokens * x).otherwise(0.0)).alias("slope"))
         )
@@ -157,8 +157,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     # By id and text: rows of one id (or none) spread over the cells too.
     salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(salts)).cast("int")
     sized = materialize(document_sizes(docs).withColumn("salt", salt), "document-sizes")
-    cells = materialize(sized.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "size-cells")
-    strata = materialize(cells.groupBy("source", "size").agg(F.sum("n").alias("n")), "size-strata")
+    cells = materialize(sized.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "size-cells", table_bytes(sized))
+    strata = materialize(cells.groupBy("source", "size").agg(F.sum("n").alias("n")), "size-strata", table_bytes(cells))
     totals = strata.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n")).collect()
     target = token_targets({r.source: r["size"] for r in totals}, weights, share)
     sources = [
@@ -178,17 +178,17 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     same = F.col("source").eqNullSafe(F.col("of"))
     free = tilted(F.col("tilt"), F.col("size"), F.col("mean"))
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("tilt") == float("inf"), float(MOST)).otherwise(free).alias("rate")
-    rated = strata.join(solved, same).select("source", "size", "n", rate)
+    rated = strata.join(F.broadcast(solved), same).select("source", "size", "n", rate)
     # A source's strata are at most as many as it has different sizes.
     copies = materialize(
-        rated.groupBy("source").applyInPandas(round_strata, "source string, size long, n long, copies long"), "stratum-copies"
+        rated.groupBy("source").applyInPandas(round_strata, "source string, size long, n long, copies long"), "stratum-copies", 2 * table_bytes(strata)
     ).select(F.col("source").alias("c_source"), F.col("size").alias("c_size"), F.col("n").alias("stratum"), "copies")
     # Documents of a stratum before each of its cells; then the rank in the cell gives the rank in the stratum.
     before = Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
     offsets = offsets.join(copies, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")))
     cell_keys = [F.col(c).alias(f"o_{c}") for c in ("source", "size", "salt")]
-    offsets = materialize(offsets.select(*cell_keys, "offset", "stratum", "copies"), "stratum-cells")
+    offsets = materialize(offsets.select(*cell_keys, "offset", "stratum", "copies"), "stratum-cells", 2 * table_bytes(cells))
     cell = Window.partitionBy("source", "size", "salt").orderBy("doc_id", "text_hash")
     ranked = sized.where("size > 0").withColumn("rank", F.row_number().over(cell))
     same_cell = F.col("source").eqNullSafe(F.col("o_source")) & F.expr("size = o_size and salt = o_salt")
@@ -197,4 +197,4 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     taken = ranked.join(offsets, same_cell).select("doc_id", "text_hash", "source", "size", each)
     empty = sized.where("size = 0").select("doc_id", "text_hash", "source", "size", F.lit(0).alias("copies"))
     counted = taken.unionByName(empty)  # empty documents are never taken, so none of them is ranked
-    return counted.join(solved, same).select("doc_id", "source", "size", "source_size", "target", rate, "copies", "text_hash")
+    return counted.join(F.broadcast(solved), same).select("doc_id", "source", "size", "source_size", "target", rate, "copies", "text_hash")
