@@ -128,3 +128,13 @@ def test_other_models_are_refused(data):
     # The trainer's model type (field 3) is 2 for BPE; this message says 1.
     with pytest.raises(ValueError, match="no BPE model"):
         PieceModel(b"\x12\x02\x18\x01")
+
+
+def test_pairs_are_looked_up_by_their_hash(model):
+    """A lookup finds every merge with its rank, also where two share a slot, and nothing else."""
+    left, right = model.pair // model.width, model.pair % model.width
+    rank, into = model._ranked(left, right)
+    assert (rank == model.rank).all() and (into == model.into).all()
+    assert model.crowded.any()  # some do share one
+    key = np.setdiff1d(model.pair + 1, model.pair)
+    assert (model._ranked(key // model.width, key % model.width)[0] == piece_codec._NONE).all()

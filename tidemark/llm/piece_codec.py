@@ -33,9 +33,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,14 @@ class PieceModel:
         merges.sort()
         self.pair, self.rank, self.into = (np.array([m[k] for m in merges], dtype=np.int64) for k in range(3))
         self.table = {m[0]: m[1:] for m in merges}
+        # Where a pair stands in ``pair``, by its hash: most lookups are of pairs that are no piece, and end at an empty slot.
+        self.slots = max(8, 4 + len(merges).bit_length())
+        slot = self._slot(self.pair)
+        self.at = np.full(1 << self.slots, -1, dtype=np.int32)
+        self.at[slot] = np.arange(len(self.pair), dtype=np.int32)
+        self.crowded = np.bincount(slot, minlength=1 << self.slots) > 1  # slots of several pairs, of which ``at`` holds one
+        self.pair_or_none = np.append(self.pair, -1)
+        self.rank_or_none, self.into_or_none = np.append(self.rank, _NONE), np.append(self.into, 0)
         spaced = any(SPACE in text.lstrip(SPACE) for text in number)
         self.word = re.compile(".+" if spaced else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
 
@@ -158,9 +167,17 @@ class PieceModel:
     def _ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of pairs; ``_NONE`` where the vocabulary has no such piece."""
         key = left * self.width + right
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        known = self.pair[at] == key
-        return np.where(known, self.rank[at], _NONE), np.where(known, self.into[at], 0)
+        slot = self._slot(key)
+        at = self.at[slot]
+        at[self.pair_or_none[at] != key] = -1
+        other = np.flatnonzero((at < 0) & self.crowded[slot])
+        if len(other):
+            found = np.minimum(np.searchsorted(self.pair, key[other]), len(self.pair) - 1)
+            at[other] = np.where(self.pair[found] == key[other], found, -1)
+        return self.rank_or_none[at], self.into_or_none[at]
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.slots)).astype(np.int64)
 
     def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The symbols of all words after merging, and their bounds: those of word i are symbols[bounds[i]:bounds[i + 1]]."""
@@ -349,6 +366,13 @@ def _utf8(data: bytes) -> str:
     return "".join(out)
 
 
+def _numbers() -> defaultdict[str, int]:
+    """Word -> its number, in the order in which they are looked up first; 0 is the end of a text."""
+    numbers = defaultdict(count(1).__next__)
+    numbers[""] = 0
+    return numbers
+
+
 @lru_cache(maxsize=2)
 def piece_model(data: bytes) -> PieceModel:
     """The model of a file's bytes, built once in a process."""
@@ -373,32 +397,24 @@ def encode_documents(docs: DataFrame, model: bytes, end: bool = True) -> DataFra
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_model(model)
         tail = [codec.end] if end else []
-        known: dict[str, int] = {}  # word -> its number in the arrays
-        ids, sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        # The ids of the words by their numbers; those of the end of a text stand first.
+        known, ids, sizes = _numbers(), np.array(tail, dtype=np.int32), np.array([len(tail)])
         for batch in byte_slices(batches, "text", SLICE):
             texts = [codec.words(t) for t in batch.column("text").to_pylist()]
-            own = dict.fromkeys(chain.from_iterable(texts))
-            new = [w for w in own if w not in known]
-            if len(known) + len(new) > WORDS:
-                known, ids, sizes, new = {}, ids[:0], sizes[:0], list(own)
-            if new:
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                more = codec.ids(new)
-                ids, sizes = np.concatenate((ids, more[0])), np.concatenate((sizes, more[1]))
-            known[""] = len(sizes)  # the end of a text
-            ends = np.cumsum(np.append(sizes, len(tail)))
-            stored = np.append(ids, tail).astype(np.int32)
             for words in texts:
                 words.append("")
             word = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=sum(map(len, texts)))
-            n = np.append(sizes, len(tail))[word]
+            if len(known) > len(sizes):
+                more = codec.ids(list(islice(known, len(sizes), None)))
+                ids, sizes = np.concatenate((ids, more[0].astype(np.int32))), np.concatenate((sizes, more[1]))
+            ends = np.cumsum(sizes)
+            n = sizes[word]
             before = np.concatenate(([0], np.cumsum(n)))
-            flat = stored[np.repeat(ends[word] - before[1:], n) + np.arange(before[-1])]
+            flat = ids[np.repeat(ends[word] - before[1:], n) + np.arange(before[-1])]
             bounds = before[np.cumsum([0, *map(len, texts)])].astype(np.int32)
-            del known[""]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], schema=_IDS_ARROW)
-            if len(ids) > WORDS * 16:  # long words
-                known, ids, sizes = {}, ids[:0], sizes[:0]
+            if len(known) > WORDS or len(ids) > WORDS * 16:  # many words, or long ones
+                known, ids, sizes = _numbers(), ids[: len(tail)], sizes[:1]
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return read.mapInArrow(encoded, "doc_id long, ids array<int>")
